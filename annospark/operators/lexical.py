@@ -253,10 +253,15 @@ def tfidf_mean(df: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+def top_weights(means: DataFrame, k: int = 20) -> DataFrame:
+    """Top terms by mean weight; weights equal to 12 digits tie, in term order."""
+    return means.orderBy(F.round("mean_tfidf", 12).desc(), "term").limit(k)
+
+
 def tfidf_mean_by(df: DataFrame, weights: DataFrame, by: str, k: int) -> DataFrame:
     """Top ``k`` terms per class by mean weight within the class."""
     sums = weights.filter(F.col(by).isNotNull()).groupBy(by, "term").agg(F.sum("weight").alias("_s"))
-    best = top_by(sums, by, k, "term", "_s")
+    best = top_by(sums.withColumn("_o", F.round("_s", 9)), by, k, "term", "_o")
     sizes = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("_docs"))
     return best.join(sizes, by).select(by, "term", (F.col("_s") / F.col("_docs")).alias("mean_tfidf"), "rank")
 

@@ -398,11 +398,11 @@ def weights(df, carry=()):
 
 @query(
     "tfidf_top",
-    f"{q.LABELLED}, {_TFIDF} SELECT term, {q.r6('sum(weight) / (SELECT n FROM n)')} AS mean_tfidf FROM x GROUP BY term ORDER BY sum(weight) DESC, term LIMIT 20",
+    f"{q.LABELLED}, {_TFIDF} SELECT term, {q.r6('sum(weight) / (SELECT n FROM n)')} AS mean_tfidf FROM x GROUP BY term ORDER BY round(sum(weight) / (SELECT n FROM n), 12) DESC, term LIMIT 20",
 )
 def tfidf_top(spark, sf):
     df = fx.annotated(spark, sf)
-    return lexical.top(lexical.tfidf_mean(df, weights(df)), 20, "term", "mean_tfidf")
+    return lexical.top_weights(lexical.tfidf_mean(df, weights(df)), 20)
 
 
 @query(
