@@ -6,6 +6,8 @@ Quoted items must be integers, bare numbers may carry a fraction that is cut.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,8 +18,7 @@ _NUMBER = r"[+-]?\d{1,9}"
 _GAP = f"[{WS}]*"
 _ITEM = rf"(?:'{_GAP}{_NUMBER}{_GAP}'|\"{_GAP}{_NUMBER}{_GAP}\"|{_NUMBER}(?:\.\d*)?)"
 _ITEMS = rf"(?:{_GAP}{_ITEM}{_GAP}(?:,{_GAP}{_ITEM}{_GAP})*,?)?{_GAP}"
-_VOTE_LIST = rf"^{_GAP}\[{_ITEMS}\]{_GAP}\z"
-_VOTE_TUPLE = rf"^{_GAP}\({_ITEMS}\){_GAP}\z"
+_VOTE_LIST = rf"^{_GAP}(?:\[{_ITEMS}\]|\({_ITEMS}\)){_GAP}\z"
 _ID_LIST = rf"^{_GAP}\[[^\[\]]*\]{_GAP}\z"
 _ID_ITEM = rf"'[^']*'|\"[^\"]*\"|[^{WS},\[\]'\"]+"
 
@@ -26,7 +27,7 @@ def parse_votes(raw: Column) -> Column:
     """``array<int>`` of the votes; empty when the text is not a list of integers."""
     numbers = F.regexp_extract_all(raw, F.lit(rf"({_NUMBER})(?:\.\d*)?"), F.lit(1))
     return F.when(
-        F.coalesce(raw.rlike(_VOTE_LIST) | raw.rlike(_VOTE_TUPLE), F.lit(False)),
+        F.coalesce(raw.rlike(_VOTE_LIST), F.lit(False)),
         numbers.cast("array<int>"),
     ).otherwise(F.array().cast("array<int>"))
 
@@ -40,47 +41,66 @@ def parse_ids(raw: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def _fold(votes: Column, finish: Callable[[Column, Column], Column]) -> Column:
+    """``finish(n, total)`` of a vote list that is read once.
+
+    A label is filtered, grouped and compared a lot; with one reference to the
+    list its expression stays small wherever the optimizer copies it to.
+    """
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"))
+    return F.aggregate(
+        votes,
+        start,
+        lambda s, x: F.struct((s["n"] + 1).alias("n"), (s["total"] + x).alias("total")),
+        lambda s: finish(s["n"], s["total"]),
+    )
+
+
 def vote_sum(votes: Column) -> Column:
-    return F.aggregate(votes, F.lit(0).cast("long"), lambda s, x: s + x)
+    return _fold(votes, lambda n, total: total)
 
 
 def vote_mean(votes: Column) -> Column:
     """Mean vote, null for an empty list."""
-    return F.when(F.size(votes) > 0, vote_sum(votes) / F.size(votes))
+    return _fold(votes, lambda n, total: F.when(n > 0, total / n))
 
 
 def majority_of(total: Column, n: Column) -> Column:
     """1, 0, or 0.5 on a tie, from a vote sum and a vote count; null without votes."""
     return (
-        F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(None).cast("double"))
-        .when(total * 2 > n, F.lit(1.0))
+        F.when(total * 2 > n, F.lit(1.0))
         .when(total * 2 < n, F.lit(0.0))
-        .otherwise(F.lit(0.5))
+        .when(n > 0, F.lit(0.5))
     )
 
 
 def majority(votes: Column) -> Column:
-    return majority_of(vote_sum(votes), F.size(votes))
+    return _fold(votes, lambda n, total: majority_of(total, n))
 
 
 def agreement_group(votes: Column) -> Column:
     """How far the annotators of one text agree."""
-    n, total = F.size(votes), vote_sum(votes)
-    return (
-        F.when(n == 0, lex.UNKNOWN_AGREEMENT)
+    return _fold(
+        votes,
+        lambda n, total: F.when(n == 0, lex.UNKNOWN_AGREEMENT)
         .when((n == 1) | (total == 0) | (total == n), lex.NO_DISAGREEMENT)
         .when(total * 2 == n, lex.EVEN_DISAGREEMENT)
-        .otherwise(lex.UNEVEN_DISAGREEMENT)
+        .otherwise(lex.UNEVEN_DISAGREEMENT),
     )
 
 
+def is_unanimous(votes: Column, min_votes: int = 2) -> Column:
+    """At least ``min_votes`` votes, all equal to 0 or all equal to 1."""
+    return _fold(votes, lambda n, total: (n >= min_votes) & ((total == 0) | (total == n)))
+
+
 def final_label(votes: Column) -> Column:
     """1 when more than half of the votes are positive, else 0."""
-    return F.when(vote_sum(votes) * 2 > F.size(votes), 1).otherwise(0)
+    return _fold(votes, lambda n, total: F.when(total * 2 > n, 1).otherwise(0))
 
 
 def any_positive(votes: Column) -> Column:
-    return F.when(vote_sum(votes) > 0, 1).otherwise(0)
+    return _fold(votes, lambda n, total: F.when(total > 0, 1).otherwise(0))
 
 
 def polarized_value(votes: Column, method: str = "agg") -> Column:

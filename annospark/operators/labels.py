@@ -19,9 +19,7 @@ def with_votes(df: DataFrame, labels: Sequence[str] = lex.LABELS, suffix: str =
 
 def with_labels(df: DataFrame, labels: Sequence[str] = lex.LABELS) -> DataFrame:
     """Add ``<label>_label`` in {0, 0.5, 1, null} for every vote column."""
-    voted = with_votes(df, labels)
-    out = voted.withColumns({f"{c}_label": v.majority(F.col(f"{c}_votes")) for c in labels})
-    return out.drop(*[f"{c}_votes" for c in labels])
+    return df.withColumns({f"{c}_label": v.majority(v.parse_votes(F.col(c))) for c in labels})
 
 
 def with_annotator_count(df: DataFrame, ids: str = "annotators_id", out: str = "num_annotators") -> DataFrame:
@@ -29,8 +27,7 @@ def with_annotator_count(df: DataFrame, ids: str = "annotators_id", out: str = "
 
 
 def with_agreement(df: DataFrame, label: str = "toxicity", out: str = "agreement_group") -> DataFrame:
-    voted = with_votes(df, [label])
-    return voted.withColumn(out, v.agreement_group(F.col(f"{label}_votes"))).drop(f"{label}_votes")
+    return df.withColumn(out, v.agreement_group(v.parse_votes(F.col(label))))
 
 
 def by_annotator_count(df: DataFrame, approach: str, count: str = "num_annotators") -> DataFrame:
@@ -170,10 +167,7 @@ def annotator_strategy(
 
 def unanimous(df: DataFrame, label: str = "toxicity", min_votes: int = 2) -> DataFrame:
     """Rows with at least ``min_votes`` votes that all agree."""
-    voted = with_votes(df, [label])
-    votes = F.col(f"{label}_votes")
-    total, n = v.vote_sum(votes), F.size(votes)
-    return voted.filter((n >= min_votes) & ((total == 0) | (total == n))).drop(f"{label}_votes")
+    return df.filter(v.is_unanimous(v.parse_votes(F.col(label)), min_votes))
 
 
 def drop_spam(df: DataFrame, spam_label: str = "is_noise_or_spam_text_label") -> DataFrame:

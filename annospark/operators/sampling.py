@@ -9,7 +9,9 @@ a bucket are ever ordered together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from annospark.operators import keys
 
 BUCKET_DIGITS = 4
 COPIES_PER_ROW = 100_000
-BEYOND = "~"
+NOT_ELIGIBLE = -1
 
 
 def class_rank(df: DataFrame, classes: Sequence[str], row_id: str, seed: int, out: str = "rank") -> DataFrame:
@@ -47,48 +49,53 @@ def stratified_folds(df: DataFrame, label: str, row_id: str, k: int = 5, seed: i
 
 
 def _class_index(column: Column, classes: Sequence) -> Column:
-    index = F.raise_error(F.concat(F.lit("class not declared: "), F.coalesce(column.cast("string"), F.lit("null"))))
-    index = index.cast("int")
-    for i, value in enumerate(classes):
-        index = F.when(column == F.lit(value), i).otherwise(index)
-    return index
+    """Position of a class among the declared ones; an undeclared class fails."""
+    positions = F.create_map(*[F.lit(x) for i, value in enumerate(classes) for x in (value, i)])
+    unknown = F.raise_error(F.lit(f"class not declared: expected one of {list(classes)}")).cast("int")
+    return F.coalesce(F.try_element_at(positions, column), unknown)
+
+
+def _quotas(sizes: Mapping[int, int], rows: int, parts: Sequence[tuple[str, float]]) -> list[dict[int, int]]:
+    """Rows of each part per class: floor of its share, the rest by largest remainder."""
+    pool = sum(sizes.values())
+    taken, out = 0, []
+    for _, fraction in parts:
+        target = min(math.ceil(rows * Fraction(str(fraction))), pool - taken)
+        taken += target
+        shares = {c: divmod(target * n, pool) for c, n in sizes.items()}
+        left = target - sum(whole for whole, _ in shares.values())
+        by_rest = sorted(shares, key=lambda c: (-shares[c][1], c))
+        out.append({c: shares[c][0] + (c in by_rest[:left]) for c in shares})
+    return out
 
 
-def _quotas(sizes: DataFrame, parts: Sequence[tuple[str, float]], rows: Column) -> DataFrame:
-    """Rows of each part per class: floor of its share, the rest by largest remainder.
+def _cut_digests(
+    pool: DataFrame, histogram: DataFrame, ends: Mapping[tuple[int, int], int], row_id: str
+) -> dict[tuple[int, int], str]:
+    """Digest of the last row of each part per class.
 
-    ``sizes`` has one row per class, so the global windows here see a handful
-    of rows; products are decimals because they exceed a long on big tables.
+    ``ends`` maps (class, part) to the rank of that row. The bucket holding
+    the rank comes from the histogram; only rows of these buckets are ranked.
     """
-    everyone = Window.partitionBy()
-    out = sizes.withColumns({"_rows": rows.cast("decimal(38,0)"), "_all": F.sum("_n").over(everyone)})
-    taken = F.lit(0).cast("decimal(38,0)")
-    quota = F.lit(0).cast("decimal(38,0)")
-    for i, (_, fraction) in enumerate(parts):
-        percent = F.lit(round(fraction * 10000)).cast("decimal(38,0)")
-        target = F.ceil(F.col("_rows").cast("decimal(28,0)") * percent.cast("decimal(5,0)") / 10000)
-        target = F.least(target.cast("decimal(38,0)"), F.col("_all").cast("decimal(38,0)") - taken)
-        out = out.withColumn("_t", target.cast("decimal(18,0)"))
-        product = F.col("_t") * F.col("_n").cast("decimal(18,0)")
-        whole = F.expr("CAST(_t * CAST(_n AS DECIMAL(18,0)) AS DECIMAL(38,0)) DIV CAST(_all AS DECIMAL(38,0))")
-        out = out.withColumns(
-            {
-                "_floor": F.coalesce(whole, F.lit(0)),
-                "_rest": F.coalesce(product.cast("decimal(38,0)") % F.col("_all").cast("decimal(38,0)"), F.lit(0)),
-            }
-        )
-        left = F.col("_t") - F.sum("_floor").over(everyone)
-        place = F.row_number().over(everyone.orderBy(F.col("_rest").desc(), "_c"))
-        quota = F.col("_floor") + F.when(place <= left, 1).otherwise(0)
-        out = out.withColumn(f"_q{i}", quota.cast("long"))
-        taken = taken + F.col("_t")
-    ends = []
-    for i in range(len(parts)):
-        end = F.col("_q0")
-        for j in range(1, i + 1):
-            end = end + F.col(f"_q{j}")
-        ends.append(F.struct(F.lit(i).alias("_part"), end.alias("_end")))
-    return out.select("_c", "_n", F.explode(F.array(*ends)).alias("_x")).select("_c", "_n", "_x._part", "_x._end")
+    upto = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    marks = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(i).alias("i"), F.lit(e).cast("long").alias("e")) for (c, i), e in ends.items()])
+    buckets = (
+        histogram.withColumn("_upto", F.sum("_n").over(upto))
+        .select("_c", "_b", "_n", "_upto", F.explode(F.filter(marks, lambda m: m["c"] == F.col("_c"))).alias("m"))
+        .filter("m.e <= _upto and m.e > _upto - _n")
+        .select("_c", "_b", "m.i", (F.col("m.e") - F.col("_upto") + F.col("_n")).alias("place"))
+        .collect()
+    )
+    key = F.concat_ws("/", "_c", "_b")
+    inside = Window.partitionBy("_key").orderBy("_d", row_id)
+    found = (
+        pool.select(key.alias("_key"), "_d", row_id)
+        .filter(F.col("_key").isin([f"{r['_c']}/{r['_b']}" for r in buckets]))
+        .withColumn("_at", F.concat_ws("/", "_key", F.row_number().over(inside)))
+        .filter(F.col("_at").isin([f"{r['_c']}/{r['_b']}/{r['place']}" for r in buckets]))
+    )
+    digests = {r["_at"]: r["_d"] for r in found.select("_at", "_d").collect()}
+    return {(r["_c"], r["i"]): digests[f"{r['_c']}/{r['_b']}/{r['place']}"] for r in buckets}
 
 
 def stratified_split(
@@ -107,9 +114,11 @@ def stratified_split(
 
     Each part takes ``ceil(fraction * rows)`` rows, spread over the classes by
     largest remainder. Rows that are not ``eligible`` stay in ``rest``;
-    ``prefer``red rows are drawn first. The data itself is not shuffled: a
-    histogram of digests yields one cut-off digest per class and part, and a
-    row's part follows from comparing its digest with them.
+    ``prefer``red rows are drawn first. A row with an undeclared class fails.
+
+    The data is not shuffled: two narrow jobs over (class, id) find one
+    cut-off digest per class and part, the only values the driver sees, and
+    the result is a plain projection comparing each row's digest with them.
     """
     values = list(classes) if classes is not None else keys.domain_of(df, label)
     allowed = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
@@ -117,43 +126,30 @@ def stratified_split(
     marked = df.withColumns(
         {
             "_d": F.concat(first, keys.seeded_digest(F.col(row_id), seed)),
-            "_ok": allowed,
-            "_c": F.when(allowed, _class_index(F.col(label), values)),
+            "_c": F.when(allowed, _class_index(F.col(label), values)).otherwise(NOT_ELIGIBLE),
         }
-    ).withColumn("_b", F.substring("_d", 1, BUCKET_DIGITS + (prefer is not None)))
-    pool = marked.filter("_ok")
-    histogram = pool.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    quotas = _quotas(histogram.groupBy("_c").agg(F.sum("_n").alias("_n")), parts, rows)
-    upto = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    cumulated = histogram.select("_c", "_b", F.col("_n").alias("_in"), F.sum("_n").over(upto).alias("_upto"))
-    # One row per class and part; the classes are the declared ones.
-    most = len(values) * len(parts)
-    cuts = (
-        cumulated.join(F.broadcast(quotas.limit(most)), "_c")
-        .filter((F.col("_end") > F.col("_upto") - F.col("_in")) & (F.col("_end") <= F.col("_upto")))
-        .select("_c", "_b", "_part", (F.col("_end") - F.col("_upto") + F.col("_in")).alias("_need"))
-    )
-    wanted = cuts.select("_c", "_b").distinct().limit(most)
-    inside = Window.partitionBy("_c", "_b").orderBy("_d", row_id)
-    ranked = (
-        pool.select("_c", "_b", "_d", row_id)
-        .join(F.broadcast(wanted), ["_c", "_b"], "left_semi")
-        .withColumn("_need", F.row_number().over(inside).cast("long"))
-    )
-    found = ranked.join(F.broadcast(cuts.limit(most)), ["_c", "_b", "_need"]).select("_c", "_part", "_d")
-    limits = (
-        found.unionByName(
-            quotas.filter("_end > _n").select("_c", "_part", F.lit(BEYOND).alias("_d"))
-        )
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.col("_c") * len(parts) + F.col("_part"), "_d"))).alias("m"))
-        .scalar()
     )
+    pool = marked.select(row_id, "_d", "_c", F.substring("_d", 1, BUCKET_DIGITS + (prefer is not None)).alias("_b"))
+    histogram = pool.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n")).persist()
+    try:
+        counted = {r["_c"]: r["n"] for r in histogram.groupBy("_c").agg(F.sum("_n").alias("n")).collect()}
+        sizes = {c: n for c, n in counted.items() if c != NOT_ELIGIBLE}
+        quotas = _quotas(sizes, sum(counted.values()), parts) if sizes else []
+        ends, upto = {}, dict.fromkeys(sizes, 0)
+        for i, quota in enumerate(quotas):
+            for c, n in quota.items():
+                upto[c] += n
+                ends[(c, i)] = min(upto[c], sizes[c])
+        cuts = _cut_digests(pool, histogram, {k: e for k, e in ends.items() if e > 0}, row_id) if ends else {}
+    finally:
+        histogram.unpersist()
     part = F.lit(rest)
     for i in reversed(range(len(parts))):
-        cut = F.try_element_at(F.col("_m"), F.col("_c") * len(parts) + i)
-        part = F.when(F.coalesce(F.col("_d") <= cut, F.lit(False)), parts[i][0]).otherwise(part)
-    return marked.withColumn("_m", limits).withColumn(out, part).select(*[F.col(f"`{c}`") for c in df.columns], out)
+        limits = [x for (c, k), cut in cuts.items() if k == i for x in (F.lit(c), F.lit(cut))]
+        if limits:
+            inside = F.coalesce(F.col("_d") <= F.try_element_at(F.create_map(*limits), F.col("_c")), F.lit(False))
+            part = F.when(inside, parts[i][0]).otherwise(part)
+    return marked.withColumn(out, part).drop("_d", "_c")
 
 
 def rare_stratum(main: str, rare_first: Sequence[str], other: str = "toxic") -> Column:
