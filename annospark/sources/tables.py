@@ -92,6 +92,21 @@ def read_annotated(spark: SparkSession, path: str, row_pos: str | None = "row_po
     return df.withColumn(row_pos, F.monotonically_increasing_id()) if row_pos else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a plain scan over all cores when its files give fewer tasks than cores.
+
+    Text work is bound by regular expressions, and one small file would keep
+    one core busy. A large table has many splits already and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_texts(spark: SparkSession, path: str, row_id: str) -> DataFrame:
+    """A Parquet table of texts, spread over the cores by its row id."""
+    return spread(spark.read.parquet(path), row_id)
+
+
 def read_annotators(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, ANNOTATORS)
 

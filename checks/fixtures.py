@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from annospark.functions.lexicons import LABELS
+from annospark.sources.tables import read_texts
 
 # (multiplier, positives out of ten) of the vote pattern per label
 _PATTERN = dict(
@@ -109,22 +110,28 @@ sub_predictions AS (
   FROM predictions p)"""
 
 
-def _path(sf_dir: str, table: str) -> str:
-    return f"parquet.`{sf_dir.rstrip('/')}/{table}.parquet`"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_texts(spark, f"{sf_dir.rstrip('/')}/documents.parquet", "doc_id")
+
+
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"WITH {annotated_cte(_path(sf_dir, 'documents'))} SELECT * FROM annotated")
+    cte = annotated_cte("{documents}")
+    return spark.sql(f"WITH {cte} SELECT * FROM annotated", documents=documents(spark, sf_dir))
 
 
 def annotators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"WITH {annotators_cte(_path(sf_dir, 'customer'))} SELECT * FROM annotators")
+    cte = annotators_cte("{customer}")
+    return spark.sql(f"WITH {cte} SELECT * FROM annotators", customer=table(spark, sf_dir, "customer"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cte = predictions_cte(_path(sf_dir, "documents"), _path(sf_dir, "labels"))
-    return spark.sql(f"WITH {cte} SELECT * FROM sub_predictions")
+    cte = predictions_cte("{documents}", "{labels}")
+    return spark.sql(
+        f"WITH {cte} SELECT * FROM sub_predictions",
+        documents=table(spark, sf_dir, "documents"),
+        labels=table(spark, sf_dir, "labels"),
+    )

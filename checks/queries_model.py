@@ -328,7 +328,7 @@ _SLICED = (
     f"{_SLICED}, c AS ({q.unpivot(SLICES, lambda d: f'SELECT {chr(39)}{d}{chr(39)} AS dimension, CAST({d} AS VARCHAR) AS value, {_C} FROM s GROUP BY 2')}) {_scored('c', 'dimension, value')}",
 )
 def slice_metrics(spark, sf):
-    docs = fx.table(spark, sf, "documents").select("doc_id", p.word_count(F.col("text")).alias("words"))
+    docs = fx.documents(spark, sf).select("doc_id", p.word_count(F.col("text")).alias("words"))
     df = fx.predictions(spark, sf).join(docs, "doc_id").withColumns(
         {
             "word_bin": stats.word_bin(F.col("words")),
@@ -406,7 +406,7 @@ def behaviour_accuracy(spark, sf):
 def _baseline(model: str):
     @query(f"baseline_{model}")
     def run(spark, sf):
-        docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+        docs = fx.documents(spark, sf).select("doc_id", "text")
         df = docs.join(fx.table(spark, sf, "labels"), "doc_id").withColumnRenamed("toxic", "label")
         parts = sampling.stratified_split(df, "label", "doc_id", classes=(0, 1))
         return baselines.fit_and_score(parts, model)
