@@ -20,8 +20,16 @@ HEAVY_GROUPS = 1000
 BROADCAST_ROWS = 100_000
 
 
+NO_VALUE = "null"
+
+
 def digest(value: Column) -> Column:
-    return F.sha2(value, 256)
+    """Digest of a text; nulls share one key of their own.
+
+    The key is never null, so no null check of it is pushed down to the scan,
+    where it would compute the key a second time.
+    """
+    return F.coalesce(F.sha2(value, 256), F.lit(NO_VALUE))
 
 
 def row_digest(df: DataFrame) -> Column:
@@ -61,27 +69,26 @@ def lookup_by_key(
     join, so they spread over all tasks instead of meeting in one.
     ``how`` is ``left`` or ``inner``; ``groups`` has one row per key.
     """
+    # Both uses of ``groups`` have the same shape, so it is computed once.
+    rest = groups.select(
+        F.concat(F.lit("key "), F.col(key).cast("string")).alias("_join_key"),
+        F.col(size).alias("_size"),
+        F.struct(*values).alias("_light"),
+    )
     top = (
-        groups.filter(F.col(key).isNotNull())
-        .orderBy(F.col(size).desc(), F.col(key))
+        rest.orderBy(F.col("_size").desc(), "_join_key")
         .limit(heavy)
-        .select(
-            F.col(key).alias("_heavy_key"),
-            F.struct(*values).alias("_heavy"),
-        )
+        .select(F.col("_join_key").alias("_heavy_key"), F.col("_light").alias("_heavy"))
     )
-    marked = rows.join(F.broadcast(top), F.col(key) == F.col("_heavy_key"), "left").withColumn(
+    own = F.concat(F.lit("key "), F.col(key).cast("string"))
+    marked = rows.join(F.broadcast(top), own == F.col("_heavy_key"), "left").withColumn(
         "_join_key",
         F.when(
             F.col("_heavy").isNotNull() | F.col(key).isNull(),
             F.concat(F.lit("row "), F.col(row_id).cast("string")),
-        ).otherwise(F.concat(F.lit("key "), F.col(key).cast("string"))),
-    )
-    rest = groups.select(
-        F.concat(F.lit("key "), F.col(key).cast("string")).alias("_join_key"),
-        F.struct(*values).alias("_light"),
+        ).otherwise(own),
     )
-    joined = marked.join(rest, "_join_key", "left")
+    joined = marked.join(rest.drop("_size"), "_join_key", "left")
     found = F.coalesce(F.col("_heavy"), F.col("_light"))
     if how == "inner":
         joined = joined.filter(found.isNotNull())

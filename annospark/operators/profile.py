@@ -129,7 +129,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str], row_id: str) -> Data
     )
     counted = (
         df.select(F.col(row_id).alias("_id"), cells.alias("_x"))
-        .filter("_x.value is not null")
+        .filter(F.col("_x.value") != keys.NO_VALUE)
         .groupBy("_x.column", "_x.value")
         .agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first_id"))
     )

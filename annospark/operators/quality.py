@@ -113,10 +113,11 @@ def duplicate_examples(
     )
 
 
-def _conflict_groups(df: DataFrame, key: Column, label: str, row_id: str) -> DataFrame:
+def _conflict_groups(df: DataFrame, text: str, label: str, row_id: str) -> DataFrame:
     return (
-        df.select(keys.digest(key).alias("_key"), F.col(label).alias("_label"), F.col(row_id))
-        .filter("_key is not null and _label is not null")
+        df.filter(F.col(text).isNotNull())
+        .select(keys.digest(F.col(text)).alias("_key"), F.col(label).alias("_label"), F.col(row_id))
+        .filter("_label is not null")
         .groupBy("_key")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -130,13 +131,13 @@ def _conflict_groups(df: DataFrame, key: Column, label: str, row_id: str) -> Dat
 
 def conflict_keys(df: DataFrame, text: str, label: str, row_id: str) -> DataFrame:
     """Texts that carry more than one label value, with their extremes."""
-    groups = _conflict_groups(df, F.col(text), label, row_id)
+    groups = _conflict_groups(df, text, label, row_id)
     return groups.join(df.select(row_id, text), row_id).select(text, "rows", "lowest", "highest")
 
 
 def conflict_rows(df: DataFrame, text: str, label: str, row_id: str) -> DataFrame:
     """All rows whose text carries conflicting labels, unlabelled copies included."""
-    groups = _conflict_groups(df, F.col(text), label, row_id).select(
+    groups = _conflict_groups(df, text, label, row_id).select(
         "_key", "rows", F.lit(True).alias("_conflict")
     )
     keyed = df.withColumn("_key", keys.digest(F.col(text)))
