@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 #: Groups treated as heavy. Every other group then holds at most one part in
 #: ``HEAVY_GROUPS`` + 1 of the rows, and the broadcast table has at most this many rows.
-HEAVY_GROUPS = 1000
+HEAVY_GROUPS = 10_000
 
 #: Dimensions up to this many rows are broadcast, larger ones are shuffled.
 BROADCAST_ROWS = 100_000
@@ -96,6 +96,11 @@ def lookup_by_key(
     return joined.select(*out, *[found.getField(v).alias(v) for v in values])
 
 
+def percent(part: Column, whole: Column) -> Column:
+    """Share in percent, null when there is nothing to share."""
+    return F.try_divide(part * 100.0, whole)
+
+
 def domain_of(df: DataFrame, column: str, max_values: int = 1000) -> list:
     """Distinct non-null values of a class column, refused beyond ``max_values``.
 

@@ -82,7 +82,7 @@ def stop_word_share(counts: DataFrame, stop_words: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
         F.coalesce(F.sum(F.when(stop, F.col("n"))), F.lit(0)).alias("stop_tokens"),
         F.count(F.when(stop, 1)).alias("stop_types"),
-        (F.coalesce(F.sum(F.when(stop, F.col("n"))), F.lit(0)) * 100.0 / F.sum("n")).alias("pct"),
+        keys.percent(F.coalesce(F.sum(F.when(stop, F.col("n"))), F.lit(0)), F.sum("n")).alias("pct"),
     )
 
 
@@ -113,7 +113,7 @@ def vocabulary_stats(counts: DataFrame, documents: DataFrame) -> DataFrame:
     return row.select(
         "*",
         F.when(F.col("tokens") > 0, F.col("types") / F.col("tokens")).alias("lexical_diversity"),
-        F.when(F.col("types") > 0, F.col("once") * 100.0 / F.col("types")).alias("hapax_pct"),
+        keys.percent(F.col("once"), F.col("types")).alias("hapax_pct"),
         (F.col("types") / F.greatest(total, F.lit(1))).alias("types_per_document"),
     )
 
@@ -296,10 +296,7 @@ def case_effect(df: DataFrame, cased: str, lowered: str) -> DataFrame:
         of("lower", F.col("n")).alias("lower_tokens"),
     ).withColumn(
         "reduction_pct",
-        F.when(
-            F.col("cased_types") > 0,
-            (F.col("cased_types") - F.col("lower_types")) * 100.0 / F.col("cased_types"),
-        ),
+        keys.percent(F.col("cased_types") - F.col("lower_types"), F.col("cased_types")),
     )
 
 

@@ -60,7 +60,7 @@ def missing_table(df: DataFrame, only_missing: bool = False) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column"),
                 F.col(f"n{i}").alias("missing"),
-                (F.col(f"n{i}") * 100.0 / F.col("rows")).alias("pct"),
+                keys.percent(F.col(f"n{i}"), F.col("rows")).alias("pct"),
             )
             for i, c in enumerate(df.columns)
         ],

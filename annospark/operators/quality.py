@@ -25,7 +25,7 @@ def text_validity(df: DataFrame, text: str = "text") -> DataFrame:
             F.struct(
                 F.lit(name).alias("kind"),
                 F.col(name).alias("n"),
-                (F.col(name) * 100.0 / F.col("rows")).alias("pct"),
+                keys.percent(F.col(name), F.col("rows")).alias("pct"),
             )
             for name in flags
         ],
@@ -73,7 +73,7 @@ def duplicate_summary(df: DataFrame, text: str = "text") -> DataFrame:
         row,
         [
             F.struct(
-                F.lit(c).alias("metric"), F.col(c).alias("n"), (F.col(c) * 100.0 / F.col("rows")).alias("pct")
+                F.lit(c).alias("metric"), F.col(c).alias("n"), keys.percent(F.col(c), F.col("rows")).alias("pct")
             )
             for c in names
         ],
@@ -183,7 +183,7 @@ def length_extremes(df: DataFrame, words: Column, short: int = 3, long: int = 20
     return keys.unpivot_row(
         row,
         [
-            F.struct(F.lit(c).alias("kind"), F.col(c).alias("n"), (F.col(c) * 100.0 / F.col("rows")).alias("pct"))
+            F.struct(F.lit(c).alias("kind"), F.col(c).alias("n"), keys.percent(F.col(c), F.col("rows")).alias("pct"))
             for c in ("very_short", "very_long")
         ],
     )
@@ -204,7 +204,7 @@ def element_prevalence(df: DataFrame, text: str = "text") -> DataFrame:
     return keys.unpivot_row(
         row,
         [
-            F.struct(F.lit(n).alias("element"), F.col(n).alias("documents"), (F.col(n) * 100.0 / F.col("rows")).alias("pct"))
+            F.struct(F.lit(n).alias("element"), F.col(n).alias("documents"), keys.percent(F.col(n), F.col("rows")).alias("pct"))
             for n in flags
         ],
     )

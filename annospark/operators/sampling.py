@@ -30,16 +30,25 @@ def class_rank(df: DataFrame, classes: Sequence[str], row_id: str, seed: int, ou
     """
     digest = keys.seeded_digest(F.col(row_id), seed)
     marked = df.withColumn("_d", digest).withColumn("_b", F.substring("_d", 1, BUCKET_DIGITS))
-    inside = Window.partitionBy(*classes, "_b").orderBy("_d", row_id)
-    ranked = marked.withColumn("_in", F.row_number().over(inside))
-    sizes = marked.groupBy(*classes, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*classes).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*classes, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    condition = F.col("r._b") == F.col("o._b")
-    for c in classes:
-        condition = condition & F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}"))
-    joined = ranked.alias("r").join(offsets.alias("o"), condition)
-    return joined.select(*[F.col(f"r.`{c}`") for c in df.columns], (F.col("_in") + F.col("_before")).alias(out))
+    return _two_level_rank(marked, classes, ["_d", row_id], out).drop("_d")
+
+
+def _two_level_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """Rank inside a group of any size, given an ordered bucket column ``_b``.
+
+    Rows are ranked inside their bucket; the rows of earlier buckets are added
+    from a table of bucket counts. Both sides meet on one key, by which the
+    ranked rows are already partitioned.
+    """
+    name = F.to_json(F.struct(*[F.col(f"`{g}`") for g in groups]), {"ignoreNullFields": "false"})
+    key = F.concat(name, F.lit("#"), F.col("_b").cast("string")).alias("_key")
+    inside = Window.partitionBy("_key").orderBy(*order)
+    ranked = df.select("*", key).withColumn("_in", F.row_number().over(inside))
+    sizes = df.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*groups, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = ranked.join(offsets.select(key, "_before"), "_key")
+    return joined.withColumn(out, F.col("_in") + F.col("_before")).drop("_key", "_in", "_before", "_b")
 
 
 def stratified_folds(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -246,10 +255,17 @@ def union_all(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def with_row_number(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "row_in_group") -> DataFrame:
-    """Number rows inside small groups, such as the annotations of one text."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w) - 1)
+def with_row_number(
+    df: DataFrame, group: Sequence[str], position: str, out: str = "row_in_group", span: int = 1 << 16
+) -> DataFrame:
+    """Number the rows of each group from 0 by a unique integer position.
+
+    A group may hold any share of the table: at most ``span`` adjacent
+    positions are ordered together.
+    """
+    bucketed = df.withColumn("_b", F.floor(F.col(position) / span))
+    ranked = _two_level_rank(bucketed, group, [position], "_rank")
+    return ranked.withColumn(out, (F.col("_rank") - 1).cast("long")).drop("_rank")
 
 
 def error_samples(

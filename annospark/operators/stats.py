@@ -110,10 +110,10 @@ def value_counts(
     if within:
         totals = counts.groupBy(*within).agg(F.sum("n").alias("_all"))
         return counts.join(totals, list(within)).select(
-            *within, column, "n", (F.col("n") * 100.0 / F.col("_all")).alias("pct")
+            *within, column, "n", keys.percent(F.col("n"), F.col("_all")).alias("pct")
         )
     total = counts.agg(F.sum("n")).scalar()
-    return counts.select(column, "n", (F.col("n") * 100.0 / total).alias("pct"))
+    return counts.select(column, "n", keys.percent(F.col("n"), total).alias("pct"))
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:
@@ -134,7 +134,7 @@ def positives(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     return keys.unpivot_row(
         row,
         [
-            F.struct(F.lit(c).alias("label"), F.col(c).alias("n1"), (F.col(c) * 100.0 / F.col("rows")).alias("pct"))
+            F.struct(F.lit(c).alias("label"), F.col(c).alias("n1"), keys.percent(F.col(c), F.col("rows")).alias("pct"))
             for c in labels
         ],
     )
@@ -159,7 +159,7 @@ def label_stats(df: DataFrame, labels: Sequence[str]) -> DataFrame:
             F.lit(c).alias("label"),
             *[F.col(f"{c}_{name}").alias(name) for name in outcomes],
             *[
-                (F.col(f"{c}_{name}") * 100.0 / F.col("rows")).alias(name.replace("n", "pct", 1))
+                keys.percent(F.col(f"{c}_{name}"), F.col("rows")).alias(name.replace("n", "pct", 1))
                 for name in outcomes
             ],
             F.coalesce(ratio, F.lit("N/A")).alias("ratio"),

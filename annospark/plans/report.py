@@ -73,7 +73,7 @@ def _measures(df: DataFrame, label: str, text: str, row_id: str) -> DataFrame:
 
 
 def _pct(part: str) -> Column:
-    return F.when(F.col("rows") > 0, F.col(part) * 100.0 / F.col("rows"))
+    return keys.percent(F.col(part), F.col("rows"))
 
 
 def _rows(measures: DataFrame, entries: Sequence[tuple[str, Column, Column]], names: tuple[str, str, str]) -> DataFrame:
@@ -123,7 +123,7 @@ def recommendations(df: DataFrame, label: str, text: str, row_id: str) -> DataFr
         return F.when(F.col(column) > 0, yes).otherwise(no)
 
     ratio = F.when(F.least("n0", "n1") > 0, F.greatest("n0", "n1") / F.least("n0", "n1"))
-    stop_pct = F.when(F.col("tokens") > 0, F.col("stop_tokens") * 100.0 / F.col("tokens"))
+    stop_pct = keys.percent(F.col("stop_tokens"), F.col("tokens"))
     entries = [
         ("invalid_texts", _pct("invalid"), when_any("invalid", "drop invalid rows", "nothing to drop")),
         ("lowercase", _pct("allcaps"), F.lit("consider, not automatic")),

@@ -141,6 +141,19 @@ def resample_up(spark, sf):
     return sampling.resample_ratio(df, "label", "doc_id")
 
 
+@query(
+    "union_membership",
+    f"{q.ANNOTATED} SELECT 'a' AS part, doc_id, topic FROM annotated WHERE topic IN ('src0', 'src7') UNION ALL "
+    "SELECT 'b', doc_id, topic FROM annotated WHERE topic NOT IN ('src0', 'src7')",
+)
+def union_membership(spark, sf):
+    df = fx.annotated(spark, sf).select("doc_id", "topic")
+    wanted = F.col("topic").isin("src0", "src7")
+    return sampling.union_all(
+        df.filter(wanted).select(F.lit("a").alias("part"), "*"), df.filter(~wanted).select(F.lit("b").alias("part"), "*")
+    )
+
+
 @query(
     "sort_top_rows",
     f"{q.ANNOTATED} SELECT doc_id, topic, CAST({q.n_words('text')} AS INTEGER) AS words FROM annotated ORDER BY words DESC, topic, doc_id LIMIT 25",
@@ -152,10 +165,10 @@ def sort_top_rows(spark, sf):
 
 @query(
     "row_number_in_group",
-    "SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS row_in_group FROM conversations",
+    "SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS row_in_group FROM conversations",
 )
 def row_number_in_group(spark, sf):
-    return sampling.with_row_number(fx.table(spark, sf, "conversations").select("conv_id", "turn"), ["conv_id"], ["turn"])
+    return sampling.with_row_number(fx.table(spark, sf, "conversations").select("conv_id", "turn"), ["conv_id"], "turn")
 
 
 # --- scores ------------------------------------------------------------------------------
