@@ -41,7 +41,7 @@ def _two_level_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str],
     ranked rows are already partitioned.
     """
     name = F.to_json(F.struct(*[F.col(f"`{g}`") for g in groups]), {"ignoreNullFields": "false"})
-    key = F.concat(name, F.lit("#"), F.col("_b").cast("string")).alias("_key")
+    key = F.coalesce(F.concat(name, F.lit("#"), F.col("_b").cast("string")), F.lit("")).alias("_key")
     inside = Window.partitionBy("_key").orderBy(*order)
     ranked = df.select("*", key).withColumn("_in", F.row_number().over(inside))
     sizes = df.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))

@@ -56,14 +56,10 @@ def prepare(
     split = sampling.stratified_split(
         unique, target, row_id, (("test", test),), seed=seed, classes=lex.VOTE_OUTCOMES
     )
-    return split.select(
-        row_id,
-        text,
-        clean.preprocess(F.col(text), False, slang, emoji).alias("text_clean_cased"),
-        clean.preprocess(F.col(text), True, slang, emoji).alias("text_clean_lower"),
-        target,
-        "split",
-    )
+    cased = clean.preprocess(F.col(text), False, slang, emoji)
+    # Lower-casing touches no blank, so the second form follows from the first.
+    out = split.withColumn("text_clean_cased", cased).withColumn("text_clean_lower", F.lower("text_clean_cased"))
+    return out.select(row_id, text, "text_clean_cased", "text_clean_lower", target, "split")
 
 
 def step_log(df: DataFrame, row_id: str, text: str = "text", label: str = "toxicity") -> DataFrame:

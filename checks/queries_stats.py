@@ -425,11 +425,8 @@ def tfidf_shape(spark, sf):
 
 
 def cleaned(spark, sf):
-    return fx.annotated(spark, sf).select(
-        "doc_id",
-        cleaning.preprocess(text()).alias("cased"),
-        cleaning.preprocess(text(), lowercase=True).alias("lowered"),
-    )
+    cased = fx.annotated(spark, sf).select("doc_id", cleaning.preprocess(text()).alias("cased"))
+    return cased.withColumn("lowered", F.lower("cased"))
 
 
 _CLEANED = (
