@@ -9,6 +9,7 @@ from annospark.functions import patterns as p
 from annospark.operators import labels as lab
 from annospark.operators import metrics, sampling, stats
 from annospark.plans import baselines, prepare
+from annospark.sources import tables
 from checks import fixtures as fx
 from checks import sql as q
 from checks.queries_labels import ATTRIBUTES, COLUMNS, _EXPLODED, _lines, dimension, labelled
@@ -218,6 +219,18 @@ def metrics_by_fold(spark, sf):
     return metrics.binary_metrics(fx.predictions(spark, sf), by=["fold"])
 
 
+@query(
+    "metrics_export",
+    f"{q.PREDICTIONS}, c AS (SELECT fold, {_C} FROM predictions GROUP BY fold), m AS ({_scored('c', 'fold')}) SELECT fold, tp, fp, fn, tn, accuracy, macro_f1, roc_auc FROM m",
+)
+def metrics_export(spark, sf):
+    path = tables.scratch_path(spark, "metrics-csv")
+    tables.write_metrics(metrics.binary_metrics(fx.predictions(spark, sf), by=["fold"]), path)
+    schema = "fold int, tp long, fp long, fn long, tn long, " + ", ".join(f"{s} double" for s in metrics.SCORES)
+    back = spark.read.schema(schema).option("header", "true").csv(path)
+    return back.select("fold", "tp", "fp", "fn", "tn", "accuracy", "macro_f1", "roc_auc")
+
+
 def _unrounded(by: str) -> str:
     return _scored("c", by).replace("round(CAST(", "(CAST(").replace(" AS DOUBLE), 6)", " AS DOUBLE))")
 

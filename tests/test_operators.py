@@ -213,6 +213,45 @@ def test_histogram_edges(spark):
     assert [r["n"] for r in stats.histogram(same, "v", 2).orderBy("bin").collect()] == [0, 2]
 
 
+def test_describe_exact_and_approximate(spark):
+    df = spark.range(1, 1002).select(F.col("id").alias("v"))
+    exact = profile.describe_numeric(df, ["v"]).first()
+    assert (exact["min"], exact["p25"], exact["p50"], exact["p75"], exact["max"]) == (1.0, 251.0, 501.0, 751.0, 1001.0)
+    approx = profile.describe_numeric(df, ["v"], approx=True).first()
+    assert abs(approx["p50"] - 501) <= 1
+
+
+def test_roles_and_time_columns(spark):
+    df = spark.createDataFrame([("x", "isi teks yang cukup panjang", "2024-01-02", "n/a", 1.0)], "kode string, body string, created_at string, datetime string, a_label double")
+    roles = profile.column_roles(df).first()
+    assert roles["text_column"] == "body" and roles["label_columns"] == "a_label" and roles["main_label"] == "a_label"
+    found = {r["column"]: r["is_time"] for r in profile.time_columns(df).collect()}
+    assert found == {"created_at": True, "datetime": False}
+    assert profile.time_columns(df.select("body")).count() == 0
+
+
+def test_run_comparison_and_rules(spark):
+    runs = spark.createDataFrame([("a", 0.5), ("a", 0.7), ("b", 0.8)], "variant string, f1 double")
+    out = {r["variant"]: r for r in metrics.run_comparison(runs, "variant", "f1", "a").collect()}
+    assert out["b"]["delta"] == pytest.approx(0.2) and out["a"]["std"] == pytest.approx(math.sqrt(0.02)) and out["b"]["std"] is None
+    df = spark.createDataFrame([(1, 0, 1, 0), (0, 1, 0, 1), (1, 1, 0, 0)], "label int, pred int, y int, p int")
+    cascade = metrics.cascade_rate(df, "label", "pred", {"s": ("y", "p")})
+    assert cascade.first()["cascade_rate"] == 0.5
+    fired = {r["rule"]: r["fires"] for r in metrics.iteration_advice(metrics.binary_metrics(df), cascade).collect()}
+    assert fired == {"cascading": True, "false_positives": True, "false_negatives": False}
+
+
+def test_strategies(spark):
+    df = spark.createDataFrame([(1, 0.5, "train", 1), (2, 0.5, "test", 2), (3, 1.0, "train", 3)], "id int, y double, split string, num_annotators int")
+    kept = {s: [(r["id"], r["weight"]) for r in lab.tie_strategy(df, s, "y").orderBy("id").collect()] for s in ("drop", "soft", "weighted")}
+    assert kept == {"drop": [(3, 1.0)], "soft": [(1, 1.0), (3, 1.0)], "weighted": [(1, 0.5), (3, 1.0)]}
+    phases = {r["id"]: r["phase"] for r in lab.annotator_strategy(df, "curriculum").collect()}
+    assert phases == {1: 2, 2: 1, 3: 1}
+    for bad in (lambda: lab.tie_strategy(df, "x", "y"), lambda: lab.annotator_strategy(df, "x"), lambda: lab.by_annotator_count(df, "x")):
+        with pytest.raises(ValueError):
+            bad()
+
+
 def test_metrics_by_hand(spark):
     df = spark.createDataFrame([(1, 1)] * 3 + [(1, 0)] * 1 + [(0, 1)] * 2 + [(0, 0)] * 4, "label int, pred int")
     m = metrics.binary_metrics(df).first()
