@@ -31,6 +31,17 @@ def signals_to_keep(df: DataFrame, text: str = "text", negations: Sequence[str]
     )
 
 
+def dominant_terms(df: DataFrame, text: str = "text", k: int = 5) -> DataFrame:
+    """Most frequent words and bigrams without stop words."""
+    words = lexical.without_stop_words(
+        lexical.token_counts(df, lexical.plain_words(F.col(text))), lex.STOP_WORDS, 2
+    )
+    bigrams = lexical.ngram_counts(df, lexical.vectorizer_words(F.col(text)), 2, min_df=2)
+    top_words = lexical.top(words, k).select(F.lit("word").alias("kind"), F.col("token").alias("term"), "n")
+    top_bigrams = lexical.top(bigrams, k, "term").select(F.lit("bigram").alias("kind"), "term", "n")
+    return top_words.unionByName(top_bigrams)
+
+
 def _measures(df: DataFrame, label: str, text: str, row_id: str) -> DataFrame:
     """One row with every number the reports quote."""
     body = p.filled(F.col(text))

@@ -469,6 +469,16 @@ def signals_to_keep(spark, sf):
     return report.signals_to_keep(fx.annotated(spark, sf))
 
 
+@query(
+    "dominant_terms",
+    f"{q.LABELLED}, {_gram_counts(2)}, w AS (SELECT token, n FROM {q.counts_of(PLAIN)} WHERE token NOT IN ({STOP}) AND len(token) > 1 ORDER BY n DESC, token LIMIT 5), "
+    "b AS (SELECT term, n FROM c ORDER BY n DESC, term LIMIT 5) "
+    "SELECT 'word' AS kind, token AS term, n FROM w UNION ALL SELECT 'bigram', term, n FROM b",
+)
+def dominant_terms(spark, sf):
+    return report.dominant_terms(fx.annotated(spark, sf))
+
+
 _MEASURES = (
     f"b AS (SELECT count(*)::DOUBLE AS rows, count(*) FILTER ({q.INVALID}) AS invalid, count(*) FILTER (toxicity_label = 0) AS n0, "
     f"count(*) FILTER (toxicity_label = 1) AS n1, max({WORDS}) AS max_words, "
