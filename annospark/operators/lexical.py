@@ -212,9 +212,13 @@ def tfidf_vocabulary(
     """``(term, df, idf)`` of the kept terms: at most ``max_features`` rows."""
     total = documents.agg(F.count(F.lit(1)).alias("d")).scalar()
     stats = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
+    kept = stats.withColumn("_n", total).filter(
+        (F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df)
+    )
+    # Only terms of the magnitudes that fill the vocabulary are sorted.
+    floor = keys.magnitude_floor(kept, "cf", max_features, at_least=True)
     return (
-        stats.withColumn("_n", total)
-        .filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df))
+        kept.filter(keys.magnitude(F.col("cf")) >= floor)
         .orderBy(F.col("cf").desc(), "term")
         .limit(max_features)
         .select("term", "df", (F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
