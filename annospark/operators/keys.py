@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Most groups treated as heavy: the bound of the broadcast table of a lookup.
-HEAVY_GROUPS = 10_000
+#: Groups treated as heavy: the bound of the broadcast table of a lookup.
+HEAVY_GROUPS = 1000
 
 #: Dimensions up to this many rows are broadcast, larger ones are shuffled.
 BROADCAST_ROWS = 100_000
@@ -56,19 +56,16 @@ def magnitude(n: Column) -> Column:
     return F.length(F.bin(n))
 
 
-def magnitude_floor(groups: DataFrame, size: str, k: int, at_least: bool) -> Column:
-    """Magnitude from which upward there are at most ``k`` groups, or at least ``k``.
+def magnitude_floor(groups: DataFrame, size: str, k: int) -> Column:
+    """Highest magnitude from which upward there are at least ``k`` groups, else 0.
 
-    At most 64 magnitudes are counted, so no group is sorted to find the
-    largest ones. 65 when even the top magnitude has more than ``k`` groups;
-    0 when all groups together are fewer than ``k``.
+    At most 64 magnitudes are counted, so a long table of groups is not sorted
+    to find its ``k`` largest: what lies below the floor can be dropped first.
     """
     sizes = groups.groupBy(magnitude(F.col(size)).alias("m")).agg(F.count(F.lit(1)).alias("n"))
     upward = Window.orderBy(F.col("m").desc()).rowsBetween(Window.unboundedPreceding, 0)
     counted = sizes.withColumn("above", F.sum("n").over(upward))
-    if at_least:
-        return counted.agg(F.coalesce(F.max(F.when(F.col("above") >= k, F.col("m"))), F.lit(0))).scalar()
-    return counted.agg(F.coalesce(F.min(F.when(F.col("above") <= k, F.col("m"))), F.lit(65))).scalar()
+    return counted.agg(F.coalesce(F.max(F.when(F.col("above") >= k, F.col("m"))), F.lit(0))).scalar()
 
 
 def lookup_by_key(
@@ -83,10 +80,10 @@ def lookup_by_key(
 ) -> DataFrame:
     """Attach ``values`` of each group to its rows, however large one group is.
 
-    The largest groups travel by broadcast: all from a magnitude upward, chosen
-    so that they are at most ``heavy`` groups. Their rows get a key of their
-    own in the shuffled join, so they spread over all tasks instead of meeting
-    in one. A group left to the shuffle holds less than 2 / ``heavy`` of the rows.
+    The ``heavy`` largest groups travel by broadcast, at most ``heavy`` rows by
+    construction. Rows of those groups get a key of their own in the shuffled
+    join, so they spread over all tasks instead of meeting in one. A group left
+    to the shuffle holds less than 1 / ``heavy`` of the rows.
     ``how`` is ``left`` or ``inner``; ``groups`` has one row per key.
     """
     # Both uses of ``groups`` have the same shape, so it is computed once.
@@ -95,9 +92,10 @@ def lookup_by_key(
         F.col(size).alias("_size"),
         F.struct(*values).alias("_light"),
     )
-    floor = magnitude_floor(rest, "_size", heavy, at_least=False)
-    top = rest.filter(magnitude(F.col("_size")) >= floor).select(
-        F.col("_join_key").alias("_heavy_key"), F.col("_light").alias("_heavy")
+    top = (
+        rest.orderBy(F.col("_size").desc(), "_join_key")
+        .limit(heavy)
+        .select(F.col("_join_key").alias("_heavy_key"), F.col("_light").alias("_heavy"))
     )
     own = F.concat(F.lit("key "), F.col(key).cast("string"))
     marked = rows.join(F.broadcast(top), own == F.col("_heavy_key"), "left").withColumn(

@@ -216,7 +216,7 @@ def tfidf_vocabulary(
         (F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df)
     )
     # Only terms of the magnitudes that fill the vocabulary are sorted.
-    floor = keys.magnitude_floor(kept, "cf", max_features, at_least=True)
+    floor = keys.magnitude_floor(kept, "cf", max_features)
     return (
         kept.filter(keys.magnitude(F.col("cf")) >= floor)
         .orderBy(F.col("cf").desc(), "term")
