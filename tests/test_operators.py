@@ -51,15 +51,6 @@ def test_lookup_by_key(hot, heavy, how):
     assert rows(got) == rows(want)
 
 
-def test_magnitude_floor(spark):
-    df = spark.createDataFrame([(x,) for x in (1, 1, 2, 3, 5, 9, 9, 40)], "n long")
-
-    def floor(k):
-        return spark.range(1).select(keys.magnitude_floor(df, "n", k)).first()[0]
-
-    assert [floor(k) for k in (1, 2, 3, 4, 8, 9)] == [6, 4, 4, 3, 1, 0]
-
-
 def test_vocabulary_keeps_the_most_frequent_terms(spark):
     df = spark.createDataFrame([(i, " ".join(f"k{j}" for j in range(i))) for i in range(1, 40)], "doc_id int, text string")
     terms = lexical.document_terms(df, "doc_id", lexical.vectorizer_words(F.col("text")), ())
