@@ -3,12 +3,12 @@
 A window is ``window`` consecutive words of one document. Words go if a window that covers them also starts in a document
 with a smaller id; windows are judged on the input.
 
-1. Sketch. Every window has an anchor, its 16-word run of the smallest hash; equal windows have equal anchors. Each task
+1. Sketch. Every window has an anchor, its 36-word run of the smallest hash; equal windows have equal anchors. Each task
    counts, in a count-min sketch, the documents of each anchor, and the merged sketch never gives less than the number of
    documents that hold a window.
 2. Windows whose anchor is estimated in two documents or more are grouped exactly, by 128 bits of their words. First come
    whole runs of such windows: of equal runs, all but those of the smallest id go without a look at their windows. Then
-   come the windows of the remaining runs.
+   come the windows of the remaining runs, which are as many as there are different runs around them.
 
 Defined results: null text has no words; a null id takes no part, its text stays; rows that share an id don't remove each
 other's words; texts shorter than a window stay; other columns stay as they are, but for ``n_words`` and ``n_removed``.
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from llm.shared import CELLS, Sketch, cell_batches, sketch_for, with_first, written
 from llm.words import BASES, Block, blocks, spans_hash
 
-ANCHOR = 16
+ANCHOR = 36
 #: Counters of a row of the sketch, at most: tasks receive 2 * 2**27 / 4 bytes.
 SKETCH_BITS = 27
 _RUN = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
@@ -159,7 +159,7 @@ def _without(window: int, text_at: int):
 def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """The documents with ``_kept`` (kept words joined by one space), ``n_words`` and ``n_removed``."""
     documents = documents.drop("n_words", "n_removed")
-    sketch = sketch_for(documents, text_col, 60, SKETCH_BITS, 2)
+    sketch = sketch_for(documents, text_col, 40, SKETCH_BITS, 2)
     sketch.merged(documents.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(_counted(sketch, window), CELLS))
 
     schema = T.StructType([*documents.schema.fields, *T._parse_datatype_string(f"_runs {_RUNS}").fields])
@@ -174,7 +174,9 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     texts = found.where(hit).select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     windows = texts.join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
     windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 bigint, _row bigint, _id bigint, at int")
-    windows = with_first(written(windows, "windows"), ["h1", "h2"], "_id").where(later).select("_row", "at", F.lit(1).alias("n"))
+    windows = written(windows, "windows")
+    first = windows.groupBy("h1", "h2").agg(F.min("_id").alias("first"), F.max("_id").alias("_high")).where("first < _high")
+    windows = windows.join(first, ["h1", "h2"]).where(later).select("_row", "at", F.lit(1).alias("n"))
     gone = windows.unionAll(runs.where(later).select("_row", "at", "n"))
     gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s")).select("_row", "s.at", "s.n")
 
