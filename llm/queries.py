@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.ngram_join import ngram_components
+from llm.packing import pack
+from llm.piece_codec import encode_texts
 from llm.shared import ship, table
 from llm.substring_dedup import dedup_substrings
 
+#: Folder of the public vocabulary files, if not that of the installed package.
+TOKENIZERS: str | None = None
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -23,7 +29,46 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
+def vocabulary(name: str) -> str:
+    if TOKENIZERS is not None:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return pack(documents, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("_kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packed(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_texts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
