@@ -28,8 +28,8 @@ from llm.shared import CELLS, Sketch, cell_batches, sketch_for, with_first, writ
 from llm.words import BASES, Block, blocks, spans_hash
 
 ANCHOR = 36
-#: Counters of a row of the sketch, at most: tasks receive 2 * 2**27 / 4 bytes.
-SKETCH_BITS = 27
+#: Rows of the sketch, and counters of a row at most: tasks receive 4 * 2**26 / 4 bytes.
+DEPTH, SKETCH_BITS = 4, 26
 _RUN = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 _RUNS = "array<struct<h1:bigint,h2:bigint,at:int,n:int>>"
 
@@ -159,19 +159,20 @@ def _without(window: int, text_at: int):
 def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """The documents with ``_kept`` (kept words joined by one space), ``n_words`` and ``n_removed``."""
     documents = documents.drop("n_words", "n_removed")
-    sketch = sketch_for(documents, text_col, 40, SKETCH_BITS, 2)
+    sketch = sketch_for(documents, text_col, 40, SKETCH_BITS, DEPTH)
     sketch.merged(documents.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(_counted(sketch, window), CELLS))
 
     schema = T.StructType([*documents.schema.fields, *T._parse_datatype_string(f"_runs {_RUNS}").fields])
     found = documents.mapInArrow(_found(sketch, window, documents.columns.index(text_col)), schema)
-    found = written(found.withColumn("_row", F.monotonically_increasing_id()), "found")
     hit = (F.size("_runs") > 0) & F.col(id_col).isNotNull()
+    other = found.where(~hit)  # looked through again at the end, which takes less than keeping all texts
+    found = written(found.where(hit).withColumn("_row", F.monotonically_increasing_id()), "found")
 
-    runs = found.where(hit).select("_row", F.col(id_col).alias("_id"), F.inline("_runs"))
+    runs = found.select("_row", F.col(id_col).alias("_id"), F.inline("_runs"))
     runs = written(with_first(runs, ["h1", "h2"], "_id"), "runs")
     later = F.col("_id") > F.col("first")
     own = runs.where(F.coalesce(~later, F.lit(True))).groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
-    texts = found.where(hit).select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    texts = found.select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     windows = texts.join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
     windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 bigint, _row bigint, _id bigint, at int")
     windows = written(windows, "windows")
@@ -182,8 +183,8 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     none = F.lit(None).cast("array<int>")
     kept = [F.col(f"`{c}`") for c in documents.columns]
-    same = found.where(~hit).select(*kept, none.alias("_at"), none.alias("_n"))
-    changed = found.where(hit).join(gone, "_row", "left").select(*kept, F.col("at").alias("_at"), F.col("n").alias("_n"))
+    same = other.select(*kept, none.alias("_at"), none.alias("_n"))
+    changed = found.join(gone, "_row", "left").select(*kept, F.col("at").alias("_at"), F.col("n").alias("_n"))
     schema = T.StructType(
         [*documents.schema.fields, *T._parse_datatype_string("_kept string, n_words bigint, n_removed bigint").fields]
     )
