@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm import language_id, quality_model
+from llm.line_dedup import dedup_lines
 from llm.ngram_join import ngram_components
 from llm.packing import pack
 from llm.piece_codec import encode_texts
+from llm.quality_rules import FEATURES, judge
 from llm.shared import ship, table
 from llm.substring_dedup import dedup_substrings
+from llm.vector_search import nearest
+from llm.warc import archived
 
 #: Folder of the public vocabulary files, if not that of the installed package.
 TOKENIZERS: str | None = None
@@ -72,3 +77,44 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_components(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    model = quality_model.train(documents, labels, "doc_id", "text", "quality")
+    scored = documents.select("doc_id", held_out, quality_model.quality(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op7_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).alias("held_out")
+    model = language_id.train(documents.where(~held_out))
+    return language_id.identify(documents.select("doc_id", "text", held_out), "text", model).drop("text")
+
+
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", *FEATURES, "base_failed", "kept")
