@@ -151,7 +151,9 @@ class Sketch:
         rows = parts.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge, "segment int, levels binary")
         size = (1 << SEGMENT_BITS) // 4
         levels = np.zeros(max(self.depth << self.bits >> 2, size), dtype=np.uint8)
-        for segment, packed in rows.collect():
+        found = rows.collect()
+        while found:
+            segment, packed = found.pop()
             levels[segment * size : (segment + 1) * size] = np.frombuffer(packed, dtype=np.uint8)
         self.levels = spark.sparkContext.broadcast(levels)
         return self
