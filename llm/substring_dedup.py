@@ -30,6 +30,8 @@ from llm.words import BASES, Block, blocks, spans_hash
 ANCHOR = 36
 #: Rows of the sketch, and counters of a row at most: tasks receive 4 * 2**26 / 4 bytes.
 DEPTH, SKETCH_BITS = 4, 26
+#: Rows of an output batch, at most.
+ROWS = 1000
 _RUN = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
 _RUNS = "array<struct<h1:bigint,h2:bigint,at:int,n:int>>"
 
@@ -70,10 +72,10 @@ def _counted(sketch: Sketch, window: int):
     return run
 
 
-def _found(sketch: Sketch, window: int, text_at: int):
-    """Adds the runs of windows that may be repeated."""
+def _runs(sketch: Sketch, window: int, column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]] | None:
+    """Runs of windows that may be repeated: their number in each text, and the fields of all."""
 
-    def runs(block: Block) -> tuple[np.ndarray, ...]:
+    def of_block(block: Block) -> tuple[np.ndarray, ...]:
         hashes = block.hashes()
         text, at, anchor = _anchors(block, hashes, window)
         hit = sketch.level(anchor) > 0
@@ -84,21 +86,39 @@ def _found(sketch: Sketch, window: int, text_at: int):
         h1, h2 = (spans_hash(hashes, at, at + n + window - 1, b).view(np.int64) for b in BASES)
         return np.bincount(text, minlength=block.n), h1, h2, (at - block.first[text]).astype(np.int32), n.astype(np.int32)
 
+    parts = [of_block(b) for b in blocks(column)]
+    if not parts:
+        return None
+    per_text, *fields = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return per_text, fields
+
+
+def _found(sketch: Sketch, window: int, id_at: int, text_at: int, repeated: bool):
+    """Rows that may hold repeated windows, with their runs; or else all other rows, as they come out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [runs(b) for b in blocks(batch.column(text_at))]
-            if not parts:
+            if (found := _runs(sketch, window, batch.column(text_at))) is None:
                 continue
-            per_text, *fields = (np.concatenate(x) for x in zip(*parts, strict=True))
-            offsets = pa.array(np.r_[0, np.cumsum(per_text)].astype(np.int32))
-            values = pa.StructArray.from_arrays([pa.array(x) for x in fields], fields=list(_RUN))
-            yield pa.record_batch(
-                [*batch.columns, pa.ListArray.from_arrays(offsets, values)], names=[*batch.schema.names, "_runs"]
-            )
+            per_text, fields = found
+            hit = (per_text > 0) & batch.column(id_at).is_valid().to_numpy(zero_copy_only=False)
+            if not repeated:
+                yield from _without(window, text_at)([_with_none(batch.filter(pa.array(~hit)))])
+                continue
+            keep = np.repeat(hit, per_text)
+            offsets = pa.array(np.r_[0, np.cumsum(per_text[hit])].astype(np.int32))
+            values = pa.StructArray.from_arrays([pa.array(x[keep]) for x in fields], fields=list(_RUN))
+            rows = batch.filter(pa.array(hit))
+            yield pa.record_batch([*rows.columns, pa.ListArray.from_arrays(offsets, values)], names=[*batch.schema.names, "_runs"])
 
     return run
 
 
+def _with_none(batch: pa.RecordBatch) -> pa.RecordBatch:
+    none = pa.nulls(len(batch), pa.list_(pa.int32()))
+    return pa.record_batch([*batch.columns, none, none], names=[*batch.schema.names, "_at", "_n"])
+
+
 def _expanded(window: int):
     """(row, id, text, at[], n[]) to the windows of those runs."""
 
@@ -127,31 +147,26 @@ def _expanded(window: int):
 def _without(window: int, text_at: int):
     """Takes the removed windows, in the last two columns (first windows, their number), out of the texts."""
 
+    def kept(text: str | None, at: list[int] | None, n: list[int] | None) -> tuple[str, int, int]:
+        words = (text or "").encode().split()
+        total = len(words)
+        if at:
+            edges = np.zeros(total + 1, dtype=np.int64)
+            np.add.at(edges, at, 1)
+            np.add.at(edges, np.array(at) + np.array(n) + window - 1, -1)
+            stays = np.cumsum(edges)[:-1] == 0
+            words = [w for w, s in zip(words, stays.tolist(), strict=True) if s]
+        return b" ".join(words).decode(), total, total - len(words)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, total, gone = [], [], []
-            starts, counts = batch.column(-2), batch.column(-1)
-            column = batch.column(text_at)
-            for i in range(len(batch)):
-                text = column[i].as_py()
-                words = [] if text is None else text.encode().split()
-                total.append(len(words))
-                at = starts[i].as_py()
-                if at:
-                    edges = np.zeros(len(words) + 1, dtype=np.int64)
-                    at = np.array(at)
-                    np.add.at(edges, at, 1)
-                    np.add.at(edges, at + np.array(counts[i].as_py()) + window - 1, -1)
-                    stays = np.cumsum(edges)[:-1] == 0
-                    words = [w for w, s in zip(words, stays.tolist(), strict=True) if s]
-                    gone.append(len(stays) - len(words))
-                else:
-                    gone.append(0)
-                texts.append(b" ".join(words).decode())
-            yield pa.record_batch(
-                [*batch.columns[:-2], pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
-                names=[*batch.schema.names[:-2], "_kept", "n_words", "n_removed"],
-            )
+        for whole in batches:
+            for start in range(0, len(whole), ROWS):
+                batch = whole.slice(start, ROWS)
+                columns = (batch.column(i) for i in (text_at, -2, -1))
+                found = [kept(*(x.as_py() for x in row)) for row in zip(*columns, strict=True)]
+                texts, total, gone = zip(*found, strict=True)
+                added = [pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())]
+                yield pa.record_batch([*batch.columns[:-2], *added], names=[*batch.schema.names[:-2], "_kept", "n_words", "n_removed"])
 
     return run
 
@@ -162,11 +177,10 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     sketch = sketch_for(documents, text_col, 40, SKETCH_BITS, DEPTH)
     sketch.merged(documents.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(_counted(sketch, window), CELLS))
 
+    id_at, text_at = documents.columns.index(id_col), documents.columns.index(text_col)
     schema = T.StructType([*documents.schema.fields, *T._parse_datatype_string(f"_runs {_RUNS}").fields])
-    found = documents.mapInArrow(_found(sketch, window, documents.columns.index(text_col)), schema)
-    hit = (F.size("_runs") > 0) & F.col(id_col).isNotNull()
-    other = found.where(~hit)  # looked through again at the end, which takes less than keeping all texts
-    found = written(found.where(hit).withColumn("_row", F.monotonically_increasing_id()), "found")
+    found = documents.mapInArrow(_found(sketch, window, id_at, text_at, True), schema)
+    found = written(found.withColumn("_row", F.monotonically_increasing_id()), "found")
 
     runs = found.select("_row", F.col(id_col).alias("_id"), F.inline("_runs"))
     runs = written(with_first(runs, ["h1", "h2"], "_id"), "runs")
@@ -181,12 +195,11 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     gone = windows.unionAll(runs.where(later).select("_row", "at", "n"))
     gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s")).select("_row", "s.at", "s.n")
 
-    none = F.lit(None).cast("array<int>")
     kept = [F.col(f"`{c}`") for c in documents.columns]
-    same = other.select(*kept, none.alias("_at"), none.alias("_n"))
-    changed = found.join(gone, "_row", "left").select(*kept, F.col("at").alias("_at"), F.col("n").alias("_n"))
     schema = T.StructType(
         [*documents.schema.fields, *T._parse_datatype_string("_kept string, n_words bigint, n_removed bigint").fields]
     )
-    return same.unionAll(changed).mapInArrow(_without(window, documents.columns.index(text_col)), schema)
-
+    changed = found.join(gone, "_row", "left").select(*kept, F.col("at").alias("_at"), F.col("n").alias("_n"))
+    changed = changed.mapInArrow(_without(window, text_at), schema)
+    # All other texts are looked through again, which takes less room than keeping them meanwhile.
+    return documents.mapInArrow(_found(sketch, window, id_at, text_at, False), schema).unionAll(changed)
