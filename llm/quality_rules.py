@@ -81,7 +81,7 @@ def default_rules() -> list[Rule]:
     return [
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("symbols", F.col("n_symbols") * 10 > n),
-        Rule("lines_repeated", F.col("n_dup_lines") * 10 > F.col("_n_lines") * 3),
+        Rule("lines_repeated", F.col("n_dup_lines") * 2 > F.col("_n_lines")),
         Rule("shouting", _count(r"\p{Lu}") * 2 > _count(r"\p{L}")),
         Rule("letters", _count(r"\p{L}") * 2 < F.col("word_chars")),
         Rule("exclamation", _count("!") * 5 > n),

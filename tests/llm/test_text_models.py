@@ -91,6 +91,7 @@ def test_rule_counts_of(spark, text):
 
 
 def test_cascade(spark, docs, empty):
+    docs = docs.withColumn("text", F.translate("text", "0123456789", "abcdefghij"))
     rows = {r.doc_id: r for r in judge(docs).collect()}
     assert rows[14].base_failed and not rows[14].kept and rows[5].broken_rule == "base"
     assert rows[1].kept and rows[1].broken_rule is None
