@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from annospark.functions import lexicons as lex
 from annospark.functions.patterns import WS
 
-_NUMBER = r"[+-]?\d{1,9}"
+_NUMBER = r"[+-]?\d+"
 _GAP = f"[{WS}]*"
 _ITEM = rf"(?:'{_GAP}{_NUMBER}{_GAP}'|\"{_GAP}{_NUMBER}{_GAP}\"|{_NUMBER}(?:\.\d*)?)"
 _ITEMS = rf"(?:{_GAP}{_ITEM}{_GAP}(?:,{_GAP}{_ITEM}{_GAP})*,?)?{_GAP}"
@@ -24,12 +24,15 @@ _ID_ITEM = rf"'[^']*'|\"[^\"]*\"|[^{WS},\[\]'\"]+"
 
 
 def parse_votes(raw: Column) -> Column:
-    """``array<int>`` of the votes; empty when the text is not a list of integers."""
+    """``array<bigint>`` of the votes; empty when the text is not a list of integers.
+
+    A number beyond 64 bits is a null vote: it counts as a vote and adds nothing.
+    """
     numbers = F.regexp_extract_all(raw, F.lit(rf"({_NUMBER})(?:\.\d*)?"), F.lit(1))
     return F.when(
         F.coalesce(raw.rlike(_VOTE_LIST), F.lit(False)),
-        numbers.cast("array<int>"),
-    ).otherwise(F.array().cast("array<int>"))
+        numbers.try_cast("array<bigint>"),
+    ).otherwise(F.array().cast("array<bigint>"))
 
 
 def parse_ids(raw: Column) -> Column:
@@ -51,7 +54,7 @@ def _fold(votes: Column, finish: Callable[[Column, Column], Column]) -> Column:
     return F.aggregate(
         votes,
         start,
-        lambda s, x: F.struct((s["n"] + 1).alias("n"), (s["total"] + x).alias("total")),
+        lambda s, x: F.struct((s["n"] + 1).alias("n"), (s["total"] + F.coalesce(x, F.lit(0))).alias("total")),
         lambda s: finish(s["n"], s["total"]),
     )
 

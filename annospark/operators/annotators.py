@@ -43,26 +43,26 @@ def explode_annotations(
     annotators: DataFrame,
     labels: Sequence[str] = lex.LABELS,
     ids: str = "annotators_id",
-    broadcast_rows: int = keys.BROADCAST_ROWS,
+    small: bool = False,
+    row_id: str | None = None,
 ) -> DataFrame:
     """One row per (text, known annotator) with that annotator's own votes.
 
-    A vote belongs to the annotator at the same position, fixed before the
-    join, so an annotator missing from the dimension shifts nobody's vote.
-    A dimension of at most ``broadcast_rows`` rows is broadcast; a larger one
-    is joined with the busiest annotators spread over all tasks.
+    A vote belongs to the annotator at the same position, fixed before the join, so an annotator missing from the dimension
+    shifts nobody's vote. The annotators are sent to pieces of the annotations, so a busy one isn't one task's work; a
+    caller who knows the dimension to be ``small`` has it broadcast. Rows and columns are the same either way. Rows are dealt
+    out by ``row_id``, or by all their values if none is named.
     """
     voted = with_positions(df, labels, ids)
-    others = annotators.columns
-    clash = [c for c in others if c in voted.columns and c != "annotator_id"]
+    clash = [c for c in annotators.columns if c in voted.columns and c != "annotator_id"]
     dimension = annotators.drop(*clash)
-    if keys.is_small(dimension, broadcast_rows):
-        return voted.join(F.broadcast(dimension), "annotator_id", "inner")
-    load = voted.groupBy("annotator_id").agg(F.count(F.lit(1)).alias("_n"))
-    sized = dimension.join(load, "annotator_id")
-    marked = voted.withColumn("_row", F.concat_ws("/", "text_id", "text_id_index"))
     values = [c for c in dimension.columns if c != "annotator_id"]
-    return keys.lookup_by_key(marked, sized, "annotator_id", "_row", "_n", values, "inner").drop("_row")
+    if small:
+        joined = voted.join(F.broadcast(dimension), "annotator_id", "inner")
+        return joined.select(*[F.col(f"`{c}`") for c in voted.columns], *[F.col(f"`{c}`") for c in values])
+    own = [row_id] if row_id else [f.name for f in voted.schema.fields if "map<" not in f.dataType.simpleString()]
+    dealt = voted.withColumn("_row", F.xxhash64("text_id_index", *[F.col(f"`{c}`") for c in own]))
+    return keys.lookup_by_key(dealt, dimension, "annotator_id", "_row", values, "inner").drop("_row")
 
 
 def with_positions(df: DataFrame, labels: Sequence[str], ids: str = "annotators_id") -> DataFrame:

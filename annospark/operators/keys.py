@@ -11,15 +11,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Groups treated as heavy: the bound of the broadcast table of a lookup.
-HEAVY_GROUPS = 1000
+#: Tasks among which a lookup deals the rows of one key.
+SALTS = 32
 
-#: Dimensions up to this many rows are broadcast, larger ones are shuffled.
-BROADCAST_ROWS = 100_000
+#: Ranges into which an ordered column is cut by its own quantiles.
+RANGES = 256
 
 
 NO_VALUE = "null"
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def digest(value: Column) -> Column:
@@ -32,8 +34,18 @@ def digest(value: Column) -> Column:
 
 
 def row_digest(df: DataFrame) -> Column:
-    """Digest of a whole row; nulls are part of it."""
-    return digest(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    """Digest of a whole row: every column's exact value with its length, nulls marked."""
+    parts = []
+    for f in df.schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            value = F.to_json(F.struct(value), {"ignoreNullFields": "false", "timestampFormat": _MICROS, "timestampNTZFormat": _MICROS})
+        elif isinstance(f.dataType, T.BinaryType):
+            value = F.base64(value)
+        else:
+            value = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-")))
+    return digest(F.concat_ws(",", *parts))
 
 
 def seeded_digest(row_id: Column, seed: int) -> Column:
@@ -41,11 +53,6 @@ def seeded_digest(row_id: Column, seed: int) -> Column:
     return F.md5(F.concat(row_id.cast("string"), F.lit(f"#{seed}")))
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def rows_at(df: DataFrame, positions: DataFrame, row_id: str) -> DataFrame:
     """Rows whose unique id is listed: a semi join on an evenly spread key."""
     return df.join(positions.select(row_id), row_id, "left_semi")
@@ -56,44 +63,39 @@ def lookup_by_key(
     groups: DataFrame,
     key: str,
     row_id: str,
-    size: str,
     values: Sequence[str],
     how: str = "left",
-    heavy: int = HEAVY_GROUPS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Attach ``values`` of each group to its rows, however large one group is.
 
-    The ``heavy`` largest groups travel by broadcast, at most ``heavy`` rows by
-    construction. Rows of those groups get a key of their own in the shuffled
-    join, so they spread over all tasks instead of meeting in one. A group left
-    to the shuffle holds less than 1 / ``heavy`` of the rows.
+    Every group is sent ``salts`` times and its rows are dealt among the copies by their id, so one group's rows meet in
+    ``salts`` pieces whatever its size. Keep ``rows`` narrow and ``groups`` to those that matter.
     ``how`` is ``left`` or ``inner``; ``groups`` has one row per key.
     """
-    # Both uses of ``groups`` have the same shape, so it is computed once.
-    rest = groups.select(
-        F.concat(F.lit("key "), F.col(key).cast("string")).alias("_join_key"),
-        F.col(size).alias("_size"),
-        F.struct(*values).alias("_light"),
-    )
-    top = (
-        rest.orderBy(F.col("_size").desc(), "_join_key")
-        .limit(heavy)
-        .select(F.col("_join_key").alias("_heavy_key"), F.col("_light").alias("_heavy"))
+    copies = groups.select(key, *values).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = rows.drop(*values).withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
+    return dealt.join(copies, [key, "_salt"], how).select(
+        *[F.col(f"`{c}`") for c in rows.columns if c not in values], *values
     )
-    own = F.concat(F.lit("key "), F.col(key).cast("string"))
-    marked = rows.join(F.broadcast(top), own == F.col("_heavy_key"), "left").withColumn(
-        "_join_key",
-        F.when(
-            F.col("_heavy").isNotNull() | F.col(key).isNull(),
-            F.concat(F.lit("row "), F.col(row_id).cast("string")),
-        ).otherwise(own),
-    )
-    joined = marked.join(rest.drop("_size"), "_join_key", "left")
-    found = F.coalesce(F.col("_heavy"), F.col("_light"))
-    if how == "inner":
-        joined = joined.filter(found.isNotNull())
-    out = [F.col(f"`{c}`") for c in rows.columns if c not in values]
-    return joined.select(*out, *[found.getField(v).alias(v) for v in values])
+
+
+def range_of(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
+    """Number of the range a value falls in; the ranges hold about equal shares of the rows of ``df``.
+
+    The cuts come from approximate quantiles, so they follow the data, and reach the driver (``ranges`` numbers).
+    """
+    shares = [i / ranges for i in range(1, ranges)]
+    found = df.agg(F.percentile_approx(column, shares, 10 * ranges)).first()[0] or []
+    cuts = sorted(set(found))
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(column) < F.lit(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(cuts))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -101,22 +103,12 @@ def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part * 100.0, whole)
 
 
-def domain_of(df: DataFrame, column: str, max_values: int = 1000) -> list:
-    """Distinct non-null values of a class column, refused beyond ``max_values``.
+def domain_of(df: DataFrame, column: str) -> list:
+    """Distinct non-null values of a class column, in order.
 
     Pass the values yourself where they are known: this reads the column once.
     """
-    found = (
-        df.filter(F.col(column).isNotNull())
-        .select(column)
-        .distinct()
-        .limit(max_values + 1)
-        .toPandas()[column]
-        .tolist()
-    )
-    if len(found) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values; it is not a class column")
-    return sorted(found)
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def unpivot_row(row: DataFrame, fields: Sequence[Column]) -> DataFrame:

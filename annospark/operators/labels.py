@@ -39,12 +39,25 @@ def by_annotator_count(df: DataFrame, approach: str, count: str = "num_annotator
     raise ValueError(f"Unsupported approach: {approach}")
 
 
-def resolve_conflicts(df: DataFrame, key: Column, label: str, row_id: str, out: str = "resolved") -> DataFrame:
+def most_frequent(label: Column, outcomes: Sequence[float] = lex.VOTE_OUTCOMES) -> Column:
+    """Aggregate: the most frequent of the declared outcomes, ties to the smallest; null if none occurs."""
+    counts = [F.count(F.when(label == v, 1)) for v in outcomes]
+    most = F.greatest(*counts)
+    out = F.lit(None).cast("double")
+    for v, n in sorted(zip(outcomes, counts, strict=True), reverse=True):
+        out = F.when((n == most) & (n > 0), F.lit(float(v))).otherwise(out)
+    return out
+
+
+def resolve_conflicts(
+    df: DataFrame, key: Column, label: str, row_id: str, out: str = "resolved", outcomes: Sequence[float] = lex.VOTE_OUTCOMES
+) -> DataFrame:
     """Give every row the most frequent label of its group, ties to the smallest.
 
-    Only groups whose labels differ are joined back; all other rows keep their own.
+    Only rows of groups whose labels differ are looked up, by id and key alone; all other rows keep their own label.
+    ``outcomes`` are the labels that can occur.
     """
-    keyed = df.withColumn("_key", keys.digest(key))
+    keyed = df.select(row_id, F.col(label), keys.digest(key).alias("_key"))
     groups = (
         keyed.groupBy("_key")
         .agg(
@@ -52,12 +65,14 @@ def resolve_conflicts(df: DataFrame, key: Column, label: str, row_id: str, out:
             F.count(label).alias("_known"),
             F.min(label).alias("_lo"),
             F.max(label).alias("_hi"),
-            F.mode(F.col(label), True).alias("_mode"),
+            most_frequent(F.col(label), outcomes).alias("_mode"),
         )
         .filter((F.col("_lo") != F.col("_hi")) | ((F.col("_known") > 0) & (F.col("_known") < F.col("_n"))))
     )
-    joined = keys.lookup_by_key(keyed, groups, "_key", row_id, "_n", ["_mode"])
-    return joined.withColumn(out, F.coalesce(F.col("_mode"), F.col(label))).drop("_key", "_mode")
+    found = keys.lookup_by_key(keyed.select(row_id, "_key"), groups, "_key", row_id, ["_mode"], "inner").drop("_key")
+    return df.join(found, row_id, "left").select(
+        *[F.col(f"`{c}`") for c in df.columns if c != out], F.coalesce(F.col("_mode"), F.col(label)).alias(out)
+    )
 
 
 def is_changed(label: Column, resolved: Column) -> Column:

@@ -17,8 +17,6 @@ from annospark.functions import patterns as p
 from annospark.functions import tokens as tok
 from annospark.operators import keys
 
-MAX_FEATURES = 30_000
-
 
 # --- tokenizers: text column -> array<string> --------------------------------
 def space_tokens(text: Column) -> Column:
@@ -207,18 +205,15 @@ def document_terms(
 
 
 def tfidf_vocabulary(
-    terms: DataFrame, documents: DataFrame, min_df: int, max_df: float, max_features: int
+    terms: DataFrame, documents: DataFrame, min_df: int, max_df: float, max_features: int | None = None
 ) -> DataFrame:
-    """``(term, df, idf)`` of the kept terms: at most ``max_features`` rows."""
+    """``(term, df, idf)`` of the kept terms: the ``max_features`` most frequent of them, or all."""
     total = documents.agg(F.count(F.lit(1)).alias("d")).scalar()
     stats = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    return (
-        stats.withColumn("_n", total)
-        .filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df))
-        .orderBy(F.col("cf").desc(), "term")
-        .limit(max_features)
-        .select("term", "df", (F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    )
+    kept = stats.withColumn("_n", total).filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df))
+    if max_features is not None:
+        kept = kept.orderBy(F.col("cf").desc(), "term").limit(max_features)
+    return kept.select("term", "df", (F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def tfidf_weights(
@@ -228,17 +223,19 @@ def tfidf_weights(
     stop_words: Sequence[str] = lex.STOP_WORDS,
     min_df: int = 2,
     max_df: float = 0.98,
-    max_features: int = MAX_FEATURES,
+    max_features: int | None = None,
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """``(doc_id, carry…, term, weight)``: sublinear tf, smoothed idf, unit length per document.
 
-    The vocabulary is bounded by ``max_features`` and broadcast, so the only
+    A vocabulary bounded by ``max_features`` is broadcast, and then the only
     wide shuffle gathers a document's kept terms for its norm.
     """
     terms = document_terms(df, doc_id, tokens, stop_words, carry)
     vocabulary = tfidf_vocabulary(terms, df, min_df, max_df, max_features)
-    weighted = terms.join(F.broadcast(vocabulary), "term").select(
+    if max_features is not None:
+        vocabulary = F.broadcast(vocabulary)
+    weighted = terms.join(vocabulary, "term").select(
         doc_id, *carry, "term", ((F.log("tf") + 1) * F.col("idf")).alias("_w")
     )
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc_id)))

@@ -53,8 +53,8 @@ def f1_of(tp: Column, fp: Column, fn: Column) -> Column:
 def with_scores(counts: DataFrame) -> DataFrame:
     """Add all scores to rows holding ``tp, fp, fn, tn``; 0/0 is 0.
 
-    Precision, recall and F1 without a class are unweighted means over both
-    classes. Both curve areas are those of the hard predictions: one operating
+    Precision, recall and F1 without a class are unweighted means over the classes
+    that occur in labels or predictions. Both curve areas are those of the hard predictions: one operating
     point, 0.5 for the ROC area when only one class occurs.
     """
     tp, fp, fn, tn = (F.col(c) for c in CELLS)
@@ -70,11 +70,16 @@ def with_scores(counts: DataFrame) -> DataFrame:
             "f1_class_0": f1_of(tn, fn, fp),
         }
     )
+    classes = (tp + fp + fn > 0).cast("int") + (tn + fp + fn > 0).cast("int")
+
+    def mean(score: str) -> Column:  # a class that doesn't occur scores 0
+        return _ratio(F.col(f"{score}_class_0") + F.col(f"{score}_class_1"), classes)
+
     return out.withColumns(
         {
-            "macro_f1": (F.col("f1_class_0") + F.col("f1_class_1")) / 2,
-            "precision": (F.col("precision_class_0") + F.col("precision_class_1")) / 2,
-            "recall": (F.col("recall_class_0") + F.col("recall_class_1")) / 2,
+            "macro_f1": mean("f1"),
+            "precision": mean("precision"),
+            "recall": mean("recall"),
             "roc_auc": F.when(
                 (tp + fn > 0) & (tn + fp > 0), (F.col("recall_class_0") + F.col("recall_class_1")) / 2
             ).otherwise(F.lit(0.5)),
@@ -113,10 +118,8 @@ def score_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     per_score = df.groupBy(F.col(score).alias("s")).agg(
         F.count(F.when(F.col(label) == 1, 1)).alias("p"), F.count(F.when(F.col(label) == 0, 1)).alias("n")
     )
-    # 1,001 score buckets: their running total is tiny, and only scores of one
-    # bucket are summed in order. Scores outside [0, 1] share the end buckets.
-    bucket = F.greatest(F.least(F.floor(F.col("s") * 1000), F.lit(1000)), F.lit(0))
-    bucketed = per_score.withColumn("b", bucket)
+    # Only scores of one bucket are summed in order; the buckets follow the scores' own quantiles.
+    bucketed = per_score.withColumn("b", keys.range_of(per_score, "s"))
     sizes = bucketed.groupBy("b").agg(F.sum("n").alias("bn"))
     before_bucket = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("b", F.coalesce(F.sum("bn").over(before_bucket), F.lit(0)).alias("off"))

@@ -137,13 +137,10 @@ def conflict_keys(df: DataFrame, text: str, label: str, row_id: str) -> DataFram
 
 def conflict_rows(df: DataFrame, text: str, label: str, row_id: str) -> DataFrame:
     """All rows whose text carries conflicting labels, unlabelled copies included."""
-    groups = _conflict_groups(df, text, label, row_id).select(
-        "_key", "rows", F.lit(True).alias("_conflict")
-    )
-    keyed = df.withColumn("_key", keys.digest(F.col(text)))
-    return keys.lookup_by_key(keyed, groups, "_key", row_id, "rows", ["_conflict"], "inner").drop(
-        "_key", "_conflict"
-    )
+    groups = _conflict_groups(df, text, label, row_id).select("_key", F.lit(True).alias("_conflict"))
+    keyed = df.select(row_id, keys.digest(F.col(text)).alias("_key"))
+    found = keys.lookup_by_key(keyed, groups, "_key", row_id, ["_conflict"], "inner")
+    return keys.rows_at(df, found, row_id)
 
 
 def quality_by_group(df: DataFrame, group: str, text: str = "text", short: int = 3) -> DataFrame:

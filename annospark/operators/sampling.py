@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from annospark.operators import keys
 
 BUCKET_DIGITS = 4
-COPIES_PER_ROW = 100_000
+COPIES_PER_ROW = 1000
 NOT_ELIGIBLE = -1
 
 
@@ -37,18 +37,24 @@ def _two_level_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str],
     """Rank inside a group of any size, given an ordered bucket column ``_b``.
 
     Rows are ranked inside their bucket; the rows of earlier buckets are added
-    from a table of bucket counts. Both sides meet on one key, by which the
-    ranked rows are already partitioned.
+    from a table of bucket counts. Both sides meet on the group columns and the
+    bucket, nulls included, by which the ranked rows are already partitioned.
     """
-    name = F.to_json(F.struct(*[F.col(f"`{g}`") for g in groups]), {"ignoreNullFields": "false"})
-    key = F.coalesce(F.concat(name, F.lit("#"), F.col("_b").cast("string")), F.lit("")).alias("_key")
-    inside = Window.partitionBy("_key").orderBy(*order)
-    ranked = df.select("*", key).withColumn("_in", F.row_number().over(inside))
+    inside = Window.partitionBy(*groups, "_b").orderBy(*order)
+    ranked = df.withColumn("_in", F.row_number().over(inside))
     sizes = df.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*groups, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    joined = ranked.join(offsets.select(key, "_before"), "_key")
-    return joined.withColumn(out, F.col("_in") + F.col("_before")).drop("_key", "_in", "_before", "_b")
+    offsets = sizes.select(
+        *[F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(groups)],
+        F.col("_b").alias("_gb"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    )
+    same = F.col("_b").eqNullSafe(F.col("_gb"))
+    for i, g in enumerate(groups):
+        same = same & F.col(f"`{g}`").eqNullSafe(F.col(f"_g{i}"))
+    rank = (F.col("_in") + F.col("_before")).alias(out)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("_b", out)]
+    return ranked.join(offsets, same).select(*kept, rank)
 
 
 def stratified_folds(df: DataFrame, label: str, row_id: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -240,7 +246,8 @@ def resample_ratio(
     )
     before = Window.partitionBy("_rank").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     numbered = draws.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("int"))
-    drawn = ranked.join(numbered, "_rank").select(
+    # Each piece is unfolded where it is dealt to, not where its positive lies.
+    drawn = ranked.join(numbered, "_rank").repartition("_rank", "_piece").select(
         *[F.col(f"`{c}`") for c in df.columns],
         F.explode(F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))).alias("copy"),
     )
@@ -256,14 +263,14 @@ def union_all(*parts: DataFrame) -> DataFrame:
 
 
 def with_row_number(
-    df: DataFrame, group: Sequence[str], position: str, out: str = "row_in_group", span: int = 1 << 16
+    df: DataFrame, group: Sequence[str], position: str, out: str = "row_in_group", ranges: int = keys.RANGES
 ) -> DataFrame:
     """Number the rows of each group from 0 by a unique integer position.
 
-    A group may hold any share of the table: at most ``span`` adjacent
-    positions are ordered together.
+    A group may hold any share of the table and its positions may lie anywhere: rows are ordered within ``ranges`` ranges
+    of about equal shares of all rows.
     """
-    bucketed = df.withColumn("_b", F.floor(F.col(position) / span))
+    bucketed = df.withColumn("_b", keys.range_of(df, position, ranges))
     ranked = _two_level_rank(bucketed, group, [position], "_rank")
     return ranked.withColumn(out, (F.col("_rank") - 1).cast("long")).drop("_rank")
 

@@ -25,7 +25,7 @@ def resolved_texts(df: DataFrame, label: str, row_id: str, text: str = "text") -
     groups = (
         df.select(keys.digest(clean.duplicate_key(F.col(text))).alias("_key"), F.col(row_id), F.col(label))
         .groupBy("_key")
-        .agg(F.min(row_id).alias(row_id), F.mode(F.col(label), True).alias("_label"))
+        .agg(F.min(row_id).alias(row_id), labels.most_frequent(F.col(label)).alias("_label"))
         .drop("_key")
     )
     joined = df.join(groups, row_id)

@@ -6,11 +6,10 @@ corpus once, write it with :func:`write_table`, and work on the Parquet copy.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,43 +67,51 @@ _CSV_OUT = {
 
 def nulls_from_words(df: DataFrame, words: Sequence[str] = lex.NULL_WORDS) -> DataFrame:
     """Read the usual spellings of a missing value as null."""
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and not f.name.startswith("_")]
     return df.withColumns(
         {c: F.when(~F.col(f"`{c}`").isin(*words), F.col(f"`{c}`")) for c in strings}
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV by header name, quotes doubled, line breaks inside quotes kept."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, place: tuple[str, str] | None = None) -> DataFrame:
+    """CSV by header name, quotes doubled, line breaks inside quotes kept.
+
+    ``place`` names two more columns: the file, and an id that rises within the file.
+    """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    texts = nulls_from_words(spark.read.schema(raw).options(**_CSV).csv(path))
+    found = spark.read.schema(raw).options(**_CSV).csv(path)
+    if place:
+        found = found.select("*", F.col("_metadata.file_path").alias(place[0]), F.monotonically_increasing_id().alias(place[1]))
+    texts = nulls_from_words(found)
     return texts.select(
+        *(place or ()),
         *[F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name) for f in schema.fields]
     )
 
 
 def read_annotated(spark: SparkSession, path: str, row_pos: str | None = "row_pos") -> DataFrame:
-    """Annotated texts from CSV, numbered in file order when ``row_pos`` is given.
+    """Annotated texts from CSV, numbered from 0 when ``row_pos`` is given: files by path, rows by place in their file.
 
-    Write the result once before using the numbers in more than one job.
+    A CSV file is read by one task in its own order, so ids that rise within a task give the place; one small table, a
+    row per file, turns them into positions. Write the result once before using the numbers in more than one job.
     """
-    df = read_csv(spark, path, ANNOTATED)
-    return df.withColumn(row_pos, F.monotonically_increasing_id()) if row_pos else df
+    if not row_pos:
+        return read_csv(spark, path, ANNOTATED)
+    df = read_csv(spark, path, ANNOTATED, ("_file", "_at"))
+    files = df.groupBy("_file").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = (F.col("_before") + F.col("_at") - F.col("_first")).cast("long")
+    return df.join(files, "_file").withColumn(row_pos, place).drop("_file", "_at", "_first", "_before")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a plain scan over all cores when its files give fewer tasks than cores.
+def read_texts(spark: SparkSession, path: str, row_id: str, partitions: int | None = None) -> DataFrame:
+    """A Parquet table of texts, dealt by its row id into ``partitions`` if the caller asks for it.
 
-    Text work is bound by regular expressions, and one small file would keep
-    one core busy. A large table has many splits already and is left alone.
+    Text work is bound by regular expressions, so a table of few small files is worth dealing out; one of many is not.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def read_texts(spark: SparkSession, path: str, row_id: str) -> DataFrame:
-    """A Parquet table of texts, spread over the cores by its row id."""
-    return spread(spark.read.parquet(path), row_id)
+    df = spark.read.parquet(path)
+    return df.repartition(partitions, row_id) if partitions else df
 
 
 def read_annotators(spark: SparkSession, path: str) -> DataFrame:
@@ -139,30 +146,22 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
     write_csv(metrics, path)
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder that every executor reaches, as named by ``spark.checkpoint.dir``."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that every executor reaches: ``spark.checkpoint.dir``, else one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/annospark").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; a local master may use a temporary one."""
-    root = shared_folder(spark)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set")
-        root = tempfile.mkdtemp(prefix="annospark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """Write a table used several times to the shared folder and read it back.
 
-    This cuts the lineage and survives lost executors. Without a shared folder
-    the plan is returned as it is.
+    This cuts the lineage and survives lost executors. The copy stays until the folder is cleared, since the result reads it.
     """
-    spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     write_table(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

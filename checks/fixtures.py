@@ -115,7 +115,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_texts(spark, f"{sf_dir.rstrip('/')}/documents.parquet", "doc_id")
+    cores = spark.sparkContext.defaultParallelism
+    return read_texts(spark, f"{sf_dir.rstrip('/')}/documents.parquet", "doc_id", cores)
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -221,8 +221,8 @@ def annotator_explode_align(spark, sf):
     f"{_EXPLODED} SELECT doc_id, text_id_index, annotator_id, age_group, toxicity FROM x",
 )
 def annotator_explode_spread(spark, sf):
-    """The same join with a dimension treated as too large to broadcast."""
-    return exploded(spark, sf, broadcast_rows=0).select(
+    """The same join with a dimension that the caller knows to be small."""
+    return exploded(spark, sf, small=True, row_id="doc_id").select(
         "doc_id", "text_id_index", "annotator_id", "age_group", "toxicity"
     )
 

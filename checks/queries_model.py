@@ -13,7 +13,7 @@ from annospark.sources import tables
 from checks import fixtures as fx
 from checks import sql as q
 from checks.queries_labels import ATTRIBUTES, COLUMNS, _EXPLODED, _lines, dimension, labelled
-from checks.queries_text import quota_sql
+from checks.queries_text import _MICROS, micro_events, quota_sql
 from checks.registry import query
 
 SUBS = ["insults", "identity_attack", "profanity_obscenity", "threat", "sexually_explicit"]
@@ -172,6 +172,15 @@ def row_number_in_group(spark, sf):
     return sampling.with_row_number(fx.table(spark, sf, "conversations").select("conv_id", "turn"), ["conv_id"], "turn")
 
 
+@query(
+    "row_number_by_time",
+    f"WITH e AS ({_MICROS}) SELECT event_id, row_number() OVER (PARTITION BY t ORDER BY event_id) - 1 AS row_in_group FROM e",
+)
+def row_number_by_time(spark, sf):
+    numbered = sampling.with_row_number(micro_events(spark, sf), ["t"], "event_id")
+    return numbered.select("event_id", "row_in_group")
+
+
 # --- scores ------------------------------------------------------------------------------
 def _div(a: str, b: str) -> str:
     return f"CASE WHEN {b} > 0 THEN CAST({a} AS DOUBLE) / ({b}) ELSE 0.0 END"
@@ -188,11 +197,12 @@ def _scored(source: str, by: str) -> str:
     p1, r1, f1 = _div("tp", "tp + fp"), _div("tp", "tp + fn"), _div("2 * tp", "2 * tp + fp + fn")
     p0, r0, f0 = _div("tn", "tn + fn"), _div("tn", "tn + fp"), _div("2 * tn", "2 * tn + fp + fn")
     n = "tp + fp + fn + tn"
+    classes = "CAST(tp + fp + fn > 0 AS INTEGER) + CAST(tn + fp + fn > 0 AS INTEGER)"
     values = {
         "accuracy": _div("tp + tn", n),
-        "macro_f1": f"(({f0}) + ({f1})) / 2",
-        "precision": f"(({p0}) + ({p1})) / 2",
-        "recall": f"(({r0}) + ({r1})) / 2",
+        "macro_f1": _div(f"(({f0}) + ({f1}))", classes),
+        "precision": _div(f"(({p0}) + ({p1}))", classes),
+        "recall": _div(f"(({r0}) + ({r1}))", classes),
         "precision_class_1": p1,
         "recall_class_1": r1,
         "f1_class_1": f1,
@@ -221,14 +231,13 @@ def metrics_by_fold(spark, sf):
 
 @query(
     "metrics_export",
-    f"{q.PREDICTIONS}, c AS (SELECT fold, {_C} FROM predictions GROUP BY fold), m AS ({_scored('c', 'fold')}) SELECT fold, tp, fp, fn, tn, accuracy, macro_f1, roc_auc FROM m",
+    f"{q.PREDICTIONS}, c AS (SELECT fold, {_C} FROM predictions GROUP BY fold), m AS ({_scored('c', 'fold')}) SELECT * FROM m",
 )
 def metrics_export(spark, sf):
     path = tables.scratch_path(spark, "metrics-csv")
     tables.write_metrics(metrics.binary_metrics(fx.predictions(spark, sf), by=["fold"]), path)
     schema = "fold int, tp long, fp long, fn long, tn long, " + ", ".join(f"{s} double" for s in metrics.SCORES)
-    back = spark.read.schema(schema).option("header", "true").csv(path)
-    return back.select("fold", "tp", "fp", "fn", "tn", "accuracy", "macro_f1", "roc_auc")
+    return spark.read.schema(schema).option("header", "true").csv(path)
 
 
 def _unrounded(by: str) -> str:
@@ -341,11 +350,12 @@ def multilabel_metrics(spark, sf):
     return metrics.multilabel_metrics(hard(spark, sf), HARD_PAIRS)
 
 
-SLICES = ["topic", "lang", "word_bin", "annotators"]
+#: ``cell`` has slices of one class in labels and predictions.
+SLICES = ["topic", "lang", "word_bin", "annotators", "cell"]
 _SLICED = (
     f"{q.PREDICTIONS}, w AS (SELECT p.*, len({q.words('d.text')}) AS words FROM predictions p JOIN documents d ON p.doc_id = d.doc_id), "
     "s AS (SELECT *, CASE WHEN words <= 10 THEN '<=10' WHEN words <= 50 THEN '11-50' WHEN words <= 100 THEN '51-100' ELSE '>100' END AS word_bin, "
-    "CASE WHEN doc_id % 20 < 11 THEN 'single' ELSE 'multi' END AS annotators FROM w)"
+    "CASE WHEN doc_id % 20 < 11 THEN 'single' ELSE 'multi' END AS annotators, label * 10 + pred AS cell FROM w)"
 )
 
 
@@ -359,6 +369,7 @@ def slice_metrics(spark, sf):
         {
             "word_bin": stats.word_bin(F.col("words")),
             "annotators": F.when(F.col("doc_id") % 20 < 11, "single").otherwise("multi"),
+            "cell": F.col("label") * 10 + F.col("pred"),
         }
     )
     return metrics.slice_metrics(df, SLICES)

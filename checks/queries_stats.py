@@ -15,6 +15,9 @@ from checks import sql as q
 from checks.queries_labels import labelled
 from checks.registry import query
 
+#: Terms kept by the TF-IDF queries.
+MAX_FEATURES = 30_000
+
 CHARS, WORDS = f"len({q.filled('text')})", q.n_words("text")
 
 
@@ -393,7 +396,7 @@ _TFIDF = (
 
 
 def weights(df, carry=()):
-    return lexical.tfidf_weights(df, "doc_id", lexical.vectorizer_words(text()), carry=carry)
+    return lexical.tfidf_weights(df, "doc_id", lexical.vectorizer_words(text()), max_features=MAX_FEATURES, carry=carry)
 
 
 @query(
@@ -421,7 +424,7 @@ def tfidf_top_by_class(spark, sf):
 def tfidf_shape(spark, sf):
     df = fx.annotated(spark, sf)
     terms = lexical.document_terms(df, "doc_id", lexical.vectorizer_words(text()), lex.STOP_WORDS)
-    return lexical.tfidf_shape(df, lexical.tfidf_vocabulary(terms, df, 2, 0.98, lexical.MAX_FEATURES))
+    return lexical.tfidf_shape(df, lexical.tfidf_vocabulary(terms, df, 2, 0.98, MAX_FEATURES))
 
 
 def cleaned(spark, sf):

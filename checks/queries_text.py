@@ -81,10 +81,10 @@ _LOOSE = rf"http[^{q.S}]+|www[^{q.S}]+"
 @query(
     "clean_links",
     f"{q.ANNOTATED} SELECT doc_id, {q.links_blank('text')} AS blanked, {q.links_blank('text', '')} AS removed, "
-    f"{q.sub(q.sub('lower(coalesce(text, chr(32)))', _LOOSE, ''), q.MENTION, '')} AS removed_loose FROM annotated WHERE text IS NOT NULL",
+    f"{q.sub(q.sub("lower(coalesce(text, ''))", _LOOSE, ''), q.MENTION, '')} AS removed_loose FROM annotated",
 )
 def clean_links(spark, sf):
-    return fx.annotated(spark, sf).filter(_text().isNotNull()).select(
+    return fx.annotated(spark, sf).select(
         "doc_id",
         cleaning.without_links(_text()).alias("blanked"),
         cleaning.without_links(_text(), "").alias("removed"),
@@ -256,6 +256,24 @@ def duplicate_rows(spark, sf):
     return profile.duplicate_rows(fx.annotated(spark, sf).select("topic", "text", "toxicity"))
 
 
+#: Events with times that differ by microseconds.
+_MICROS = "SELECT event_id, event_type, date_trunc('hour', ts) + to_microseconds(event_id % 5) AS t FROM events"
+
+
+def micro_events(spark, sf):
+    hour = F.unix_micros(F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    return fx.table(spark, sf, "events").select("event_id", "event_type", F.timestamp_micros(hour + F.col("event_id") % 5).alias("t"))
+
+
+@query(
+    "duplicate_event_rows",
+    f"WITH e AS ({_MICROS}), d AS (SELECT DISTINCT event_type, t FROM e) SELECT (SELECT count(*) FROM e) AS rows, "
+    "(SELECT count(*) FROM d) AS distinct_rows, (SELECT count(*) FROM e) - (SELECT count(*) FROM d) AS duplicate_rows",
+)
+def duplicate_event_rows(spark, sf):
+    return profile.duplicate_rows(micro_events(spark, sf).drop("event_id"))
+
+
 # --- quality ------------------------------------------------------------------------
 @query(
     "text_validity",
@@ -432,6 +450,21 @@ def _spaced(spark, sf):
 _SPACED_SQL = 'education AS "pendidikan terakhir", job AS "status pekerjaan", vote_leaning AS "president vote leaning"'
 
 
+_PART = "CASE WHEN doc_id % 10 = 0 THEN 0 WHEN doc_id % 10 < 4 THEN 1 ELSE 2 END"
+
+
+@query(
+    "csv_first_row",
+    f"{q.ANNOTATED} SELECT text_id, row_number() OVER (ORDER BY {_PART}, doc_id) - 1 AS row_pos FROM annotated",
+)
+def csv_first_row(spark, sf):
+    """Positions over files of unequal size, the smallest first."""
+    path = tables.scratch_path(spark, "annotated-parts")
+    rows = fx.annotated(spark, sf).withColumn("part", F.expr(_PART)).repartition("part").sortWithinPartitions("part", "doc_id")
+    tables.write_csv(rows.select("part", *[f.name for f in tables.ANNOTATED.fields]), path, ["part"])
+    return tables.read_annotated(spark, path).select("text_id", "row_pos")
+
+
 @query(
     "csv_annotators",
     f"{q.ANNOTATORS} SELECT annotator_id, ethnicity, religion, gender, age, domisili, education AS \"pendidikan terakhir\", "

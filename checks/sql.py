@@ -110,7 +110,7 @@ def quoted(items) -> str:
 
 
 def votes(c: str) -> str:
-    return f"list_transform(string_split(regexp_replace({c}, '[^0-9,]', '', 'g'), ','), lambda v: CAST(v AS INTEGER))"
+    return f"list_transform(string_split(regexp_replace({c}, '[^0-9,]', '', 'g'), ','), lambda v: CAST(v AS BIGINT))"
 
 
 def ids(c: str) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from annospark.functions import lexicons as lex
+from annospark.functions import votes as v
 from annospark.operators import annotators as ann
 from annospark.operators import keys, lexical, metrics, profile, quality, sampling, stats
 from annospark.operators import labels as lab
@@ -42,11 +43,11 @@ def test_resolve_conflicts_on_a_hot_key(hot):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("heavy", [1, 3, 1000])
+@pytest.mark.parametrize("salts", [1, 7, 32])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_by_key(hot, heavy, how):
+def test_lookup_by_key(hot, salts, how):
     groups = hot.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("n > 3")
-    got = keys.lookup_by_key(hot, groups, "text", "id", "n", ["first"], how, heavy).select("id", "first")
+    got = keys.lookup_by_key(hot, groups, "text", "id", ["first"], how, salts).select("id", "first")
     want = hot.join(groups, "text", how).select("id", "first")
     assert rows(got) == rows(want)
 
@@ -61,7 +62,7 @@ def test_vocabulary_keeps_the_most_frequent_terms(spark):
 def test_lookup_keeps_null_keys(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "id int, k string")
     groups = spark.createDataFrame([("a", 1, 9)], "k string, n int, v int")
-    assert rows(keys.lookup_by_key(df, groups, "k", "id", "n", ["v"]).select("id", "v")) == [(1, None), (2, 9)]
+    assert rows(keys.lookup_by_key(df, groups, "k", "id", ["v"]).select("id", "v")) == [(1, None), (2, 9)]
 
 
 def test_first_per_key(hot):
@@ -106,7 +107,7 @@ def test_class_rank_equals_the_plain_window(hot):
 
 def test_row_number_on_a_hot_group(spark):
     df = spark.range(5000).select((F.col("id") * 7).alias("pos"), F.when(F.col("id") % 2 == 0, "hot").otherwise((F.col("id") % 50).cast("string")).alias("g"))
-    got = sampling.with_row_number(df, ["g"], "pos", span=100).select("pos", "row_in_group")
+    got = sampling.with_row_number(df, ["g"], "pos", ranges=100).select("pos", "row_in_group")
     w = Window.partitionBy("g").orderBy("pos")
     assert rows(got) == rows(df.withColumn("r", F.row_number().over(w) - 1).select("pos", "r"))
 
@@ -179,8 +180,8 @@ def test_sample_is_reproducible(hot):
 def test_annotators_keep_their_own_vote(spark):
     texts = spark.createDataFrame([("t", "isi", "['7', '99', '15']", "['1', '0', '1']")], "text_id string, text string, annotators_id string, toxicity string")
     people = spark.createDataFrame([("7", "F"), ("15", "M")], "annotator_id string, gender string")
-    for limit in (keys.BROADCAST_ROWS, 0):
-        out = ann.explode_annotations(texts, people, ["toxicity"], broadcast_rows=limit)
+    for small in (True, False):
+        out = ann.explode_annotations(texts, people, ["toxicity"], small=small)
         assert rows(out.select("annotator_id", "gender", "toxicity", "text_id_index")) == [("15", "M", 1, 2), ("7", "F", 1, 0)]
 
 
@@ -345,3 +346,79 @@ def test_rank_limit_is_applied_before_the_shuffle(hot):
     counts = lexical.token_counts(hot.filter("label is not null"), lexical.plain_words(F.col("text")), ["label"])
     plan = lexical.top_by(counts, "label", 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_rows_that_differ_by_a_microsecond(spark):
+    df = spark.sql("SELECT timestamp'2024-01-01 00:00:00.000001' AS ts, 1 AS id, array(1.0D) AS a UNION ALL SELECT timestamp'2024-01-01 00:00:00.000002', 2, NULL")
+    assert profile.duplicate_rows(df.select("ts")).first()["duplicate_rows"] == 0
+    assert profile.duplicate_rows(df.unionAll(df)).first()["duplicate_rows"] == 2
+    assert sampling.with_row_number(df, ["ts"], "id").count() == 2
+    assert profile.duplicate_rows(spark.sql("SELECT 'a' AS x, 'b,1:c' AS y UNION ALL SELECT 'a,5:b', 'c'")).first()["duplicate_rows"] == 0
+
+
+def test_macro_scores_over_occurring_classes(spark):
+    df = spark.createDataFrame([(0, 0, "n"), (0, 0, "n"), (1, 1, "p"), (0, 1, "m")], "label int, pred int, g string")
+    got = {r["g"]: r for r in metrics.binary_metrics(df, by=["g"]).collect()}
+    assert [got[g]["macro_f1"] for g in "npm"] == [1.0, 1.0, 0.0]
+    assert got["n"]["precision"] == got["n"]["recall"] == 1.0
+
+
+def test_long_votes(spark):
+    df = spark.createDataFrame([("['1', '1234567890', '0']",), ("['1', '99999999999999999999']",)], "v string")
+    assert [list(r[0]) for r in df.select(v.parse_votes(F.col("v"))).collect()] == [[1, 1234567890, 0], [1, None]]
+    assert [r[0] for r in df.select(v.vote_sum(v.parse_votes(F.col("v")))).collect()] == [1234567891, 1]
+
+
+def test_explode_of_a_table_with_other_ids(spark):
+    df = spark.createDataFrame([(7, "['a', 'b', 'x']", "['1', '0', '1']")], "doc int, annotators_id string, toxicity string")
+    dim = spark.createDataFrame([("a", 1), ("b", 2)], "annotator_id string, age int")
+    small = ann.explode_annotations(df, dim, ["toxicity"], small=True)
+    large = ann.explode_annotations(df, dim, ["toxicity"])
+    assert small.columns == large.columns and rows(small) == rows(large) and len(rows(small)) == 2
+
+
+def largest_share(df, *columns):
+    """Share of the rows that the fullest of the groups of columns has."""
+    sizes = [r["count"] for r in df.groupBy(*columns).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_ranges_follow_the_data(spark):
+    scores = spark.range(20_000).select((F.col("id") / 1e8).alias("s"), F.col("id").alias("pos"))
+    assert largest_share(scores.select(keys.range_of(scores, "s").alias("b")), "b") < 0.02
+    sparse = spark.range(5000).select((F.col("id") * (1 << 33)).alias("pos"), F.lit("g").alias("g"))
+    buckets = sparse.select(keys.range_of(sparse, "pos").alias("b"))
+    assert largest_share(buckets, "b") < 0.02 and buckets.distinct().count() <= keys.RANGES
+    got = sampling.with_row_number(sparse, ["g"], "pos").select("row_in_group", (F.col("pos") / (1 << 33)).cast("long"))
+    assert all(a == b for a, b in got.collect())
+
+
+def test_lookup_deals_many_heavy_groups(spark):
+    df = spark.range(22_000).select("id", (F.col("id") % 1100).cast("string").alias("k"))
+    groups = df.groupBy("k").agg(F.max("id").alias("v"))
+    assert keys.lookup_by_key(df, groups, "k", "id", ["v"]).where("v % 1100 = id % 1100").count() == 22_000
+    one = spark.range(5000).select("id", F.lit("hot").alias("k"))
+    dealt = one.select(F.pmod(F.xxhash64("id"), F.lit(keys.SALTS)).alias("salt"))
+    assert largest_share(dealt, "salt") < 0.06
+
+
+def test_resample_one_positive_is_dealt_out(spark):
+    df = spark.range(40_001).select("id", (F.col("id") == 0).cast("int").alias("y"))
+    drawn = sampling.resample_ratio(df, "y", "id", 3).where("y = 1")
+    assert drawn.count() == 13_333 and drawn.select("copy").distinct().count() == 13_333
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert largest_share(drawn.select(F.spark_partition_id().alias("p")), "p") < 0.7
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_conflicts_use_plain_hash_aggregates(spark, hot):
+    plan = lab.resolve_conflicts(hot, F.col("text"), "label", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_vocabulary_without_a_limit(spark):
+    df = spark.createDataFrame([(i, f"a b{i % 5} c{i % 2}") for i in range(30)], "doc_id int, text string")
+    out = lexical.tfidf_weights(df, "doc_id", lexical.vectorizer_words(F.col("text")), (), 1, 1.0)
+    assert out.select("term").distinct().count() > 5

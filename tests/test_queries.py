@@ -5,9 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, canonical
+from checks import registry
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 #: Row-at-a-time Python and products of tables have no place in a plan.
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
