@@ -59,6 +59,11 @@ def without_stop_words(counts: DataFrame, stop_words: Sequence[str], min_length:
     return counts.filter(~F.col("token").isin(*stop_words) & (F.length("token") >= min_length))
 
 
+def without_stop_table(counts: DataFrame, stop_words: DataFrame, word: str = "word") -> DataFrame:
+    """Counts without the words of a table of any size: an anti join on the word."""
+    return counts.join(stop_words.select(F.col(word).alias("token")), "token", "left_anti")
+
+
 def top(counts: DataFrame, k: int = 20, term: str = "token", order: str = "n") -> DataFrame:
     """The ``k`` most frequent terms, equal counts in term order."""
     return counts.orderBy(F.col(order).desc(), term).limit(k)

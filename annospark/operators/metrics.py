@@ -262,20 +262,38 @@ def cascade_rate(df: DataFrame, label: str, pred: str, pairs: Mapping[str, tuple
 
 
 def iteration_advice(
-    binary: DataFrame, cascade: DataFrame, limit: float = lex.CASCADE_LIMIT, rate_limit: float = 0.5
+    binary: DataFrame,
+    cascade: DataFrame,
+    limit: float = lex.CASCADE_LIMIT,
+    rate_limit: float = 0.5,
+    slices: DataFrame | None = None,
+    sub_labels: DataFrame | None = None,
+    drop: float = 0.1,
+    near_zero: float = 0.05,
 ) -> DataFrame:
-    """Next step from one row of binary scores and one row of cascade counts."""
+    """Next step from one row of binary scores and one row of cascade counts.
+
+    With the scores of topic ``slices`` (column macro_f1), a topic that lies more than ``drop`` below all rows fires a rule;
+    with ``sub_labels`` (column value, an F1), a label of at most ``near_zero`` does. The two rules of the plan that need
+    error categories given by hand are the reader's.
+    """
     rate = cascade.select("cascade_rate").scalar()
     row = binary.select(
         rate.alias("cascade_rate"),
         _ratio(F.col("fp"), F.col("fp") + F.col("tn")).alias("fp_rate"),
         _ratio(F.col("fn"), F.col("fn") + F.col("tp")).alias("fn_rate"),
+        *([(F.col("macro_f1") - slices.agg(F.min("macro_f1").alias("m")).scalar()).alias("topic_drop")] if slices is not None else []),
+        *([sub_labels.agg(F.min("value").alias("m")).scalar().alias("lowest_f1")] if sub_labels is not None else []),
     )
     rules = {
         "cascading": (F.col("cascade_rate") > limit, "improve binary recall before sub-labels"),
         "false_positives": (F.col("fp_rate") > rate_limit, "lower pos_weight or raise the threshold"),
         "false_negatives": (F.col("fn_rate") > rate_limit, "raise pos_weight or lower the threshold"),
     }
+    if slices is not None:
+        rules["topic_drop"] = (F.col("topic_drop") > drop, "sample stratified by topic")
+    if sub_labels is not None:
+        rules["sub_label_near_zero"] = (F.col("lowest_f1") <= near_zero, "use an asymmetric loss or train jointly with the binary task")
     return keys.unpivot_row(
         row,
         [

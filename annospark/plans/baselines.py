@@ -10,17 +10,21 @@ from pyspark.sql import functions as F
 
 from annospark.operators import lexical, metrics
 
+#: Models with the usual settings; any other estimator with the columns features and label can be passed instead.
 MODELS = {
     "naive_bayes": lambda: NaiveBayes(featuresCol="features", labelCol="label"),
-    "linear_svm": lambda: LinearSVC(featuresCol="features", labelCol="label", maxIter=10),
-    "random_forest": lambda: RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=20, seed=42),
+    "linear_svm": lambda: LinearSVC(featuresCol="features", labelCol="label", maxIter=100),
+    "random_forest": lambda: RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, seed=42),
 }
 
 
 def fit_and_score(
     df: DataFrame, model: str, text: str = "text", label: str = "label", split: str = "split", features: int = 1 << 14
 ) -> DataFrame:
-    """Train on ``train`` rows and score the ``test`` rows with all binary scores."""
+    """Train on ``train`` rows and score the ``test`` rows with all binary scores.
+
+    Words are hashed into ``features`` weights, so words may share one; more features mean fewer shared and larger models.
+    """
     rows = df.select(
         lexical.vectorizer_words(F.col(text)).alias("tokens"), F.col(label).cast("double").alias("label"), split
     )

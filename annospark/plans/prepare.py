@@ -63,7 +63,10 @@ def prepare(
 
 
 def step_log(df: DataFrame, row_id: str, text: str = "text", label: str = "toxicity") -> DataFrame:
-    """Rows before and after each step, from one grouped pass over the texts."""
+    """Rows before and after each step, from one grouped pass over the texts.
+
+    ``changed`` counts the rows whose label conflict resolution changes; a row left without a label counts as changed.
+    """
     voted = labels.with_labels(df.select(row_id, text, label), [label])
     target = f"{label}_label"
     flags = _valid(text)
@@ -72,7 +75,11 @@ def step_log(df: DataFrame, row_id: str, text: str = "text", label: str = "toxic
             F.when(flags, keys.digest(clean.duplicate_key(F.col(text)))).alias("_key"), F.col(target)
         )
         .groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("n"), F.count(target).alias("labelled"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(target).alias("labelled"),
+            F.greatest(*[F.count(F.when(F.col(target) == v, 1)) for v in lex.VOTE_OUTCOMES]).alias("same"),
+        )
     )
     valid = F.col("_key").isNotNull()
     row = groups.agg(
@@ -80,8 +87,15 @@ def step_log(df: DataFrame, row_id: str, text: str = "text", label: str = "toxic
         F.coalesce(F.sum(F.when(valid, F.col("n"))), F.lit(0)).alias("valid"),
         F.count(F.when(valid, 1)).alias("unique"),
         F.count(F.when(valid & (F.col("labelled") > 0), 1)).alias("labelled"),
+        F.coalesce(F.sum(F.when(valid, F.col("n") - F.col("same"))), F.lit(0)).alias("changed"),
+    )
+    none = F.lit(0).cast("long")
+    steps = (
+        ("drop_invalid", "read", "valid", none),
+        ("resolve_conflicts", "valid", "valid", F.col("changed")),
+        ("deduplicate", "valid", "unique", none),
+        ("drop_unlabelled", "unique", "labelled", none),
     )
-    steps = (("drop_invalid", "read", "valid"), ("deduplicate", "valid", "unique"), ("drop_unlabelled", "unique", "labelled"))
     return keys.unpivot_row(
         row,
         [
@@ -90,8 +104,9 @@ def step_log(df: DataFrame, row_id: str, text: str = "text", label: str = "toxic
                 F.col(a).alias("before"),
                 F.col(b).alias("after"),
                 (F.col(a) - F.col(b)).alias("dropped"),
+                changed.alias("changed"),
             )
-            for name, a, b in steps
+            for name, a, b, changed in steps
         ],
     )
 

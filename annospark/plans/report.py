@@ -87,72 +87,134 @@ def _pct(part: str) -> Column:
     return keys.percent(F.col(part), F.col("rows"))
 
 
-def _rows(measures: DataFrame, entries: Sequence[tuple[str, Column, Column]], names: tuple[str, str, str]) -> DataFrame:
-    a, b, c = names
+def _rows(measures: DataFrame, values: dict[str, Column], texts: dict[str, tuple[str | Column, str | Column]], names: Sequence[str]) -> DataFrame:
+    """One row per entry: its name, its measured value and its two texts."""
+    a, b, c, d = names
+
+    def text(x: str | Column) -> Column:
+        return F.lit(x) if isinstance(x, str) else x
+
     return keys.unpivot_row(
         measures,
         [
-            F.struct(F.lit(name).alias(a), value.cast("double").alias(b), text.alias(c))
-            for name, value, text in entries
+            F.struct(F.lit(k).alias(a), v.cast("double").alias(b), text(texts[k][0]).alias(c), text(texts[k][1]).alias(d))
+            for k, v in values.items()
         ],
     )
 
 
+def _ratio() -> Column:
+    return F.when(F.least("n0", "n1") > 0, F.greatest("n0", "n1") / F.least("n0", "n1"))
+
+
+#: Impact and advice of each finding.
+FINDING_TEXTS = {
+    "rows": ("scale of the analysis", "use a reproducible pipeline"),
+    "missing_values": ("missing values disturb parsing", "treat only the columns and rows concerned"),
+    "invalid_texts": ("no linguistic content", "drop these rows"),
+    "excess_text_copies": ("frequency bias", "review, then deduplicate"),
+    "excess_normalised_copies": ("leakage between splits", "group copies before the split"),
+    "leakage_pct": ("test scores may be too high", "deduplicate or group before the split"),
+    "conflicting_texts": ("label noise", "apply one consensus rule"),
+    "class_ratio": ("minority class may be learned poorly", "watch macro F1"),
+    "class_0_pct": ("share of the class", "watch macro F1"),
+    "class_1_pct": ("share of the class", "watch macro F1"),
+    "median_words": ("typical length", "set the input length by model tokens"),
+    "q1_words": ("typical length", "set the input length by model tokens"),
+    "q3_words": ("typical length", "set the input length by model tokens"),
+    "max_words": ("truncation risk", "set the input length by model tokens"),
+    "types": ("sparsity of word models", "use subwords, no blind normalisation"),
+    "tokens": ("corpus size", "use subwords, no blind normalisation"),
+    "lexical_diversity": ("sparsity of word models", "use subwords, no blind normalisation"),
+    "words_seen_once": ("typos, names or rare offensive terms", "don't drop; classify them"),
+    "words_seen_at_most_5": ("typos, names or rare offensive terms", "don't drop; classify them"),
+    "slang_forms": ("spelling variation", "normalise forms that occur"),
+    "elongated_words": ("emphasis or typos", "normalise forms that occur"),
+    **{f"{e}_pct": ("digital or emotional signal", "normalise selectively") for e in p.ELEMENTS},
+}
+
+
 def findings(df: DataFrame, label: str, text: str, row_id: str) -> DataFrame:
-    """What the data shows: name, measured value and impact."""
+    """What the data shows: name, measured value, impact and advice."""
     m = _measures(df, label, text, row_id)
-    ratio = F.when(F.least("n0", "n1") > 0, F.greatest("n0", "n1") / F.least("n0", "n1"))
-    entries = [
-        ("rows", F.col("rows"), F.lit("scale of the analysis")),
-        ("missing_values", F.col("missing"), F.lit("missing values disturb parsing")),
-        ("invalid_texts", F.col("invalid"), F.lit("no linguistic content")),
-        ("excess_text_copies", F.col("excess_text_copies"), F.lit("frequency bias")),
-        ("excess_normalised_copies", F.col("excess_normalised_copies"), F.lit("leakage between splits")),
-        ("conflicting_texts", F.col("conflicts"), F.lit("label noise")),
-        ("class_ratio", ratio, F.lit("minority class may be learned poorly")),
-        ("median_words", F.get("q", 1), F.lit("typical length")),
-        ("q1_words", F.get("q", 0), F.lit("typical length")),
-        ("q3_words", F.get("q", 2), F.lit("typical length")),
-        ("max_words", F.col("max_words"), F.lit("truncation risk")),
-        ("types", F.col("types"), F.lit("sparsity of word models")),
-        ("tokens", F.col("tokens"), F.lit("corpus size")),
-        ("lexical_diversity", F.when(F.col("tokens") > 0, F.col("types") / F.col("tokens")), F.lit("sparsity of word models")),
-        ("words_seen_once", F.col("once"), F.lit("typos, names or rare offensive terms")),
-        ("words_seen_at_most_5", F.col("at_most_5"), F.lit("typos, names or rare offensive terms")),
-        ("slang_forms", F.col("slang"), F.lit("spelling variation")),
-        ("elongated_words", F.col("elongated"), F.lit("emphasis or typos")),
-        *[(f"{e}_pct", _pct(e), F.lit("digital or emotional signal")) for e in p.ELEMENTS],
-    ]
-    return _rows(m, entries, ("finding", "value", "impact"))
+    labelled = F.col("n0") + F.col("n1")
+    values = {
+        "rows": F.col("rows"),
+        "missing_values": F.col("missing"),
+        "invalid_texts": F.col("invalid"),
+        "excess_text_copies": F.col("excess_text_copies"),
+        "excess_normalised_copies": F.col("excess_normalised_copies"),
+        "leakage_pct": _pct("excess_normalised_copies"),
+        "conflicting_texts": F.col("conflicts"),
+        "class_ratio": _ratio(),
+        "class_0_pct": keys.percent(F.col("n0"), labelled),
+        "class_1_pct": keys.percent(F.col("n1"), labelled),
+        "median_words": F.get("q", 1),
+        "q1_words": F.get("q", 0),
+        "q3_words": F.get("q", 2),
+        "max_words": F.col("max_words"),
+        "types": F.col("types"),
+        "tokens": F.col("tokens"),
+        "lexical_diversity": F.when(F.col("tokens") > 0, F.col("types") / F.col("tokens")),
+        "words_seen_once": F.col("once"),
+        "words_seen_at_most_5": F.col("at_most_5"),
+        "slang_forms": F.col("slang"),
+        "elongated_words": F.col("elongated"),
+        **{f"{e}_pct": _pct(e) for e in p.ELEMENTS},
+    }
+    return _rows(m, values, FINDING_TEXTS, ("finding", "value", "impact", "advice"))
+
+
+#: Decision and reason of each step; where the measure decides: (if any, if none).
+STEP_TEXTS = {
+    "invalid_texts": (("drop invalid rows", "nothing to drop"), "share of rows without content"),
+    "lowercase": ("consider, not automatic", "share of texts in capitals, which mark intensity"),
+    "url": (("replace by <URL>", "no priority"), "share of texts with a link"),
+    "mention": (("replace by <USER>", "no priority"), "share of texts with a mention"),
+    "hashtag": ("keep the word, drop the sign if needed", "share of texts with a hashtag"),
+    "emoji": ("keep or describe", "share of texts with an emoji"),
+    "punctuation": ("cap repeats, keep the signal", "share of texts with repeated punctuation"),
+    "whitespace": ("normalise", "share of texts with a line break; words don't change"),
+    "slang": (("normalise selectively", "not needed yet"), "forms of the dictionary that occur"),
+    "elongation": ("selective", "elongated forms; repeats may mark intensity"),
+    "stop_words": ("optional and conservative", "share of tokens; negations stay"),
+    "stemming": ("test, not automatic", "may break slang, names and offensive words"),
+    "negation": ("always keep", "negations that occur; they turn the meaning"),
+    "deduplication": (("before the split", "check before the split"), "excess copies after normalisation"),
+    "conflicting_labels": ("apply one consensus rule", "texts with more than one label"),
+    "class_imbalance": ("class weights and macro F1", "majority to minority"),
+    "max_length_p95": ("settle on model tokens", "words of a long text"),
+    "max_length_p99": ("settle on model tokens", "words of a very long text"),
+}
+_DECIDED_BY = {"invalid_texts": "invalid", "url": "url", "mention": "mention", "slang": "slang", "deduplication": "excess_normalised_copies"}
 
 
 def recommendations(df: DataFrame, label: str, text: str, row_id: str) -> DataFrame:
-    """Preprocessing steps with the measure that decides them and the decision."""
+    """Preprocessing steps: the measure that decides, the decision and its reason."""
     m = _measures(df, label, text, row_id)
-
-    def when_any(column: str, yes: str, no: str) -> Column:
-        return F.when(F.col(column) > 0, yes).otherwise(no)
-
-    ratio = F.when(F.least("n0", "n1") > 0, F.greatest("n0", "n1") / F.least("n0", "n1"))
-    stop_pct = keys.percent(F.col("stop_tokens"), F.col("tokens"))
-    entries = [
-        ("invalid_texts", _pct("invalid"), when_any("invalid", "drop invalid rows", "nothing to drop")),
-        ("lowercase", _pct("allcaps"), F.lit("consider, not automatic")),
-        ("url", _pct("url"), when_any("url", "replace by <URL>", "no priority")),
-        ("mention", _pct("mention"), when_any("mention", "replace by <USER>", "no priority")),
-        ("hashtag", _pct("hashtag"), F.lit("keep the word, drop the sign if needed")),
-        ("emoji", _pct("emoji"), F.lit("keep or describe")),
-        ("punctuation", _pct("repeated_punctuation"), F.lit("cap repeats, keep the signal")),
-        ("whitespace", _pct("newline"), F.lit("normalise")),
-        ("slang", F.col("slang"), when_any("slang", "normalise selectively", "not needed yet")),
-        ("elongation", F.col("elongated"), F.lit("selective")),
-        ("stop_words", stop_pct, F.lit("optional and conservative")),
-        ("stemming", F.lit(None), F.lit("test, not automatic")),
-        ("negation", F.col("negations"), F.lit("always keep")),
-        ("deduplication", F.col("excess_normalised_copies"), when_any("excess_normalised_copies", "before the split", "check before the split")),
-        ("conflicting_labels", F.col("conflicts"), F.lit("apply one consensus rule")),
-        ("class_imbalance", ratio, F.lit("class weights and macro F1")),
-        ("max_length_p95", F.get("q", 3), F.lit("settle on model tokens")),
-        ("max_length_p99", F.get("q", 4), F.lit("settle on model tokens")),
-    ]
-    return _rows(m, entries, ("step", "measure", "recommendation"))
+    values = {
+        "invalid_texts": _pct("invalid"),
+        "lowercase": _pct("allcaps"),
+        "url": _pct("url"),
+        "mention": _pct("mention"),
+        "hashtag": _pct("hashtag"),
+        "emoji": _pct("emoji"),
+        "punctuation": _pct("repeated_punctuation"),
+        "whitespace": _pct("newline"),
+        "slang": F.col("slang"),
+        "elongation": F.col("elongated"),
+        "stop_words": keys.percent(F.col("stop_tokens"), F.col("tokens")),
+        "stemming": F.lit(None),
+        "negation": F.col("negations"),
+        "deduplication": F.col("excess_normalised_copies"),
+        "conflicting_labels": F.col("conflicts"),
+        "class_imbalance": _ratio(),
+        "max_length_p95": F.get("q", 3),
+        "max_length_p99": F.get("q", 4),
+    }
+    texts: dict[str, tuple[str | Column, str | Column]] = {}
+    for step, (decision, reason) in STEP_TEXTS.items():
+        if isinstance(decision, tuple):
+            decision = F.when(F.col(_DECIDED_BY[step]) > 0, decision[0]).otherwise(decision[1])
+        texts[step] = (decision, reason)
+    return _rows(m, values, texts, ("step", "measure", "recommendation", "reason"))

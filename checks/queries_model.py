@@ -388,16 +388,21 @@ def cascade_rate(spark, sf):
 
 @query(
     "iteration_advice",
-    f"{_GATE}, {_CASCADE}, c AS (SELECT {_C} FROM predictions), v AS (SELECT cascade_rate, {_div('fp', 'fp + tn')} AS fpr, {_div('fn', 'fn + tp')} AS fnr FROM c, r), "
+    f"{_GATE}, {_CASCADE}, c AS (SELECT {_C} FROM predictions), overall AS ({_scored('c', '')}), "
+    f"t AS (SELECT topic, {_C} FROM predictions GROUP BY topic), topics AS ({_scored('t', 'topic')}), f AS (SELECT {_F1S} FROM h), v AS (SELECT cascade_rate, {_div('fp', 'fp + tn')} AS fpr, {_div('fn', 'fn + tp')} AS fnr FROM c, r), "
     "u AS (SELECT 'cascading' AS rule, cascade_rate > 0.3 AS fires, 'improve binary recall before sub-labels' AS t FROM v UNION ALL "
     "SELECT 'false_positives', fpr > 0.5, 'lower pos_weight or raise the threshold' FROM v UNION ALL "
-    "SELECT 'false_negatives', fnr > 0.5, 'raise pos_weight or lower the threshold' FROM v) "
+    "SELECT 'false_negatives', fnr > 0.5, 'raise pos_weight or lower the threshold' FROM v UNION ALL "
+    "SELECT 'topic_drop', (SELECT macro_f1 FROM overall) - (SELECT min(macro_f1) FROM topics) > 0.1, 'sample stratified by topic' UNION ALL "
+    "SELECT 'sub_label_near_zero', (SELECT least(" + ", ".join(f"f1_{s}" for s in SUBS) + ") FROM f) <= 0.05, 'use an asymmetric loss or train jointly with the binary task') "
     "SELECT rule, fires, CASE WHEN fires THEN t ELSE 'none' END AS action FROM u",
 )
 def iteration_advice(spark, sf):
     df = hard(spark, sf, gated=True)
     cascade = metrics.cascade_rate(df, "label", "pred", HARD_PAIRS)
-    return metrics.iteration_advice(metrics.binary_metrics(df), cascade)
+    subs = metrics.multilabel_metrics(df, HARD_PAIRS).where(F.col("metric").startswith("f1_"))
+    topics = metrics.binary_metrics(df, by=["topic"])
+    return metrics.iteration_advice(metrics.binary_metrics(df), cascade, slices=topics, sub_labels=subs)
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from annospark.functions import cleaning
 from annospark.functions import lexicons as lex
+from annospark.functions import patterns as p
 from annospark.functions.lexicons import LABELS
 from annospark.operators import labels as lab
 from annospark.operators import lexical, stats
@@ -336,12 +337,64 @@ def agreement_top_words(spark, sf):
 @query(
     "cloud_words",
     f"{q.LABELLED}, c AS (SELECT * FROM {q.counts_of(PLAIN, 'labelled', 'toxicity_label', 'toxicity_label IS NOT NULL')} WHERE token NOT IN ({STOP})), "
-    "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY toxicity_label ORDER BY n DESC, token) AS INTEGER) AS rank FROM c) SELECT * FROM r WHERE rank <= 120",
+    "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY toxicity_label ORDER BY n DESC, token) AS INTEGER) AS rank FROM c) SELECT * FROM r WHERE rank <= 100",
 )
 def cloud_words(spark, sf):
     df = with_label(spark, sf).filter("toxicity_label is not null")
     counts = lexical.token_counts(df, lexical.plain_words(text()), ["toxicity_label"])
-    return lexical.top_by(lexical.without_stop_words(counts, lex.STOP_WORDS), "toxicity_label", 120)
+    return lexical.top_by(lexical.without_stop_words(counts, lex.STOP_WORDS), "toxicity_label", 100)
+
+
+@query(
+    "cloud_words_corpus",
+    f"{q.ANNOTATED} SELECT token, n FROM {q.counts_of(PLAIN, 'annotated')} WHERE token NOT IN ({STOP}) ORDER BY n DESC, token LIMIT 120",
+)
+def cloud_words_corpus(spark, sf):
+    counts = lexical.token_counts(fx.annotated(spark, sf), lexical.plain_words(text()))
+    return lexical.top(lexical.without_stop_words(counts, lex.STOP_WORDS), 120)
+
+
+@query(
+    "cloud_words_agreement",
+    f"{q.LABELLED}, g AS (SELECT *, {q.AGREEMENT} AS agreement_group FROM labelled), "
+    f"c AS (SELECT * FROM {q.counts_of(REMOVED, 'g', 'agreement_group')} WHERE token NOT IN ({q.quoted(lex.STOP_WORDS_AGREEMENT)})), "
+    "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY agreement_group ORDER BY n DESC, token) AS INTEGER) AS rank FROM c) SELECT * FROM r WHERE rank <= 100",
+)
+def cloud_words_agreement(spark, sf):
+    df = lab.with_agreement(fx.annotated(spark, sf))
+    counts = lexical.token_counts(df, lexical.apostrophe_words(text()), ["agreement_group"])
+    return lexical.top_by(lexical.without_stop_words(counts, lex.STOP_WORDS_AGREEMENT), "agreement_group", 100)
+
+
+_LOOSE_WORDS = q.words(q.sub(q.sub("lower(coalesce(text, ''))", rf"http[^{q.S}]+|www[^{q.S}]+", ""), q.MENTION, ""))
+
+
+@query(
+    "cloud_words_toxic",
+    f"{q.LABELLED} SELECT token, n FROM {q.counts_of(_LOOSE_WORDS, 'labelled', '', 'toxicity_label = 1')} "
+    f"WHERE token NOT IN ({q.quoted(lex.STOP_WORDS_EARLY)}) ORDER BY n DESC, token LIMIT 100",
+)
+def cloud_words_toxic(spark, sf):
+    """Toxic texts with the looser link rule and their own stop list."""
+    df = with_label(spark, sf).filter("toxicity_label = 1")
+    words = p.words(cleaning.without_links(text(), "", p.URL_LOOSE))
+    return lexical.top(lexical.without_stop_words(lexical.token_counts(df, words), lex.STOP_WORDS_EARLY), 100)
+
+
+_STOP_TABLE = " UNION ALL ".join(f"SELECT '{w}' AS word" for w in (*lex.STOP_WORDS, *lex.SLANG_STOP_WORDS))
+
+
+@query(
+    "token_top_stop_table",
+    f"{q.ANNOTATED}, s AS ({_STOP_TABLE}) SELECT token, n FROM {q.counts_of(PLAIN, 'annotated')} "
+    f"WHERE token NOT IN (SELECT word FROM s WHERE word NOT IN ({NEG})) ORDER BY n DESC, token LIMIT 20",
+)
+def token_top_stop_table(spark, sf):
+    """Stop words from a table: a list with additions, without the negations."""
+    listed = lexical.stop_list(lex.STOP_WORDS, lex.SLANG_STOP_WORDS)
+    table = spark.createDataFrame([(w,) for w in listed], "word string")
+    counts = lexical.token_counts(fx.annotated(spark, sf), lexical.plain_words(text()))
+    return lexical.top(lexical.without_stop_table(counts, table, "word"))
 
 
 def _grams(n: int) -> str:
@@ -502,7 +555,8 @@ _MEASURES = (
 _RATIO = "CASE WHEN least(n0, n1) > 0 THEN greatest(n0, n1)::DOUBLE / least(n0, n1) END"
 _FINDINGS = {
     "rows": "rows", "missing_values": "missing", "invalid_texts": "invalid", "excess_text_copies": "excess_text",
-    "excess_normalised_copies": "excess_norm", "conflicting_texts": "conflicts", "class_ratio": _RATIO, "median_words": "q1",
+    "excess_normalised_copies": "excess_norm", "leakage_pct": "excess_norm * 100.0 / rows", "class_0_pct": "n0 * 100.0 / (n0 + n1)",
+    "class_1_pct": "n1 * 100.0 / (n0 + n1)", "conflicting_texts": "conflicts", "class_ratio": _RATIO, "median_words": "q1",
     "q1_words": "q0", "q3_words": "q2", "max_words": "max_words", "types": "types", "tokens": "tokens",
     "lexical_diversity": "types::DOUBLE / tokens", "words_seen_once": "once", "words_seen_at_most_5": "at_most_5",
     "slang_forms": "slang", "elongated_words": "elongated", **{f"{e}_pct": f"{e} * 100.0 / rows" for e in q.ELEMENTS},
@@ -517,22 +571,35 @@ _RECOMMENDATIONS = {
 }
 
 
+#: What decides a step whose decision depends on the data.
+_DECISIVE = {"invalid_texts": "invalid", "url": "url", "mention": "mention", "slang": "slang", "deduplication": "excess_norm"}
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _decision(step: str) -> str:
+    text = report.STEP_TEXTS[step][0]
+    return _text(text) if isinstance(text, str) else f"CASE WHEN {_DECISIVE[step]} = 0 THEN {_text(text[1])} ELSE {_text(text[0])} END"
+
+
 def _report_input(spark, sf):
     return with_label(spark, sf).select("doc_id", "text", "topic", "initial_paragraph", "toxicity_label")
 
 
 @query(
     "report_findings",
-    f"{q.LABELLED}, {_MEASURES} " + q.unpivot(_FINDINGS.items(), lambda e: f"SELECT '{e[0]}' AS finding, {q.r6(e[1])} AS value FROM m"),
+    f"{q.LABELLED}, {_MEASURES} " + q.unpivot(_FINDINGS.items(), lambda e: f"SELECT '{e[0]}' AS finding, {q.r6(e[1])} AS value, {_text(report.FINDING_TEXTS[e[0]][0])} AS impact, {_text(report.FINDING_TEXTS[e[0]][1])} AS advice FROM m"),
 )
 def report_findings(spark, sf):
-    return report.findings(_report_input(spark, sf), "toxicity_label", "text", "doc_id").drop("impact")
+    return report.findings(_report_input(spark, sf), "toxicity_label", "text", "doc_id")
 
 
 @query(
     "report_recommendations",
-    f"{q.LABELLED}, {_MEASURES} " + q.unpivot(_RECOMMENDATIONS.items(), lambda e: f"SELECT '{e[0]}' AS step, {q.r6(e[1])} AS measure FROM m"),
+    f"{q.LABELLED}, {_MEASURES} " + q.unpivot(_RECOMMENDATIONS.items(), lambda e: f"SELECT '{e[0]}' AS step, {q.r6(e[1])} AS measure, {_decision(e[0])} AS recommendation, {_text(report.STEP_TEXTS[e[0]][1])} AS reason FROM m"),
 )
 def report_recommendations(spark, sf):
-    return report.recommendations(_report_input(spark, sf), "toxicity_label", "text", "doc_id").drop("recommendation")
+    return report.recommendations(_report_input(spark, sf), "toxicity_label", "text", "doc_id")
 

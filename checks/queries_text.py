@@ -551,8 +551,11 @@ def split_export(spark, sf):
     f"{q.LABELLED}, v AS (SELECT {q.dup_key('text')} AS k, toxicity_label FROM labelled WHERE {q.VALID}), "
     "n AS (SELECT (SELECT count(*) FROM labelled) AS a, (SELECT count(*) FROM v) AS b, (SELECT count(DISTINCT k) FROM v) AS c, "
     "(SELECT count(DISTINCT k) FROM v WHERE toxicity_label IS NOT NULL) AS d) "
-    "SELECT 'drop_invalid' AS step, a AS before, b AS after, a - b AS dropped FROM n UNION ALL "
-    "SELECT 'deduplicate', b, c, b - c FROM n UNION ALL SELECT 'drop_unlabelled', c, d, c - d FROM n",
+    "SELECT 'drop_invalid' AS step, a AS before, b AS after, a - b AS dropped, 0::BIGINT AS changed FROM n UNION ALL "
+    "SELECT 'resolve_conflicts', b, b, 0, (SELECT count(*) FROM v LEFT JOIN (SELECT k, arg_min(toxicity_label, (-c, toxicity_label)) AS m FROM "
+    "(SELECT k, toxicity_label, count(*) AS c FROM v WHERE toxicity_label IS NOT NULL GROUP BY ALL) GROUP BY k) w ON v.k = w.k "
+    "WHERE v.toxicity_label IS DISTINCT FROM w.m OR w.m IS NULL) FROM n UNION ALL "
+    "SELECT 'deduplicate', b, c, b - c, 0 FROM n UNION ALL SELECT 'drop_unlabelled', c, d, c - d, 0 FROM n",
 )
 def step_log(spark, sf):
     return prepare.step_log(fx.annotated(spark, sf), "doc_id")
