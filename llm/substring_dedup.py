@@ -6,7 +6,7 @@ with a smaller id; windows are judged on the input.
 1. Sketch. Every window has an anchor, its 36-word run of the smallest hash; equal windows have equal anchors. Each task
    counts, in a count-min sketch, the documents of each anchor, and the merged sketch never gives less than the number of
    documents that hold a window.
-2. Windows whose anchor is estimated in two documents or more are grouped exactly, by 128 bits of their words. First come
+2. Windows whose anchor is estimated in two documents or more are grouped exactly, by 96 bits of their words. First come
    whole runs of such windows: of equal runs, all but those of the smallest id go without a look at their windows. Then
    come the windows of the remaining runs, which are as many as there are different runs around them.
 
@@ -32,8 +32,8 @@ ANCHOR = 36
 DEPTH, SKETCH_BITS = 4, 26
 #: Rows of an output batch, at most.
 ROWS = 1000
-_RUN = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("n", pa.int32())])
-_RUNS = "array<struct<h1:bigint,h2:bigint,at:int,n:int>>"
+_RUN = pa.struct([("h1", pa.int64()), ("h2", pa.int32()), ("at", pa.int32()), ("n", pa.int32())])
+_RUNS = "array<struct<h1:bigint,h2:int,at:int,n:int>>"
 
 
 def _smallest(values: np.ndarray, span: int) -> np.ndarray:
@@ -72,6 +72,12 @@ def _counted(sketch: Sketch, window: int):
     return run
 
 
+def _two_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 and 32 bits of values[start:end]."""
+    one, two = (spans_hash(values, start, end, b) for b in BASES)
+    return one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _runs(sketch: Sketch, window: int, column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]] | None:
     """Runs of windows that may be repeated: their number in each text, and the fields of all."""
 
@@ -83,7 +89,7 @@ def _runs(sketch: Sketch, window: int, column: pa.Array) -> tuple[np.ndarray, li
         start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1])][: len(at)])
         n = np.diff(np.r_[start, len(at)])
         text, at = text[start], at[start]
-        h1, h2 = (spans_hash(hashes, at, at + n + window - 1, b).view(np.int64) for b in BASES)
+        h1, h2 = _two_hashes(hashes, at, at + n + window - 1)
         return np.bincount(text, minlength=block.n), h1, h2, (at - block.first[text]).astype(np.int32), n.astype(np.int32)
 
     parts = [of_block(b) for b in blocks(column)]
@@ -134,7 +140,7 @@ def _expanded(window: int):
                     where.append(at)
                 d, at = np.concatenate(texts), np.concatenate(where)
                 first = block.first[d] + at
-                h1, h2 = (spans_hash(hashes, first, first + window, b).view(np.int64) for b in BASES)
+                h1, h2 = _two_hashes(hashes, first, first + window)
                 d = d + block.row
                 yield pa.record_batch(
                     [pa.array(h1), pa.array(h2), pa.array(row[d]), pa.array(ids[d]), pa.array(at.astype(np.int32))],
@@ -188,7 +194,7 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     own = runs.where(F.coalesce(~later, F.lit(True))).groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
     texts = found.select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     windows = texts.join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
-    windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 bigint, _row bigint, _id bigint, at int")
+    windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 int, _row bigint, _id bigint, at int")
     windows = written(windows, "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("_id").alias("first"), F.max("_id").alias("_high")).where("first < _high")
     windows = windows.join(first, ["h1", "h2"]).where(later).select("_row", "at", F.lit(1).alias("n"))

@@ -1,8 +1,8 @@
 """Words of many texts at once: numpy over the UTF-8 bytes of an Arrow string column.
 
 A word is a run of bytes outside 0x20 and 0x09-0x0D. Words and word sequences are compared by 64-bit polynomial hashes
-(mod 2**64, odd base, random byte values, bits mixed afterwards); where equality decides a result, two hashes of different
-bases make 128 bits.
+(mod 2**64, odd base, random byte values, bits mixed afterwards); where equality decides a result, hashes of two bases are used
+together.
 """
 
 from __future__ import annotations
