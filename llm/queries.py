@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from llm import language_id, quality_model
 from llm.line_dedup import dedup_lines
 from llm.ngram_join import ngram_components
+from llm.oracles import ORACLES  # noqa: F401
 from llm.packing import pack
 from llm.piece_codec import encode_texts
 from llm.quality_rules import FEATURES, judge
@@ -22,7 +23,6 @@ from llm.warc import archived
 TOKENIZERS: str | None = None
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -1,7 +1,11 @@
 """The pipeline, and its queries, on the smallest tables."""
 
+import duckdb
+import pytest
+
 import corpus_pipeline
-from llm.queries import QUERIES
+from check import canonical
+from llm.queries import ORACLES, QUERIES
 from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +41,12 @@ def test_queries_over_whole_tables(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op1_substring_dedup"](spark, SF).collect()}
     assert got == {(k, n, gone, brute.sha(kept)) for k, n, gone, kept in brute.substrings(rows)}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_against_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()
+    assert sorted(got.columns) == sorted(want.columns) and canonical(got) == canonical(want)
