@@ -96,7 +96,7 @@ def test_cascade(spark, docs, empty):
     assert rows[14].base_failed and not rows[14].kept and rows[5].broken_rule == "base"
     assert rows[1].kept and rows[1].broken_rule is None
     assert judge(empty).count() == 0
-    symbols = spark.createDataFrame([(" ".join(f"w{i}###" for i in range(60)),)], "text string")
+    symbols = spark.createDataFrame([(" ".join("word" + "abcdefghij"[i % 10] * (i // 10 + 1) + "###" for i in range(60)),)], "text string")
     assert judge(symbols).first().broken_rule == "symbols"
     both = judge(docs, rules=list(reversed(default_rules()))).select("doc_id", "kept")
     assert both.exceptAll(judge(docs).select("doc_id", "kept")).count() == 0
