@@ -39,24 +39,22 @@ def _vote(label: str):
 
 
 def social_cte(documents: str = "documents") -> str:
-    """Texts with links, mentions, hashtags, emoji, slang, and some unusable ones."""
+    """Every text of the table with links, mentions, hashtags, emoji or slang, and further rows with unusable texts."""
     return f"""social AS (
   SELECT doc_id, source AS topic,
-    CASE WHEN doc_id % 97 = 5 THEN NULL
-         WHEN doc_id % 97 = 6 THEN ''
-         WHEN doc_id % 97 = 7 THEN '  '
-         WHEN doc_id % 97 = 8 THEN '?!'
-         WHEN doc_id % 97 = 9 THEN 'NaN'
-         ELSE text || CASE doc_id % 8
+    text || CASE doc_id % 8
                 WHEN 0 THEN ' https://x.id/' || CAST(doc_id AS STRING)
                 WHEN 1 THEN ' @user_' || CAST(doc_id % 50 AS STRING)
                 WHEN 2 THEN ' #topik gak bgt'
                 WHEN 3 THEN ' 😡 yg GILAAA!!!!'
                 WHEN 4 THEN ' tidak krn jgn??? the'
                 WHEN 5 THEN ' kalo udah gw'
-                ELSE '' END
-    END AS text
-  FROM {documents})"""
+                ELSE '' END AS text
+  FROM {documents}
+  UNION ALL
+  SELECT doc_id + 1000000007 AS doc_id, source AS topic,
+    CASE doc_id % 97 WHEN 5 THEN NULL WHEN 6 THEN '' WHEN 7 THEN '  ' WHEN 8 THEN '?!' ELSE 'NaN' END AS text
+  FROM {documents} WHERE doc_id % 97 BETWEEN 5 AND 9)"""
 
 
 def annotated_cte(documents: str = "documents") -> str:
