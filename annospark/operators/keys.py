@@ -87,13 +87,17 @@ def range_of(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
     """
     shares = [i / ranges for i in range(1, ranges)]
     found = df.agg(F.percentile_approx(column, shares, 10 * ranges)).first()[0] or []
-    cuts = sorted(set(found))
+    return cuts_below(F.col(column), sorted(set(found)))
+
+
+def cuts_below(value: Column, cuts: Sequence) -> Column:
+    """Number of the ordered cuts that lie below a value, by binary search; 0 for null."""
 
     def search(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(F.col(column) < F.lit(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+        return F.when(value > F.lit(cuts[middle]), search(middle + 1, high)).otherwise(search(low, middle))
 
     return search(0, len(cuts))
 

@@ -148,22 +148,49 @@ def confusion(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     return df.select(cells_.alias("_c")).groupBy("_c.label", "_c.actual", "_c.predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _sweep(df: DataFrame, pairs: Mapping[str, tuple[str, str]], grid: Mapping[str, Sequence[float]]) -> DataFrame:
+    """``(name, threshold, tp, fp, fn, tn)`` of each label at each of its thresholds.
+
+    Rows are counted by label and by the number of thresholds that lie below their score; the cells are running sums over
+    that small table, so a fine grid costs no more passes or wider rows than a coarse one.
+    """
+    cuts = {k: sorted(set(map(float, grid[k]))) for k in pairs}
+    rows = [
+        F.struct(F.lit(k).alias("name"), F.col(y).cast("int").alias("y"), keys.cuts_below(F.col(s), cuts[k]).alias("below"))
+        for k, (y, s) in pairs.items()
+    ]
+    counts = df.select(F.explode(F.array(*rows)).alias("r")).groupBy("r.name", "r.below").agg(
+        F.count(F.when(F.col("r.y") == 1, 1)).alias("p"), F.count(F.when(F.col("r.y") == 0, 1)).alias("n")
+    )
+    asked = [
+        F.struct(F.lit(k).alias("name"), F.lit(float(i)).alias("at"), F.lit(t).alias("threshold"), zero.alias("p"), zero.alias("n"))
+        for k, ts in cuts.items()
+        for i, t in enumerate(ts)
+        for zero in (F.lit(0).cast("long"),)
+    ]
+    asked = df.sparkSession.range(1).select(F.explode(F.array(*asked)).alias("r")).select("r.*")
+    # Rows above threshold i have more than i thresholds below them.
+    placed = counts.select("name", (F.col("below") - 0.5).alias("at"), F.lit(None).cast("double").alias("threshold"), "p", "n")
+    every = Window.partitionBy("name")
+    above = every.orderBy(F.col("at").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    sums = placed.unionByName(asked).select(
+        "name",
+        "threshold",
+        F.sum("p").over(above).alias("tp"),
+        F.sum("n").over(above).alias("fp"),
+        F.sum("p").over(every).alias("_p"),
+        F.sum("n").over(every).alias("_n"),
+    )
+    return sums.where("threshold IS NOT NULL").select(
+        "name", "threshold", "tp", "fp", (F.col("_p") - F.col("tp")).alias("fn"), (F.col("_n") - F.col("fp")).alias("tn")
+    )
+
+
 def threshold_sweep(
     df: DataFrame, label: str, score: str, thresholds: Sequence[float] = lex.BINARY_THRESHOLDS
 ) -> DataFrame:
     """Scores at every threshold, all thresholds counted in one pass."""
-    counts = {}
-    for i, t in enumerate(thresholds):
-        pred = F.when(F.col(score) > t, 1).otherwise(0)
-        for name, agg in cells(F.col(label), pred).items():
-            counts[f"{name}{i}"] = agg.alias(f"{name}{i}")
-    rows = keys.unpivot_row(
-        df.agg(*counts.values()),
-        [
-            F.struct(F.lit(float(t)).alias("threshold"), *[F.col(f"{c}{i}").alias(c) for c in CELLS])
-            for i, t in enumerate(thresholds)
-        ],
-    )
+    rows = _sweep(df, {"": (label, score)}, {"": thresholds})
     return with_scores(rows).select("threshold", *CELLS, *SCORES)
 
 
@@ -186,19 +213,7 @@ def label_threshold_sweep(
 
     ``pairs`` maps a label to its (actual, score) columns.
     """
-    aggs, structs = [], []
-    for k, (actual, score) in pairs.items():
-        for i, t in enumerate(grid[k]):
-            pred = F.when(F.col(score) > t, 1).otherwise(0)
-            aggs += [a.alias(f"{k}_{n}{i}") for n, a in cells(F.col(actual), pred).items()]
-            structs.append(
-                F.struct(
-                    F.lit(k).alias("label"),
-                    F.lit(float(t)).alias("threshold"),
-                    *[F.col(f"{k}_{n}{i}").alias(n) for n in CELLS],
-                )
-            )
-    rows = keys.unpivot_row(df.agg(*aggs), structs)
+    rows = _sweep(df, pairs, grid).withColumnRenamed("name", "label")
     return rows.withColumn("f1", f1_of(F.col("tp"), F.col("fp"), F.col("fn")))
 
 

@@ -175,13 +175,17 @@ def column_roles(df: DataFrame, text: str = "text", suffix: str = "_label", main
     )
 
 
-def time_columns(df: DataFrame) -> DataFrame:
-    """Columns named like a time, with the share of values that parse as one."""
+def time_columns(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
+    """Columns named like a time, with the share of values that parse as one: in ISO spelling or one of ``formats``."""
+
+    def parsed(value: Column) -> Column:
+        return F.coalesce(F.try_to_timestamp(value), *[F.try_to_timestamp(value, F.lit(f)) for f in formats])
+
     names = [c for c in df.columns if any(k in c.lower() for k in TIME_NAMES)]
     rates = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *[
-            F.avg(F.try_to_timestamp(_c(c).cast("string")).isNotNull().cast("int")).alias(f"r{i}")
+            F.avg(parsed(_c(c).cast("string")).isNotNull().cast("int")).alias(f"r{i}")
             for i, c in enumerate(names)
         ],
     )

@@ -422,3 +422,15 @@ def test_vocabulary_without_a_limit(spark):
     df = spark.createDataFrame([(i, f"a b{i % 5} c{i % 2}") for i in range(30)], "doc_id int, text string")
     out = lexical.tfidf_weights(df, "doc_id", lexical.vectorizer_words(F.col("text")), (), 1, 1.0)
     assert out.select("term").distinct().count() > 5
+
+
+def test_time_formats(spark):
+    df = spark.createDataFrame([("31/12/2024", "x"), ("2024-12-31", "y")], "date string, other string")
+    assert profile.time_columns(df).first()["parse_rate"] == 0.5
+    assert profile.time_columns(df, ["dd/MM/yyyy"]).first()["parse_rate"] == 1.0
+
+
+def test_sweep_with_nulls_and_a_fine_grid(spark):
+    df = spark.createDataFrame([(1, 0.5), (1, None), (0, 0.25), (0, 0.9), (None, 0.7)], "y int, s double")
+    got = {r["threshold"]: (r["tp"], r["fp"], r["fn"], r["tn"]) for r in metrics.threshold_sweep(df, "y", "s", [i / 1000 for i in range(1000)]).collect()}
+    assert len(got) == 1000 and got[0.0] == (1, 2, 1, 0) and got[0.5] == (0, 1, 2, 1) and got[0.95] == (0, 0, 2, 2)
