@@ -16,6 +16,7 @@ from annospark.functions import lexicons as lex
 from annospark.functions import patterns as p
 from annospark.functions import tokens as tok
 from annospark.operators import keys
+from annospark.sources.tables import materialised
 
 
 # --- tokenizers: text column -> array<string> --------------------------------
@@ -233,10 +234,11 @@ def tfidf_weights(
 ) -> DataFrame:
     """``(doc_id, carry…, term, weight)``: sublinear tf, smoothed idf, unit length per document.
 
-    A vocabulary bounded by ``max_features`` is broadcast, and then the only
+    The terms are written once to the shared folder and read for the vocabulary and for the weights, so texts are tokenised
+    once, while the plan is built. A vocabulary bounded by ``max_features`` is broadcast, and then the only
     wide shuffle gathers a document's kept terms for its norm.
     """
-    terms = document_terms(df, doc_id, tokens, stop_words, carry)
+    terms = materialised(document_terms(df, doc_id, tokens, stop_words, carry), "terms")
     vocabulary = tfidf_vocabulary(terms, df, min_df, max_df, max_features)
     if max_features is not None:
         vocabulary = F.broadcast(vocabulary)
