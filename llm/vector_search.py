@@ -13,7 +13,8 @@ without clusters needs most of them, and then the early end of the distances is
 Centres, rotation and bounds come from a sample of about ``sample`` vectors, drawn by a hash of their ids; the
 vectors of the sample that make a query's bound are candidates too, so no query is short of neighbours. Every vector
 is indexed. A list's vectors are dealt into parts of about ``part`` by a hash of their ids, so a vector that a third
-of all rows repeat isn't one task's work.
+of all rows repeat isn't one task's work; queries are
+dealt out likewise, and each share of them meets each part.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, nor do rows without an id; equal distances rank the smaller id first; fewer than ``k`` candidates give fewer rows;
@@ -31,6 +32,8 @@ from llm.shared import written
 
 SAMPLE = 20_000
 PART = 4096
+#: Queries that meet a part of a list at a time, about.
+QUERIES = 5000
 #: Share of a sampled vector's neighbours that the probed lists must hold.
 RECALL = 0.97
 #: Sampled vectors on which the number of probes is chosen.
@@ -129,6 +132,7 @@ def nearest(
     part: int = PART,
     recall: float = RECALL,
     slack: float = SLACK,
+    queries_at_once: int = QUERIES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's ``k`` nearest of the vectors found, itself left out."""
     spark = vectors.sparkSession
@@ -167,9 +171,13 @@ def nearest(
     asked = usable(queries, id_col, vector_col).where(F.size("v") == width).groupBy("id").agg(F.min("v").alias("v"))
     asked = written(asked.withColumn("_p", probed("id", "v")).select("id", "v", "_p.*"), "queries")
     seeds = asked.select(F.col("id").alias("query_id"), F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
+    n_asked = asked.count()
     asked = asked.select("id", "v", "bound", F.explode("lists").alias("list"))
+    shares = max(1, -(-n_asked // queries_at_once))
+    asked = asked.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int"))
     asked = asked.join(F.broadcast(sizes.select("list", "parts")), "list")
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = held.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
 
     def searched(key: tuple, own: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
@@ -184,8 +192,9 @@ def nearest(
                 out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[alive][best], "score": score[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
-    held, asked = held.select("id", "v", "list", "part"), asked.select("id", "v", "bound", "list", "part")
-    found = held.groupBy("list", "part").cogroup(asked.groupBy("list", "part")).applyInPandas(searched, "query_id bigint, vec_id bigint, score double")
+    cell = ["list", "part", "share"]
+    held, asked = held.select("id", "v", *cell), asked.select("id", "v", "bound", *cell)
+    found = held.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInPandas(searched, "query_id bigint, vec_id bigint, score double")
     near = F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k)
     found = found.unionByName(seeds).distinct().groupBy("query_id").agg(near.alias("near"))
     return found.select("query_id", F.posexplode("near").alias("at", "hit")).select(

@@ -160,7 +160,7 @@ def test_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("list", F.lit(1)).withColumn("part", F.lit(1))
     rows = [(x.vec_id, x.embedding) for x in df.collect()]
     got = defaultdict(list)
-    for x in nearest(df, df.where("vec_id % 100 = 0"), part=64).collect():
+    for x in nearest(df, df.where("vec_id % 100 = 0"), part=64, queries_at_once=2).collect():
         got[x.query_id].append((x.rank, x.vec_id, x.score))
     want = brute_nearest(rows)
     assert {q: [(a, b) for a, b, _ in sorted(v)] for q, v in got.items()} == {q: [(a, b) for a, b, _ in v] for q, v in want.items()}
