@@ -126,7 +126,7 @@ def _with_none(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _expanded(window: int):
-    """(row, id, text, at[], n[]) to the windows of those runs."""
+    """(row, id, text, at[], n[]) to the windows of those runs, equal ones of a text in one row with all their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +141,14 @@ def _expanded(window: int):
                 d, at = np.concatenate(texts), np.concatenate(where)
                 first = block.first[d] + at
                 h1, h2 = _two_hashes(hashes, first, first + window)
-                d = d + block.row
+                order = np.lexsort((h2, h1, d))
+                d, h1, h2, at = d[order], h1[order], h2[order], at[order]
+                fresh = np.r_[True, (d[1:] != d[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])][: len(d)]
+                start = np.flatnonzero(fresh)
+                places = pa.ListArray.from_arrays(pa.array(np.r_[start, len(d)].astype(np.int32)), pa.array(at.astype(np.int32)))
+                own = d[start] + block.row
                 yield pa.record_batch(
-                    [pa.array(h1), pa.array(h2), pa.array(row[d]), pa.array(ids[d]), pa.array(at.astype(np.int32))],
+                    [pa.array(h1[start]), pa.array(h2[start]), pa.array(row[own]), pa.array(ids[own]), places],
                     names=["h1", "h2", "_row", "_id", "at"],
                 )
 
@@ -194,10 +199,10 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     own = runs.where(F.coalesce(~later, F.lit(True))).groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
     texts = found.select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     windows = texts.join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
-    windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 int, _row bigint, _id bigint, at int")
+    windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 int, _row bigint, _id bigint, at array<int>")
     windows = written(windows, "windows")
     first = windows.groupBy("h1", "h2").agg(F.min("_id").alias("first"), F.max("_id").alias("_high")).where("first < _high")
-    windows = windows.join(first, ["h1", "h2"]).where(later).select("_row", "at", F.lit(1).alias("n"))
+    windows = windows.join(first, ["h1", "h2"]).where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
     gone = windows.unionAll(runs.where(later).select("_row", "at", "n"))
     gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s")).select("_row", "s.at", "s.n")
 
