@@ -2,7 +2,7 @@
 
 ``monolithic`` puts records into archives that are compressed as one stream each, as some crawlers leave them; such files
 can only be read from their beginning. ``normalise`` inflates each file once, writes every record again as a gzip member of
-its own, and writes an index of the members' offsets and lengths beside them, so ``read_records`` can cut out any record
+its own, and in the same pass writes an index of the members' offsets and lengths beside them, a JSON line a record, so ``read_records`` can cut out any record
 and inflate it alone.
 
 Files are written by Spark's text writer, whose commit makes them whole or absent, to any file system Spark writes to. A
@@ -18,6 +18,7 @@ that share id and payload become records of their own; an empty table gives arch
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,12 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.shared import shared_dir, with_first, written
+from llm.shared import shared_dir, with_first
 
 #: Payload bytes of an archive; the record that passes it is the archive's last.
 ARCHIVE_BYTES = 8 << 20
 LEAST = 100
 _END = b"\r\n"
+_LINES = "kind string, archive string, line binary"
 RECORD = "archive string, offset bigint, length bigint, page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
 
 
@@ -95,10 +97,19 @@ def _closed(stream: bytes) -> bytes:
 
 
 def _files(lines: DataFrame, path: str) -> None:
-    """Write rows (archive, line) in their order: each line less the zero byte that the writer adds."""
-    lines.selectExpr("archive", "CAST(substring(line, 1, octet_length(line) - 1) AS STRING) AS value").write.partitionBy(
-        "archive"
-    ).option("lineSep", "\0").text(path)
+    """Write rows (kind, archive, line), each as a file of its own: the line less the zero byte that the writer adds."""
+    lines.selectExpr("kind", "archive", "CAST(substring(line, 1, octet_length(line) - 1) AS STRING) AS value").write.partitionBy(
+        "kind", "archive"
+    ).option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Payloads compressed and with their digests, which is how they are shuffled."""
+    for batch in batches:
+        payloads = [x.as_py() for x in batch.column(2)]
+        packed = pa.array([zlib.compress(x, 1) for x in payloads], pa.binary())
+        digests = pa.array([hashlib.sha256(x).hexdigest() for x in payloads], pa.string())
+        yield pa.record_batch([batch.column(0), batch.column(1), packed, digests], names=["page_id", "url", "packed", "digest"])
 
 
 def monolithic(pages: DataFrame, path: str, id_col: str, url_col: str, payload_col: str, archive_bytes: int = ARCHIVE_BYTES, least: int = LEAST) -> None:
@@ -108,24 +119,25 @@ def monolithic(pages: DataFrame, path: str, id_col: str, url_col: str, payload_c
         F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     )
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    narrow = rows.where(F.octet_length("payload") >= least).select("page_id", "digest")
+    narrow = rows.where(F.octet_length("payload") >= least).select("page_id", F.sha2("payload", 256).alias("digest"))
     # The smaller part by far: pages whose payload an earlier page has.
     revisits = with_first(narrow, ["digest"], "page_id").where("first < page_id").select("page_id", "digest", "first").distinct()
-    rows = rows.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "first")
+    rows = rows.mapInArrow(_small, "page_id bigint, url string, packed binary, digest string")
+    rows = rows.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "packed", "digest", "first")
 
     def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, size, stream, out = TaskContext.get().partitionId(), 0, 0, None, []
 
         def finished() -> pa.RecordBatch:
             out.append(stream.flush())
-            return pa.record_batch([pa.array([f"{task:06d}-{number:06d}"]), pa.array([_closed(b"".join(out))], pa.binary())], names=["archive", "line"])
+            line = pa.array([_closed(b"".join(out))], pa.binary())
+            return pa.record_batch([pa.array(["whole"]), pa.array([f"{task:06d}-{number:06d}"]), line], names=["kind", "archive", "line"])
 
         for batch in batches:
             for page_id, url, payload, digest, first in zip(*batch.columns, strict=True):
                 if stream is None:
-                    stream, size, out = zlib.compressobj(6, zlib.DEFLATED, 31), 0, []
-                payload = payload.as_py()
+                    stream, size, out = zlib.compressobj(1, zlib.DEFLATED, 31), 0, []
+                payload = zlib.decompress(payload.as_py())
                 out.append(stream.compress(record(page_id.as_py(), url.as_py(), payload, digest.as_py(), first.as_py())))
                 size += len(payload)
                 if size >= archive_bytes:
@@ -134,59 +146,50 @@ def monolithic(pages: DataFrame, path: str, id_col: str, url_col: str, payload_c
         if stream is not None:
             yield finished()
 
-    _files(rows.mapInArrow(archives, "archive string, line binary"), path)
+    _files(rows.mapInArrow(archives, _LINES), path)
 
 
-def _archives(spark, path: str) -> DataFrame:
-    """(archive, content) of the files below a folder."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+def _contents(spark, path: str, kind: str) -> DataFrame:
+    """(archive, content) of the files of a kind below a folder."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    files = files.where(F.col("path").contains(f"/kind={kind}/"))
     return files.select(F.regexp_extract("path", "/archive=([^/]+)/", 1).alias("archive"), "content")
 
 
 def normalise(spark, source: str, target: str) -> None:
-    """Archives of ``source`` as archives of one member a record in target/archives, their index in target/index."""
+    """Archives of ``source`` as archives of one member a record (kind=archives), and their indexes (kind=index)."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, content in zip(*batch.columns, strict=True):
-                offset, rows = 0, []
-                for n, (head, whole) in enumerate(records(inflated(content.as_py()))):
-                    member = _closed(_gzip(whole))
-                    refers = head.get("X-Refers-To-Page-Id")
-                    rows.append((archive.as_py(), n, offset, len(member), int(head["X-Page-Id"]), head["WARC-Type"], int(refers) if refers else None, member))
+                offset, out, index = 0, [], []
+                for head, whole in records(inflated(content.as_py())):
+                    member = _gzip(whole)
+                    entry = {"offset": offset, "length": len(member), "page_id": int(head["X-Page-Id"]), "type": head["WARC-Type"]}
+                    index.append(json.dumps(entry | {"digest": head["WARC-Payload-Digest"]}))
+                    out.append(member)
                     offset += len(member)
-                    if len(rows) == 500:
-                        yield batch_of(rows)
-                        rows = []
-                if rows:
-                    yield batch_of(rows)
-
-    names = ["archive", "n", "offset", "length", "page_id", "record_type", "refers_to", "line"]
-    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                lines = [_closed(b"".join(out)), "\n".join(index).encode() + b"\0"]
+                kinds = pa.array(["archives", "index"])
+                yield pa.record_batch([kinds, pa.array([archive.as_py()] * 2), pa.array(lines, pa.binary())], names=["kind", "archive", "line"])
 
-    schema = "archive string, n bigint, offset bigint, length bigint, page_id bigint, record_type string, refers_to bigint, line binary"
-    found = written(_archives(spark, source).mapInArrow(members, schema), "members")
-    found.drop("line").write.parquet(f"{target}/index")
-    parts = max(1, found.rdd.getNumPartitions())
-    _files(found.repartition(parts, "archive").sortWithinPartitions("archive", "n").select("archive", "line"), f"{target}/archives")
+    _files(_contents(spark, source, "whole").mapInArrow(members, _LINES), target)
 
 
 def read_records(spark, target: str) -> DataFrame:
     """RECORD rows: every record cut out of its archive by the index and inflated alone; revisits have no payload."""
-    index = spark.read.parquet(f"{target}/index").groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("spans"))
-    joined = _archives(spark, f"{target}/archives").join(index, "archive")
+    index = _contents(spark, target, "index").withColumnRenamed("content", "index")
+    joined = _contents(spark, target, "archives").join(index, "archive")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         names = "archive offset length page_id record_type refers_to payload_bytes payload_digest payload".split()
         for batch in batches:
-            for archive, content, spans in zip(*batch.columns, strict=True):
+            for archive, content, index in zip(*batch.columns, strict=True):
                 content, rows = memoryview(content.as_buffer()), []
-                for span in spans.as_py():
-                    a, n = span["offset"], span["length"]
+                for line in index.as_py().rstrip(b"\0").decode().split("\n"):
+                    entry = json.loads(line)
+                    a, n = entry["offset"], entry["length"]
                     head, whole = next(records(inflated(bytes(content[a : a + n]))))
                     refers, size = head.get("X-Refers-To-Page-Id"), int(head["X-Payload-Length"])
                     digest = head["WARC-Payload-Digest"].removeprefix("sha256:")
@@ -198,7 +201,7 @@ def read_records(spark, target: str) -> DataFrame:
                     rows.append((archive.as_py(), a, n, int(head["X-Page-Id"]), head["WARC-Type"], int(refers) if refers else None, size, digest, payload))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    return joined.select("archive", "content", "spans").mapInArrow(cut, RECORD)
+    return joined.select("archive", "content", "index").mapInArrow(cut, RECORD)
 
 
 def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:

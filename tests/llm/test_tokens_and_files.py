@@ -1,6 +1,7 @@
 """Packing, piece codec, WARC, vector search."""
 
 import hashlib
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -128,18 +129,20 @@ def test_warc_members_are_gzip(spark, tmp_path):
 
     df = spark.createDataFrame([(k, "u", f"page {k} " * 50) for k in range(30)], "page_id bigint, url string, html string").coalesce(1)
     warc.monolithic(df, f"{tmp_path}/whole", "page_id", "url", "html", archive_bytes=4000)
-    whole = sorted(tmp_path.glob("whole/archive=*/part-*"))
+    whole = sorted(tmp_path.glob("whole/kind=whole/archive=*/part-*"))
     assert len(whole) > 2
     for path in whole:  # one member each
         member = zlib.decompressobj(wbits=31)
         member.decompress(path.read_bytes())
         assert member.eof and not member.unused_data
     warc.normalise(spark, f"{tmp_path}/whole", f"{tmp_path}/normal")
-    index = spark.read.parquet(f"{tmp_path}/normal/index").collect()
-    files = {p.parent.name.removeprefix("archive="): p.read_bytes() for p in tmp_path.glob("normal/archives/archive=*/part-*")}
-    assert sum(r.length for r in index) == sum(map(len, files.values())) and len(index) == 30
-    for r in index:
-        assert f"X-Page-Id: {r.page_id}\r\n".encode() in gzip.decompress(files[r.archive][r.offset : r.offset + r.length])
+    files = {p.parent.name: p.read_bytes() for p in tmp_path.glob("normal/kind=archives/archive=*/part-*")}
+    indexes = {p.parent.name: p.read_bytes().rstrip(b"\0").decode() for p in tmp_path.glob("normal/kind=index/archive=*/part-*")}
+    entries = [(name, json.loads(line)) for name, text in indexes.items() for line in text.split("\n")]
+    assert sum(e["length"] for _, e in entries) == sum(map(len, files.values())) and len(entries) == 30
+    for name, e in entries:
+        member = gzip.decompress(files[name][e["offset"] : e["offset"] + e["length"]])
+        assert f"X-Page-Id: {e['page_id']}\r\n".encode() in member
 
 
 def brute_nearest(rows, k=10):
