@@ -1,6 +1,7 @@
 """Operators on skewed, empty and edge-case tables."""
 
 import math
+import uuid
 
 import pytest
 from pyspark.sql import Window
@@ -312,7 +313,10 @@ def test_prepare_has_no_copy_across_splits(spark):
     out = prepare.prepare(df, "id").cache()
     assert out.count() == 200 and out.filter("split = 'test'").count() == 40
     log = {r["step"]: (r["before"], r["after"]) for r in prepare.step_log(df, "id").collect()}
-    assert log == {"drop_invalid": (600, 600), "deduplicate": (600, 200), "drop_unlabelled": (200, 200)}
+    assert log == {"drop_invalid": (600, 600), "resolve_conflicts": (600, 600), "deduplicate": (600, 200), "drop_unlabelled": (200, 200)}
+    mixed = df.withColumn("toxicity", F.when(F.col("id") < 200, "['1']").otherwise("['0']"))
+    changed = [prepare.step_log(d, "id").where("step = 'resolve_conflicts'").first()["changed"] for d in (df, mixed)]
+    assert changed == [0, 200]
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -321,7 +325,7 @@ def test_stream_equals_batch(spark, tmp_path):
     df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns)).withColumns({c: F.lit("['1', '0']") for c in lex.LABELS})
     df.write.parquet(str(tmp_path / "in"))
     stream = annotate.annotate(annotate.read_stream(spark, str(tmp_path / "in")))
-    annotate.write_stream(stream, str(tmp_path / "out"), "annotate").awaitTermination()
+    annotate.write_stream(stream, str(tmp_path / "out"), f"annotate-{uuid.uuid4().hex}").awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(annotate.annotate(df))
 
 
@@ -338,7 +342,7 @@ def test_empty_input(spark):
     assert stats.histogram(df.withColumn("v", F.length("text")), "v").count() == 0
     assert lexical.ngram_counts(df, lexical.vectorizer_words(F.col("text")), 2).count() == 0
     assert lexical.vocabulary_stats(lexical.token_counts(df, lexical.plain_words(F.col("text"))), df).first()["tokens"] == 0
-    assert prepare.step_log(df, "id").count() == 3
+    assert prepare.step_log(df, "id").count() == 4
     assert stats.class_summary(df, "label").count() == 0
 
 
