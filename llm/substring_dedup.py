@@ -141,11 +141,15 @@ def _expanded(window: int):
                 d, at = np.concatenate(texts), np.concatenate(where)
                 first = block.first[d] + at
                 h1, h2 = _two_hashes(hashes, first, first + window)
-                order = np.lexsort((h2, h1, d))
-                d, h1, h2, at = d[order], h1[order], h2[order], at[order]
-                fresh = np.r_[True, (d[1:] != d[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])][: len(d)]
-                start = np.flatnonzero(fresh)
-                places = pa.ListArray.from_arrays(pa.array(np.r_[start, len(d)].astype(np.int32)), pa.array(at.astype(np.int32)))
+                order = np.lexsort((h2, h1, d))  # equal windows stay in the order of their places
+                same = (d[order][1:] == d[order][:-1]) & (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+                fresh = np.r_[True, ~same][: len(d)]
+                leader = np.empty(len(d), dtype=np.int64)  # of each window, the first that equals it
+                leader[order] = order[fresh][np.cumsum(fresh) - 1]
+                start = np.flatnonzero(leader == np.arange(len(d)))  # in the order of places, which is stored in least room
+                by_leader = np.argsort(leader, kind="stable")
+                ends = np.cumsum(np.bincount(leader, minlength=len(d))[start])
+                places = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(at[by_leader].astype(np.int32)))
                 own = d[start] + block.row
                 yield pa.record_batch(
                     [pa.array(h1[start]), pa.array(h2[start]), pa.array(row[own]), pa.array(ids[own]), places],
