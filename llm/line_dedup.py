@@ -1,13 +1,15 @@
-"""Removal of repeated blocks of lines by content-defined chunks, in DataFrame functions only.
+"""Removal of repeated blocks of lines, in DataFrame functions only.
 
-A cyclic rolling hash over the hashes of three neighbouring lines decides where a chunk ends, so equal passages are cut
-alike wherever they stand; a chunk has ``mean`` lines on average. Chunks of two lines or more are grouped by digest over all
-documents. A chunk goes if a document with a smaller id has it, or its own document has it before, and only after its bytes
-were compared with those of the chunk that stays.
+A block is two neighbouring lines or more. Every pair of neighbouring lines is looked up over all documents by the hashes of
+its two lines, so a repeated block is found whole, wherever it starts and however short it is. A pair goes if a document with
+a smaller id has it, or its own document has it before without overlap; a line goes if a pair that it belongs to goes. Lines
+are compared by their bytes before any goes: pairs with a hash that unlike lines share stay.
 
 Defined results: null texts stay null; rows without an id keep their text and remove nothing; rows of one id don't remove
-each other's chunks; a text that loses all its lines is empty; lines end at \\n only and are compared as they are, an empty
-line being a line; other columns stay as they are, but for ``n_lines`` and ``n_removed_lines``.
+each other's pairs; single lines aren't blocks, so texts of one line stay; pairs are looked up in the texts as they came, of
+every line that goes an earlier one stays, perhaps beside other lines; a text that loses all its lines is empty; lines end at
+\\n only and are compared as they are, an empty line being a line; other columns stay as they are, but for ``n_lines`` and
+``n_removed_lines``.
 """
 
 from __future__ import annotations
@@ -17,76 +19,54 @@ from pyspark.sql import functions as F
 
 from llm.shared import with_first, written
 
-MEAN = 4
 _KEY = ["_id", "_text"]
 
 
-def _turned(x: Column, bits: int) -> Column:
-    return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits))
+def _hash(line: Column) -> Column:
+    return F.xxhash64(line)
 
 
-def chunks(lines: DataFrame, mean: int = MEAN) -> DataFrame:
-    """Adds ``_chunks``, an array of (start, n, digest), to rows with an array ``_lines``."""
-    rows = lines.withColumn("_hash", F.transform("_lines", lambda x: F.xxhash64(x)))
+def pairs(lines: DataFrame) -> DataFrame:
+    """A row (key, at, a, b) for each two neighbours of the array ``_lines``: place and hashes of the two lines."""
+    rows = lines.where(F.size("_lines") > 1).select(*_KEY, F.transform("_lines", _hash).alias("_hashes"))
+    both = F.arrays_zip(F.slice("_hashes", F.lit(1), F.size("_hashes") - 1).alias("a"), F.slice("_hashes", F.lit(2), F.size("_hashes") - 1).alias("b"))
+    return rows.select(*_KEY, F.posexplode(both).alias("at", "p")).select(*_KEY, "at", "p.a", "p.b")
 
-    def before(i: Column, k: int) -> Column:
-        return F.coalesce(F.get("_hash", i - k), F.lit(0).cast("long"))
 
-    def ends(h: Column, i: Column) -> Column:
-        rolled = h.bitwiseXOR(_turned(before(i, 1), 1)).bitwiseXOR(_turned(before(i, 2), 2))
-        return F.when((F.pmod(F.xxhash64(rolled), F.lit(mean)) == 0) | (i == F.size("_hash") - 1), i)
-
-    def start(k: Column) -> Column:
-        return F.coalesce(F.get("_ends", k - 1) + 1, F.lit(0))
-
-    rows = rows.withColumn("_ends", F.filter(F.transform("_hash", ends), lambda e: e.isNotNull()))
-    spans = F.transform("_ends", lambda e, k: F.struct(start(k).alias("start"), (e - start(k) + 1).alias("n")))
-    spans = F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.md5(_body(c)).alias("digest")))
-    return rows.withColumn("_chunks", spans).drop("_hash", "_ends")
-
-
-def _body(chunk: Column) -> Column:
-    return F.array_join(F.slice("_lines", chunk["start"] + 1, chunk["n"]), "\n")
-
-
-def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean: int = MEAN) -> DataFrame:
-    """The documents without repeated chunks, with ``n_lines`` and ``n_removed_lines``."""
+def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without repeated blocks of lines, with ``n_lines`` and ``n_removed_lines``."""
     documents = documents.drop("n_lines", "n_removed_lines")
     names = [F.col(f"`{c}`") for c in documents.columns]
     keyed = documents.select(*names, F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"))
     split = F.split(F.col(text_col), "\n", -1)
 
-    rows = chunks(keyed.where(F.col("_id").isNotNull() & F.contains(text_col, F.lit("\n"))).select(*_KEY, split.alias("_lines")), mean)
-    rows = rows.select(*_KEY, F.explode(F.filter("_chunks", lambda c: c["n"] > 1)).alias("c"))
-    rows = rows.groupBy(*_KEY, "c.digest").agg(F.sort_array(F.collect_set(F.struct("c.start", "c.n"))).alias("places"))
-    rows = with_first(rows, ["digest"], "_id").where(F.col("first").isNotNull() | (F.size("places") > 1))
-    rows = written(rows.select(*_KEY, "digest", F.coalesce("first", "_id").alias("first"), "places"), "chunks")
+    rows = pairs(keyed.where(F.col("_id").isNotNull() & F.contains(text_col, F.lit("\n"))).select(*_KEY, split.alias("_lines")))
+    rows = rows.groupBy(*_KEY, "a", "b").agg(F.sort_array(F.collect_set("at")).alias("places"))
+    rows = with_first(rows, ["a", "b"], "_id").where(F.col("first").isNotNull() | (F.size("places") > 1))
+    rows = written(rows.select(*_KEY, "a", "b", F.coalesce("first", "_id").alias("first"), "places"), "pairs")
 
-    hits = rows.groupBy(*_KEY).agg(F.collect_list(F.struct("digest", "first", "places")).alias("_hits"))
+    hits = rows.groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("_places"))
     found = written(keyed.join(hits, _KEY, "left"), "documents")
-    touched = found.where(F.col("_hits").isNotNull()).withColumn("_lines", split).withColumn("_n", F.size("_lines"))
-
-    bodies = F.transform(
-        "_hits",
-        lambda h: F.transform(
-            h["places"],
-            lambda p, i: F.struct(
-                h["digest"].alias("digest"), p["start"].alias("start"), p["n"].alias("n"), _body(p).alias("body"),
-                ((h["first"] == F.col("_id")) & (i == 0)).alias("stays"),
-            ),
-        ),
-    )
-    bodies = touched.select(*_KEY, F.inline(F.flatten(bodies)), "_n").drop("_n")
-    stay = bodies.where("stays").groupBy("digest").agg(F.min("body").alias("kept"))
-    gone = bodies.where("NOT stays").join(stay, "digest").where("body = kept")
-    gone = gone.groupBy(*_KEY).agg(F.collect_set(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("_gone"))
+    touched = found.where(F.col("_places").isNotNull()).withColumn("_lines", split).withColumn("_n", F.size("_lines"))
+
+    # Lines of repeated pairs whose hash other lines have too: about none, as 64 bits tell apart all but few of 10**9 lines.
+    at = F.array_distinct(F.concat("_places", F.transform("_places", lambda i: i + 1)))
+    bodies = touched.select(F.explode(F.transform(at, lambda i: F.get("_lines", i))).alias("body")).select(_hash(F.col("body")).alias("hash"), "body")
+    unlike = bodies.groupBy("hash").agg(F.min("body").alias("low"), F.max("body").alias("high")).where("low < high").select("hash")
+
+    own = F.filter("places", lambda p: p >= F.get("places", F.lit(0)) + 2)
+    gone = rows.withColumn("places", F.when(F.col("first") == F.col("_id"), own).otherwise(F.col("places"))).where(F.size("places") > 0)
+    for side in ("a", "b"):
+        gone = gone.join(F.broadcast(unlike.withColumnRenamed("hash", side)), side, "left_anti")
+    gone = gone.groupBy(*_KEY).agg(F.flatten(F.collect_list("places")).alias("_gone"))
+    gone = gone.select(*_KEY, F.array_distinct(F.concat("_gone", F.transform("_gone", lambda i: i + 1))).alias("_gone"))
 
     left = touched.join(gone, _KEY, "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), F.flatten("_gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), F.col("_gone"))
     text = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
     rest = [F.col(f"`{c}`") if c != text_col else F.coalesce(text, F.col(text_col)).alias(c) for c in documents.columns]
-    lost = F.coalesce(F.size(F.flatten("_gone")), F.lit(0))
+    lost = F.coalesce(F.size("_gone"), F.lit(0))
     left = left.select(*rest, F.col("_n").cast("long").alias("n_lines"), F.greatest(lost, F.lit(0)).cast("long").alias("n_removed_lines"))
     n = F.coalesce(F.size(split), F.lit(0))
-    same = found.where(F.col("_hits").isNull()).select(*names, F.greatest(n, F.lit(0)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed_lines"))
+    same = found.where(F.col("_places").isNull()).select(*names, F.greatest(n, F.lit(0)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed_lines"))
     return same.unionAll(left)

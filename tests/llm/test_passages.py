@@ -87,3 +87,11 @@ def test_lines_hot_chunk_and_repeated_rows(spark):
 def test_lines_use_no_python(spark):
     df = spark.createDataFrame([(1, "a\nb")], "doc_id bigint, text string")
     assert "Python" not in dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_of_whole_copies_all_go(spark):
+    texts = ["\n".join(lines(k, 2 + k % 7)) for k in range(60)]
+    df = spark.createDataFrame([*enumerate(texts), *((100 + k, t) for k, t in enumerate(texts))], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in dedup_lines(df).collect()}
+    assert all(got[k].text == t for k, t in enumerate(texts))
+    assert all(got[100 + k].text == "" and got[100 + k].n_removed_lines == got[100 + k].n_lines for k in range(60))
