@@ -1,6 +1,6 @@
 """DuckDB SQL of the operators that SQL can express.
 
-Tokenizers, trained models, line chunks by rolling hashes and approximate search have none; tests hold these against the
+Tokenizers, trained models and approximate search have none; tests hold these against the
 libraries, brute force or held-out rows.
 """
 
@@ -38,6 +38,16 @@ m AS (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
+OP8 = """WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS x FROM documents),
+l AS (SELECT doc_id, unnest(x) AS line, generate_subscripts(x, 1) AS i FROM s),
+p AS (SELECT a.doc_id, a.i, a.line AS a, b.line AS b FROM l a JOIN l b ON a.doc_id = b.doc_id AND a.i + 1 = b.i),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY a, b) AS first, min(i) OVER (PARTITION BY doc_id, a, b) AS own FROM p),
+gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM f WHERE first < doc_id OR i >= own + 2),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS kept FROM l ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text, coalesce(len(x), 0)::BIGINT AS n_lines,
+coalesce(n, 0)::BIGINT AS n_removed_lines FROM s LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
 OP10 = rf"""WITH {_TEXTS}, w AS (SELECT doc_id, text, {_WORDS.format(x='text')} AS w,
 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 t AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w),
@@ -52,4 +62,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND n_symbols * 10 <= n_words AND n_dup_lines * 2 <= n_lines
 AND upper * 2 <= letters AND letters * 2 >= word_chars AND shouts * 5 <= n_words AS kept FROM f"""
 
-ORACLES = {"op1_substring_dedup": OP1, "op3_warc": OP3, "op6_ngram_join": OP6, "op10_quality_rules": OP10}
+ORACLES = {"op1_substring_dedup": OP1, "op3_warc": OP3, "op6_ngram_join": OP6, "op8_line_dedup": OP8, "op10_quality_rules": OP10}

@@ -70,3 +70,21 @@ def counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def repeated_lines(docs: list[tuple]) -> Counter:
+    """(id, text left, n_lines, n_removed_lines) of each row: lines of pairs that an earlier document or the own text before has."""
+    split = [(key, None if text is None else text.split("\n")) for key, text in docs]
+    first: dict[tuple, int] = {}
+    for key, x in split:
+        for pair in zip(x or (), (x or ())[1:]) if key is not None else ():
+            first[pair] = min(key, first.get(pair, key))
+    out = Counter()
+    for key, x in split:
+        gone, seen = set(), {}
+        for i, pair in enumerate(zip(x or (), (x or ())[1:])) if key is not None else ():
+            if first[pair] < key or i >= seen.setdefault(pair, i) + 2:
+                gone |= {i, i + 1}
+        left = None if x is None else "\n".join(line for i, line in enumerate(x) if i not in gone)
+        out[key, left, len(x or ()), len(gone)] += 1
+    return out

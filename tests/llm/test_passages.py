@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from llm import line_dedup
 from llm.line_dedup import dedup_lines
 from llm.ngram_join import ngram_components
 from llm.substring_dedup import dedup_substrings
@@ -95,3 +96,35 @@ def test_lines_of_whole_copies_all_go(spark):
     got = {r.doc_id: r for r in dedup_lines(df).collect()}
     assert all(got[k].text == t for k, t in enumerate(texts))
     assert all(got[100 + k].text == "" and got[100 + k].n_removed_lines == got[100 + k].n_lines for k in range(60))
+
+
+def short_blocks():
+    """Rows of blocks of 2 to 8 lines that others have too, own lines between; repeated ids, nulls, overlapping repeats."""
+    import random
+
+    r = random.Random(4)
+    blocks = [lines(f"b{k}", 2 + k % 7) for k in range(25)]
+    rows = [(k, "\n".join(sum(([*r.choice(blocks), *lines(f"{k}.{j}", r.randrange(3))] for j in range(r.randrange(6))), lines(k, 1)))) for k in range(120)]
+    rows += [(200 + k, "\n".join(r.choice(["a", "b", ""]) for _ in range(k))) for k in range(12)]
+    return [*rows, (220, "c\nc\nc\nc\nc"), (None, rows[3][1]), (5, rows[9][1]), (5, rows[9][1]), (221, None), (222, "\r\n\r\n")]
+
+
+def test_lines_against_brute_force(spark):
+    got = dedup_lines(spark.createDataFrame(short_blocks(), "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.text, r.n_lines, r.n_removed_lines) for r in got) == brute.repeated_lines(short_blocks())
+
+
+def test_lines_query_against_brute_force(spark):
+    from llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = Counter((r.doc_id, r.text, r.n_lines, r.n_removed_lines) for r in QUERIES["op8_line_dedup"](spark, sf).collect())
+    assert got == brute.repeated_lines(rows)
+
+
+def test_lines_of_one_hash_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_hash", lambda line: F.length(line).cast("long"))
+    rows = [(1, "aa\nbbb"), (2, "aa\nccc"), (3, "dddd\neeeee"), (4, "dddd\neeeee")]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == dict(rows) | {4: ""}
