@@ -18,14 +18,17 @@ dealt out likewise, and each share of them meets each part.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, nor do rows without an id; equal distances rank the smaller id first; fewer than ``k`` candidates give fewer rows;
-an empty table gives none. Rows that share an id are each candidates; of such queries the smallest vector is taken.
+an empty table gives none. Rows that share an id are each candidates where their vectors differ, and one candidate where
+these are equal, so a table appended twice has the neighbours of the table; of such queries the smallest vector is taken.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.shared import written
@@ -52,6 +55,17 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.size("v") == (lengths["n"] if lengths else -1))
 
 
+def marks(x: np.ndarray) -> np.ndarray:
+    """64 bits of each vector's digest, equal for equal vectors."""
+    rows = np.ascontiguousarray(x + 0.0)  # -0.0 becomes 0.0
+    return np.array([int.from_bytes(hashlib.blake2b(row, digest_size=8).digest(), "little", signed=True) for row in rows], dtype=np.int64)
+
+
+def unlike(ids: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Places of the rows without those that repeat an id and its vector."""
+    return np.sort(np.unique(np.stack([ids, marks], axis=1), axis=0, return_index=True)[1])
+
+
 class Index:
     """Rotation, centres of the rotated vectors, and what the sample says of distances."""
 
@@ -68,7 +82,7 @@ class Index:
             np.add.at(sums, near, x)
             n = np.bincount(near, minlength=len(centres))
             centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
-        self.centres, self.ids, self.original, self.sample = centres, ids, sample, x
+        self.centres, self.ids, self.original, self.sample, self.marks = centres, ids, sample, x, marks(sample)
 
     @staticmethod
     def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -94,13 +108,19 @@ class Index:
         ranks = np.sort(np.take_along_axis(place, self.lists_of(self.sample)[near], axis=1).ravel())
         return int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))) - 1)]) + 1
 
-    def seeds(self, query_id: int, v: np.ndarray, turned: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray]:
+    def seeds(self, query_id: int, v: np.ndarray, turned: np.ndarray, k: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """Square distance within which the sample has k vectors besides the query's own (else infinite); these vectors."""
         squares = np.where(self.ids == query_id, np.inf, self._squares(turned[None], self.sample)[0])
         near = np.argpartition(squares, min(k, len(squares)) - 1)[:k]
         near = near[np.isfinite(squares[near])]
         score = distances(self.original[near], v)
-        return (float((score**2).max()) * (1 + 1e-9) if len(near) == k else np.inf), self.ids[near], score
+        return (float((score**2).max()) * (1 + 1e-9) if len(near) == k else np.inf), self.ids[near], self.marks[near], score
+
+
+def drawn_at(id_col: str, n: int, sample: int) -> Column:
+    """Whether a row of ``n`` is in the sample."""
+    million = 1_000_000
+    return F.pmod(F.xxhash64(id_col), F.lit(million)) < min(million, million * sample // n + 1)
 
 
 def distances(x: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -138,14 +158,15 @@ def nearest(
     spark = vectors.sparkSession
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     rows = usable(vectors, id_col, vector_col)
-    n, million = rows.count(), 1_000_000
+    n = rows.count()
     if not n:
         return spark.createDataFrame([], schema)
-    drawn = rows.where(F.pmod(F.xxhash64("id"), F.lit(million)) < min(million, million * sample // n + 1)).orderBy("id").collect()
+    drawn = rows.where(drawn_at("id", n, sample)).orderBy("id").collect()
     if not drawn:
         drawn = rows.limit(1).collect()
     ids, sampled = np.array([r.id for r in drawn]), np.array([r.v for r in drawn])
-    built = Index(ids, sampled, max(1, min(1024, int(len(drawn) ** 0.5))))
+    once = unlike(ids, marks(sampled))
+    built = Index(ids[once], sampled[once], max(1, min(1024, int(len(once) ** 0.5))))
     probes = built.probes_for(recall, k)
     index = spark.sparkContext.broadcast(built)
     width = len(drawn[0].v)
@@ -154,15 +175,15 @@ def nearest(
     def list_of(v: pd.Series) -> pd.Series:
         return pd.Series(index.value.lists_of(np.stack(v.to_numpy()) @ index.value.rotation)) if len(v) else pd.Series([], dtype="int32")
 
-    @F.pandas_udf("struct<lists:array<int>,bound:double,ids:array<bigint>,scores:array<double>>")
+    @F.pandas_udf("struct<lists:array<int>,bound:double,ids:array<bigint>,marks:array<bigint>,scores:array<double>>")
     def probed(ids: pd.Series, v: pd.Series) -> pd.DataFrame:
         if not len(v):
-            return pd.DataFrame({"lists": [], "bound": [], "ids": [], "scores": []})
+            return pd.DataFrame({"lists": [], "bound": [], "ids": [], "marks": [], "scores": []})
         own = index.value
         x = np.stack(v.to_numpy())
         turned = x @ own.rotation
-        bound, near, score = zip(*(own.seeds(*row, k) for row in zip(ids, x, turned, strict=True)), strict=True)
-        return pd.DataFrame({"lists": list(own.probes(turned)[:, :probes]), "bound": bound, "ids": near, "scores": score})
+        bound, near, mark, score = zip(*(own.seeds(*row, k) for row in zip(ids, x, turned, strict=True)), strict=True)
+        return pd.DataFrame({"lists": list(own.probes(turned)[:, :probes]), "bound": bound, "ids": near, "marks": mark, "scores": score})
 
     parts = max(1, -(-n // part))
     held = rows.withColumn("list", list_of("v")).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
@@ -170,7 +191,8 @@ def nearest(
     held = held.join(F.broadcast(sizes.select("list", "parts")), "list").withColumn("part", F.col("part") % F.col("parts"))
     asked = usable(queries, id_col, vector_col).where(F.size("v") == width).groupBy("id").agg(F.min("v").alias("v"))
     asked = written(asked.withColumn("_p", probed("id", "v")).select("id", "v", "_p.*"), "queries")
-    seeds = asked.select(F.col("id").alias("query_id"), F.inline(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))))
+    seeds = F.arrays_zip(F.col("ids").alias("vec_id"), F.col("marks").alias("mark"), F.col("scores").alias("score"))
+    seeds = asked.select(F.col("id").alias("query_id"), F.inline(seeds))
     n_asked = asked.count()
     asked = asked.select("id", "v", "bound", F.explode("lists").alias("list"))
     shares = max(1, -(-n_asked // queries_at_once))
@@ -183,20 +205,24 @@ def nearest(
         out: list[pd.DataFrame] = []
         if len(own) and len(wanted):
             ids, x = own["id"].to_numpy(), np.stack(own["v"].to_numpy())
+            mark = marks(x)
+            once = unlike(ids, mark)  # equal rows are always in one cell
+            ids, x, mark = ids[once], x[once], mark[once]
             turned = x @ index.value.rotation
             for query_id, v, bound in zip(wanted["id"], wanted["v"], wanted["bound"], strict=True):
                 others = np.flatnonzero(ids != query_id)
                 alive = others[scan(v @ index.value.rotation, bound, turned[others], slack, BLOCK)]
                 score = distances(x[alive], v)
                 best = np.lexsort((ids[alive], score))[:k]
-                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[alive][best], "score": score[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+                out.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[alive][best], "mark": mark[alive][best], "score": score[best]}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "mark": [], "score": []})
 
     cell = ["list", "part", "share"]
     held, asked = held.select("id", "v", *cell), asked.select("id", "v", "bound", *cell)
-    found = held.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInPandas(searched, "query_id bigint, vec_id bigint, score double")
+    found = held.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInPandas(searched, "query_id bigint, vec_id bigint, mark bigint, score double")
     near = F.slice(F.sort_array(F.collect_list(F.struct("score", "vec_id"))), 1, k)
-    found = found.unionByName(seeds).distinct().groupBy("query_id").agg(near.alias("near"))
+    found = found.unionByName(seeds).groupBy("query_id", "vec_id", "mark").agg(F.min("score").alias("score"))
+    found = found.groupBy("query_id").agg(near.alias("near"))
     return found.select("query_id", F.posexplode("near").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score"
     )

@@ -184,3 +184,17 @@ def test_vectors_beyond_the_sample(spark):
     want = brute_nearest(rows)
     assert all(len(got[q]) == 10 for q in want)
     assert sum(len(got[q] & {j for _, j, _ in v}) for q, v in want.items()) >= 0.9 * sum(map(len, want.values()))
+
+
+def test_vectors_of_repeated_rows(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, r.standard_normal(8).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows + rows, "vec_id bigint, embedding array<double>")
+    want = {q: [(a, b) for a, b, _ in v] for q, v in brute_nearest(rows).items()}
+    got = defaultdict(list)
+    for x in nearest(df, df.where("vec_id % 100 = 0"), part=64).collect():
+        got[x.query_id].append((x.rank, x.vec_id))
+    assert {q: sorted(v) for q, v in got.items()} == want
+    # Vectors of one id at equal distances are two candidates, each once.
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [4.0, 0.0])], "vec_id bigint, embedding array<double>")
+    assert sorted((x.rank, x.vec_id, x.score) for x in nearest(few, few.where("vec_id = 0")).collect()) == [(1, 1, 1.0), (2, 1, 1.0), (3, 2, 3.0)]
