@@ -15,7 +15,7 @@ from llm import warc
 from llm.packing import Bins
 from llm.piece_codec import codec, encode_texts
 from llm.queries import packed, vocabulary
-from llm.vector_search import nearest
+from llm.vector_search import drawn_at, nearest
 
 
 def check_pieces(rows, docs):
@@ -198,3 +198,19 @@ def test_vectors_of_repeated_rows(spark):
     # Vectors of one id at equal distances are two candidates, each once.
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [4.0, 0.0])], "vec_id bigint, embedding array<double>")
     assert sorted((x.rank, x.vec_id, x.score) for x in nearest(few, few.where("vec_id = 0")).collect()) == [(1, 1, 1.0), (2, 1, 1.0), (3, 2, 3.0)]
+
+
+def test_vectors_recall_of_the_lists(spark):
+    """Only the lists and the early end of the distances can find neighbours outside the sample."""
+    r = np.random.default_rng(6)
+    x = r.standard_normal((40, 64))[np.arange(4000) % 40] + r.standard_normal((4000, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    drawn = {row.vec_id for row in df.where(drawn_at("vec_id", 4000, 400)).collect()}
+    assert 300 < len(drawn) < 500
+    found = {(row.query_id, row.vec_id) for row in nearest(df, df.where("vec_id % 100 = 0"), sample=400).collect()}
+    outside = []
+    for q in range(0, 4000, 100):
+        squares = ((x - x[q]) ** 2).sum(1)
+        squares[q] = np.inf
+        outside += [(q, int(j)) for j in np.argsort(squares)[:10] if int(j) not in drawn]
+    assert len(outside) > 300 and sum(pair in found for pair in outside) >= 0.94 * len(outside)
