@@ -1,4 +1,8 @@
-"""Documents to training sequences: language, repeated lines, near copies, repeated passages, packing."""
+"""Documents to training sequences: language, repeated lines, near copies, repeated passages, packing.
+
+A text that the line or passage stage leaves empty keeps its row: it is no near copy of any, and packing gives it a closing
+id alone, so every id that passes the language and near-copy stages is in the result.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +17,8 @@ from llm.substring_dedup import dedup_substrings
 
 #: Language models, packing into tokens of a library and joins by estimated rarity have no SQL.
 ORACLE_SQL: str | None = None
+#: What ``language_id`` takes for a letter.
+_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 
 
 def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
@@ -20,9 +26,14 @@ def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a recognised language."""
+    """Drops texts without a letter, null ones too; every other text stays, whatever its language and score.
+
+    Where no row has a language to learn from, the same texts go.
+    """
     ship(spark)
     model = language_id.train(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
+    if model is None:
+        return docs.where(F.col("text").rlike(_LETTER))
     lang = language_id.language(model, F.col("text"))
     return _like(docs, docs.withColumn("_lang", lang).where(F.col("_lang.lang_pred") != language_id.UNKNOWN))
 

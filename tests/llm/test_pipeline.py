@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from check import canonical
@@ -50,3 +51,18 @@ def test_query_against_sql(spark, name):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and canonical(got) == canonical(want)
+
+
+def test_language_stage_without_languages(spark):
+    rows = [(1, "words here"), (2, None), (3, ""), (4, "12 34 _ !"), (5, "\u6f22\u5b57"), (6, "\u00b2"), (7, "\u2167")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for lang in (None, "en"):
+        out = corpus_pipeline.language_stage(spark, docs.withColumn("lang", F.lit(lang).cast("string")), SF)
+        assert sorted(r.doc_id for r in out.collect()) == [1, 5, 6, 7]
+
+
+def test_emptied_texts_are_packed_as_closing_ids(spark):
+    docs = spark.createDataFrame([(k, "first line\nsecond line") for k in (1, 2)], "doc_id bigint, text string")
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        docs = stage(spark, docs, SF)
+    assert {r.doc_id: r.length for r in docs.collect()}[2] == 1
