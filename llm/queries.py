@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import language_id, quality_model
+from llm import language_id, prefix_trie, quality_model
+from llm.contamination import find_contamination
 from llm.line_dedup import dedup_lines
 from llm.ngram_join import ngram_components
 from llm.oracles import ORACLES  # noqa: F401
@@ -15,6 +16,7 @@ from llm.packing import pack
 from llm.piece_codec import encode_texts
 from llm.quality_rules import FEATURES, judge
 from llm.shared import ship, table
+from llm.spelling import spelling_variants
 from llm.substring_dedup import dedup_substrings
 from llm.vector_search import nearest
 from llm.warc import archived
@@ -118,3 +120,44 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", *FEATURES, "base_failed", "kept")
+
+
+def damaged_words(documents: DataFrame) -> DataFrame:
+    """(word, n) of the runs of 7 letters or more, lower-cased in A-Z; a 31st of the runs, drawn by crc32, lose a code point.
+
+    Runs of rows without an id stay as they are.
+    """
+    runs = documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z\u00C0-\u00FF]{7,})"), F.lit(1))).alias("run"))
+    runs = runs.select("doc_id", F.translate("run", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("run"))
+    runs = runs.withColumn("h", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")).cast("binary")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    word = F.when(F.col("h") % 31 == 0, less).otherwise(F.col("run")).alias("word")
+    return runs.select(word).where(F.length("word") >= 7).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(damaged_words(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(documents, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    items = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, parts = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    shared = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns, parts, 5, shared))
