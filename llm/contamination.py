@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.shared import written
+from llm.shared import free_name, written
 
 #: Words of items in one automaton, about.
 SHARD_WORDS = 1 << 20
@@ -356,7 +356,8 @@ def find_contamination(
             hits = hits.unionAll(more)
         hits = hits.groupBy(row).agg(F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         schema = T.StructType([*numbered.schema.fields, *added.fields[1:], added.fields[0]])
-        found = numbered.join(hits, row, "left").mapInArrow(_merged(numbered.columns.index(text_col), kind), schema).drop(row)
+        both = numbered.join(hits, row, "left").select(*[F.col(f"`{c}`") for c in numbered.columns], "hit_spans", "items")
+        found = both.mapInArrow(_merged(numbered.columns.index(text_col), kind), schema)
         found = found.select(*[F.col(f"`{c}`") for c in documents.columns], "n_words", "hit_spans", "items")
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.withColumn("n_hit", n_hit).withColumn("dropped", F.col("n_hit") > max_coverage * F.col("n_words"))
@@ -376,14 +377,6 @@ def _merged(text_at: int, kind: pa.DataType):
     return run
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """The name, lengthened until no column of the table has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def decontaminate(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
     """As ``find_contamination``, with ``clean_text``, the text without its hit words."""
     found = find_contamination(documents, benchmark, text_col, **how)

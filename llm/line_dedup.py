@@ -1,72 +1,121 @@
-"""Removal of repeated blocks of lines, in DataFrame functions only.
+"""Removal of repeated chunks of lines, in DataFrame functions only.
 
-A block is two neighbouring lines or more. Every pair of neighbouring lines is looked up over all documents by the hashes of
-its two lines, so a repeated block is found whole, wherever it starts and however short it is. A pair goes if a document with
-a smaller id has it, or its own document has it before without overlap; a line goes if a pair that it belongs to goes. Lines
-are compared by their bytes before any goes: pairs with a hash that unlike lines share stay.
+Texts are cut into chunks of lines where their content says so. A rolling hash over the hashes of the last two lines proposes a
+boundary where one of its bits is set, at every other line on average; a chunk has two lines at least, so of proposals in a
+row every other one counts. Whatever stands elsewhere in a text, a block is cut alike from the second line behind its first
+cut on. ``CUTTINGS`` bits of the rolling hash give as many cuttings, each with boundaries of its own, as one cutting alone
+misses most blocks of a few lines. Every chunk of every cutting is looked up over all documents by its hash. A chunk
+goes if a document with a smaller id has it, or its own document has it before without overlap, and a line goes with a chunk
+that it belongs to. The bytes of all chunks of one hash are compared before any goes: chunks with a hash that unlike ones share
+stay.
 
 Defined results: null texts stay null; rows without an id keep their text and remove nothing; rows of one id don't remove
-each other's pairs; single lines aren't blocks, so texts of one line stay; pairs are looked up in the texts as they came, of
-every line that goes an earlier one stays, perhaps beside other lines; a text that loses all its lines is empty; lines end at
-\\n only and are compared as they are, an empty line being a line; other columns stay as they are, but for ``n_lines`` and
-``n_removed_lines``.
+each other's chunks; texts of one line stay; chunks are looked up in the texts as they came; a text that loses all its lines is
+empty; lines end at \\n only and are compared as they are, an empty line being a line; other columns stay as they are,
+whatever their names, but for ``n_lines`` and ``n_removed_lines``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.shared import with_first, written
+from llm.shared import PIECES, written
 
-_KEY = ["_id", "_text"]
+CUTTINGS = 4
+#: A chunk's place in one number: its first line and its number of lines.
+_PLACE = 1 << 31
+_KEY = ["id", "body"]
 
 
 def _hash(line: Column) -> Column:
-    return F.xxhash64(line)
+    """60 bits of a line."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
 
 
-def pairs(lines: DataFrame) -> DataFrame:
-    """A row (key, at, a, b) for each two neighbours of the array ``_lines``: place and hashes of the two lines."""
-    rows = lines.where(F.size("_lines") > 1).select(*_KEY, F.transform("_lines", _hash).alias("_hashes"))
-    both = F.arrays_zip(F.slice("_hashes", F.lit(1), F.size("_hashes") - 1).alias("a"), F.slice("_hashes", F.lit(2), F.size("_hashes") - 1).alias("b"))
-    return rows.select(*_KEY, F.posexplode(both).alias("at", "p")).select(*_KEY, "at", "p.a", "p.b")
+def _starts(rolled: Column, lines: Column, bit: int) -> Column:
+    """First lines of one cutting's chunks; ``rolled`` holds the rolling hash of lines i and i + 1 at i."""
+    refused = F.filter(F.sequence(F.lit(2), lines - 2), lambda i: F.shiftright(F.get(rolled, i - 2), bit).bitwiseAND(F.lit(1)) == 0)
+    refused = F.concat(F.array(F.lit(1)), refused, F.array(lines - 1))
+    none = F.array().cast("array<int>")
+
+    def between(at: Column, i: Column) -> Column:
+        to = F.get(refused, i + 1)
+        return F.when(to > at + 1, F.sequence(at + 1, to - 1, F.lit(2))).otherwise(none)
+
+    inner = F.flatten(F.transform(F.slice(refused, F.lit(1), F.size(refused) - 1), between))
+    return F.when(lines < 4, F.array(F.lit(0))).otherwise(F.concat(F.array(F.lit(0)), inner))
+
+
+def chunks(texts: DataFrame) -> DataFrame:
+    """A row (key, start, n, hash) for each chunk of the column ``text``, once for each place whatever cuttings have it."""
+    rows = texts.select(*_KEY, F.transform(F.split("text", "\n", -1), _hash).alias("hashes")).withColumn("lines", F.size("hashes"))
+    neighbours = F.sequence(F.lit(1), F.col("lines") - 1)
+    roll = F.transform(neighbours, lambda i: F.get("hashes", i).bitwiseXOR(F.shiftright(F.get("hashes", i - 1), 1)))
+    rows = rows.where("lines > 1").withColumn("rolled", roll)
+    rows = rows.select(*_KEY, "hashes", "lines", *[_starts(F.col("rolled"), F.col("lines"), k).alias(f"c{k}") for k in range(CUTTINGS)])
+
+    def places(starts: Column) -> Column:
+        def place(start: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(starts, i + 1), F.col("lines"))
+            return start.cast("long") * _PLACE + (end - start)
+
+        return F.transform(starts, place)
+
+    every = F.array_distinct(F.concat(*[places(F.col(f"c{k}")) for k in range(CUTTINGS)]))
+    rows = rows.select(*_KEY, "hashes", F.explode(every).alias("place"))
+    rows = rows.select(*_KEY, "hashes", F.expr(f"cast(place div {_PLACE} as int)").alias("start"), (F.col("place") % _PLACE).cast("int").alias("n"))
+    return rows.select(*_KEY, "start", "n", F.xxhash64(F.slice("hashes", F.col("start") + 1, F.col("n"))).alias("hash"))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The chunks that occur more than once, with ``goes`` unless they are the first.
+
+    A hash's rows meet in pieces by id, and the smallest id goes back to the pieces that exist, so no task has all of a
+    frequent chunk.
+    """
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("id"), F.lit(PIECES)).cast("int"))
+    pieces = rows.groupBy("hash", "piece").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("times"))
+    first = pieces.groupBy("hash").agg(F.min("low").alias("first"), F.sum("times").alias("times"), F.collect_list("piece").alias("pieces"))
+    first = first.where("times > 1").select("hash", "first", F.explode("pieces").alias("piece"))
+    own = Window.partitionBy("hash", "piece", *_KEY).orderBy("start")
+    found = rows.join(first, ["hash", "piece"]).withColumn("before", F.min("start").over(own))
+    goes = (F.col("first") < F.col("id")) | (F.col("start") >= F.col("before") + F.col("n"))
+    return found.select(*_KEY, F.struct("start", "n", "hash", goes.alias("goes")).alias("chunk"))
 
 
 def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without repeated blocks of lines, with ``n_lines`` and ``n_removed_lines``."""
+    """The documents without repeated chunks of lines, with ``n_lines`` and ``n_removed_lines``."""
     documents = documents.drop("n_lines", "n_removed_lines")
-    names = [F.col(f"`{c}`") for c in documents.columns]
-    keyed = documents.select(*names, F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text"))
-    split = F.split(F.col(text_col), "\n", -1)
-
-    rows = pairs(keyed.where(F.col("_id").isNotNull() & F.contains(text_col, F.lit("\n"))).select(*_KEY, split.alias("_lines")))
-    rows = rows.groupBy(*_KEY, "a", "b").agg(F.sort_array(F.collect_set("at")).alias("places"))
-    rows = with_first(rows, ["a", "b"], "_id").where(F.col("first").isNotNull() | (F.size("places") > 1))
-    rows = written(rows.select(*_KEY, "a", "b", F.coalesce("first", "_id").alias("first"), "places"), "pairs")
-
-    hits = rows.groupBy(*_KEY).agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("_places"))
-    found = written(keyed.join(hits, _KEY, "left"), "documents")
-    touched = found.where(F.col("_places").isNotNull()).withColumn("_lines", split).withColumn("_n", F.size("_lines"))
-
-    # Lines of repeated pairs whose hash other lines have too: about none, as 64 bits tell apart all but few of 10**9 lines.
-    at = F.array_distinct(F.concat("_places", F.transform("_places", lambda i: i + 1)))
-    bodies = touched.select(F.explode(F.transform(at, lambda i: F.get("_lines", i))).alias("body")).select(_hash(F.col("body")).alias("hash"), "body")
-    unlike = bodies.groupBy("hash").agg(F.min("body").alias("low"), F.max("body").alias("high")).where("low < high").select("hash")
-
-    own = F.filter("places", lambda p: p >= F.get("places", F.lit(0)) + 2)
-    gone = rows.withColumn("places", F.when(F.col("first") == F.col("_id"), own).otherwise(F.col("places"))).where(F.size("places") > 0)
-    for side in ("a", "b"):
-        gone = gone.join(F.broadcast(unlike.withColumnRenamed("hash", side)), side, "left_anti")
-    gone = gone.groupBy(*_KEY).agg(F.flatten(F.collect_list("places")).alias("_gone"))
-    gone = gone.select(*_KEY, F.array_distinct(F.concat("_gone", F.transform("_gone", lambda i: i + 1))).alias("_gone"))
-
-    left = touched.join(gone, _KEY, "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.col("_n") - 1), F.col("_gone"))
-    text = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
-    rest = [F.col(f"`{c}`") if c != text_col else F.coalesce(text, F.col(text_col)).alias(c) for c in documents.columns]
-    lost = F.coalesce(F.size("_gone"), F.lit(0))
-    left = left.select(*rest, F.col("_n").cast("long").alias("n_lines"), F.greatest(lost, F.lit(0)).cast("long").alias("n_removed_lines"))
-    n = F.coalesce(F.size(split), F.lit(0))
-    same = found.where(F.col("_places").isNull()).select(*names, F.greatest(n, F.lit(0)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed_lines"))
-    return same.unionAll(left)
+    keyed = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.xxhash64(F.col(f"`{text_col}`")).alias("body"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
+    rows = chunks(keyed.where(F.col("id").isNotNull() & F.contains("text", F.lit("\n"))))
+    hits = _repeated(rows).groupBy(*_KEY).agg(F.collect_list("chunk").alias("chunks"))
+    found = written(keyed.drop("text").join(hits, _KEY, "left"), "documents")
+    text = F.col("row").getField(text_col)
+    split = F.split(text, "\n", -1)
+
+    # Chunks of one hash with unlike bytes: about none, as 64 bits tell apart all but few of 10**9 chunks.
+    touched = found.where("chunks IS NOT NULL").select("chunks", split.alias("lines"))
+    bodies = touched.select("lines", F.explode("chunks").alias("c"))
+    bodies = bodies.select("c.hash", F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.n")), "\n").alias("bytes"))
+    unlike = bodies.groupBy("hash").agg(F.min("bytes").alias("low"), F.max("bytes").alias("high")).where("low < high").select("hash")
+    unlike = written(unlike, "unlike")
+    if not unlike.isEmpty():
+        left = found.where("chunks IS NOT NULL").select(*_KEY, F.explode("chunks").alias("chunk")).dropDuplicates()
+        left = left.join(unlike, F.col("chunk.hash") == F.col("hash"), "left_anti").groupBy(*_KEY).agg(F.collect_list("chunk").alias("chunks"))
+        found = found.drop("chunks").join(left, _KEY, "left")
+
+    going = F.transform(F.filter("chunks", lambda c: c["goes"]), lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1))
+    gone = F.when(F.col("chunks").isNotNull(), F.array_distinct(F.flatten(going)))
+    found = found.select("row", gone.alias("gone"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone"))
+    left = F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
+    changed = F.when(F.size("gone") > 0, left).otherwise(text)
+    columns = [changed.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in documents.columns]
+    lost, total = F.when(F.col("gone").isNotNull(), F.size("gone")).otherwise(0), F.when(text.isNotNull(), F.size(split)).otherwise(0)
+    return found.select(*columns, total.cast("long").alias("n_lines"), lost.cast("long").alias("n_removed_lines"))

@@ -10,8 +10,9 @@
    the gram with all that is left of it, and of the gram with all that is right of it.
 4. Words that meet in a list, of equal length or one longer than the other, are verified by their edit distance.
 
-Classes are the shorter length m of a pair. A class below ``HALVES`` has too few grams for the bound; there the lists are
-those of the words' first and last m // 2 code points, one of which one edit leaves alone.
+Classes are the shorter length m of a pair. A class below ``HALVES`` has too few grams for the bound, and words of a class
+above ``LONG`` would be in very many lists; there the lists are those of the words' first and last m // 2 code points, one of
+which one edit leaves alone.
 
 Defined results: null words and words without a count take no part; rows of one word add up; the empty word and other words
 below ``min_length`` are left out; a word without a near one has n_near 0, no form, and is its own root; words are compared
@@ -35,6 +36,8 @@ SHORTEST, LONGEST = 2, 6
 FREQUENT = 1 << 16
 #: Classes below have no bound of use.
 HALVES = 5
+#: Classes above are verified in time that grows with the word, not with its square.
+LONG = 64
 #: Grams that a task counts before it passes them on.
 AT_ONCE = 1 << 18
 #: Rows of an output batch, about.
@@ -95,7 +98,7 @@ def affected(grams: list[tuple[int, int, bool]], size: int) -> int:
 
 def lists_of(word: str, m: int, frequent: dict[str, int]) -> set[tuple[str, str]]:
     """Lists (side, letters) in which the word meets its near words of class m."""
-    if m < HALVES:
+    if not HALVES <= m <= LONG:
         return {("<", word[: m // 2]), (">", word[len(word) - m // 2 :])}
     grams = decompose(word, frequent, longest_gram(m))
     ranked = sorted((frequent.get(word[a:b], 0), word[a:b], a, b) for a, b, _ in grams)
@@ -108,13 +111,14 @@ def _listed(frequent):
     """(word, n) to a row for each list of the word, in its own class and, as the longer word, in the one below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, keys, longer, words, counts = frequent.value, [], [], [], []
+        grams, keys, longer, long, words, counts = frequent.value, [], [], [], [], []
 
         def rows() -> pa.RecordBatch:
-            columns = [pa.array(keys, pa.int64()), pa.array(longer, pa.bool_()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
-            for x in (keys, longer, words, counts):
+            types = (pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.int64())
+            columns = [pa.array(x, t) for x, t in zip((keys, longer, long, words, counts), types, strict=True)]
+            for x in (keys, longer, long, words, counts):
                 x.clear()
-            return pa.record_batch(columns, names=["list", "longer", "word", "n"])
+            return pa.record_batch(columns, names=["list", "longer", "long", "word", "n"])
 
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -122,6 +126,7 @@ def _listed(frequent):
                     for side, letters in lists_of(word, m, grams) if m else ():
                         keys.append(xxhash.xxh64_intdigest(f"{m}{side}{letters}") - (1 << 63))
                         longer.append(m < len(word))
+                        long.append(m > LONG)
                         words.append(word)
                         counts.append(n)
                 if len(keys) >= ROWS:
@@ -132,17 +137,35 @@ def _listed(frequent):
     return run
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether b, as long as a or one longer, is a with one edit."""
+    low, high = 0, len(a)  # of the common beginning
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return a[low + 1 :] == b[low + 1 :] and a != b if len(a) == len(b) else a[low:] == b[low + 1 :]
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([one_edit(a, b) for a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)], pa.bool_()))
+
+
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n), once for each pair of a written table of distinct words, the shorter or smaller word first."""
     spark = words.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_grams(words))
-    rows = words.select("word", "n").mapInArrow(_listed(frequent), "list bigint, longer boolean, word string, n bigint")
+    rows = words.select("word", "n").mapInArrow(_listed(frequent), "list bigint, longer boolean, long boolean, word string, n bigint")
     rows = written(rows, "lists")
-    one, other = rows.where("NOT longer").alias("a"), rows.alias("b")
-    ordered = F.col("b.longer") | (F.col("a.word") < F.col("b.word"))
-    met = one.join(other, (F.col("a.list") == F.col("b.list")) & ordered)
-    near = met.where(F.levenshtein("a.word", "b.word", 1) == 1)
-    return near.select("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n")).dropDuplicates(["word", "near"])
+
+    def met(part: DataFrame) -> DataFrame:
+        ordered = F.col("b.longer") | (F.col("a.word") < F.col("b.word"))
+        pairs = part.where("NOT longer").alias("a").join(part.alias("b"), (F.col("a.list") == F.col("b.list")) & ordered)
+        return pairs.select("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n"))
+
+    near = met(rows.where("NOT long")).where(F.levenshtein("word", "near", 1) == 1)
+    long = met(rows.where("long")).mapInArrow(_verified, "word string, n bigint, near string, near_n bigint")
+    return near.unionAll(long).dropDuplicates(["word", "near"])
 
 
 def _roots(forms: DataFrame, most: int, times: int) -> DataFrame:

@@ -7,15 +7,18 @@ with a smaller id; windows are judged on the input.
    counts, in a count-min sketch, the documents of each anchor, and the merged sketch never gives less than the number of
    documents that hold a window.
 2. Windows whose anchor is estimated in two documents or more are grouped exactly, by 96 bits of their words. First come
-   whole runs of such windows: of equal runs, all but those of the smallest id go without a look at their windows. Then
-   come the windows of the remaining runs, which are as many as there are different runs around them.
+   runs of such windows, cut where an anchor of a certain kind begins, so that texts with a passage in common have equal runs
+   inside it. Of equal runs (a cryptographic digest of all their words), all but those of the smallest id go without a look
+   at their windows. Then come the windows of the remaining runs: each passage's once, and those at the ends of passages.
 
 Defined results: null text has no words; a null id takes no part, its text stays; rows that share an id don't remove each
-other's words; texts shorter than a window stay; other columns stay as they are, but for ``n_words`` and ``n_removed``.
+other's words; texts shorter than a window stay; ids are of any type that has an order; other columns stay as they are,
+whatever their names, but for ``_kept``, ``n_words`` and ``n_removed``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.shared import CELLS, Sketch, cell_batches, sketch_for, with_first, written
-from llm.words import BASES, Block, blocks, spans_hash
+from llm.shared import CELLS, Sketch, cell_batches, free_name, sketch_for, with_first, written
+from llm.words import BASES, Block, blocks, mixed, spans_hash
 
 ANCHOR = 36
+#: One of 2**CUT_BITS anchors cuts a run where it begins.
+CUT_BITS = 3
 #: Rows of the sketch, and counters of a row at most: tasks receive 4 * 2**26 / 4 bytes.
 DEPTH, SKETCH_BITS = 4, 26
 #: Rows of an output batch, at most.
@@ -79,17 +84,24 @@ def _two_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple
 
 
 def _runs(sketch: Sketch, window: int, column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]] | None:
-    """Runs of windows that may be repeated: their number in each text, and the fields of all."""
+    """Runs of windows that may be repeated, cut by content: their number in each text, and the fields of all."""
+
+    def digests(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values = np.ascontiguousarray(hashes).view(np.uint8)
+        found = [hashlib.blake2b(values[8 * a : 8 * b], digest_size=12).digest() for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        fields = np.frombuffer(b"".join(found), dtype=[("h1", "<i8"), ("h2", "<i4")])
+        return fields["h1"].copy(), fields["h2"].copy()
 
     def of_block(block: Block) -> tuple[np.ndarray, ...]:
         hashes = block.hashes()
         text, at, anchor = _anchors(block, hashes, window)
         hit = sketch.level(anchor) > 0
-        text, at = text[hit], at[hit]
-        start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1])][: len(at)])
+        text, at, anchor = text[hit], at[hit], anchor[hit]
+        cut = (anchor[1:] != anchor[:-1]) & (mixed(anchor[1:]) >> np.uint64(64 - CUT_BITS) == 0)
+        start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1]) | cut][: len(at)])
         n = np.diff(np.r_[start, len(at)])
         text, at = text[start], at[start]
-        h1, h2 = _two_hashes(hashes, at, at + n + window - 1)
+        h1, h2 = digests(hashes, at, at + n + window - 1)
         return np.bincount(text, minlength=block.n), h1, h2, (at - block.first[text]).astype(np.int32), n.astype(np.int32)
 
     parts = [of_block(b) for b in blocks(column)]
@@ -99,7 +111,7 @@ def _runs(sketch: Sketch, window: int, column: pa.Array) -> tuple[np.ndarray, li
     return per_text, fields
 
 
-def _found(sketch: Sketch, window: int, id_at: int, text_at: int, repeated: bool):
+def _found(sketch: Sketch, window: int, id_at: int, text_at: int, repeated: bool, runs: str = "_runs"):
     """Rows that may hold repeated windows, with their runs; or else all other rows, as they come out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +127,7 @@ def _found(sketch: Sketch, window: int, id_at: int, text_at: int, repeated: bool
             offsets = pa.array(np.r_[0, np.cumsum(per_text[hit])].astype(np.int32))
             values = pa.StructArray.from_arrays([pa.array(x[keep]) for x in fields], fields=list(_RUN))
             rows = batch.filter(pa.array(hit))
-            yield pa.record_batch([*rows.columns, pa.ListArray.from_arrays(offsets, values)], names=[*batch.schema.names, "_runs"])
+            yield pa.record_batch([*rows.columns, pa.ListArray.from_arrays(offsets, values)], names=[*batch.schema.names, runs])
 
     return run
 
@@ -130,7 +142,7 @@ def _expanded(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            row, ids = batch.column(0).to_numpy(), batch.column(1)
             starts, counts = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             for block in blocks(batch.column(2)):
                 hashes, texts, where = block.hashes(), [], []
@@ -152,7 +164,7 @@ def _expanded(window: int):
                 places = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(at[by_leader].astype(np.int32)))
                 own = d[start] + block.row
                 yield pa.record_batch(
-                    [pa.array(h1[start]), pa.array(h2[start]), pa.array(row[own]), pa.array(ids[own]), places],
+                    [pa.array(h1[start]), pa.array(h2[start]), pa.array(row[own]), ids.take(pa.array(own)), places],
                     names=["h1", "h2", "_row", "_id", "at"],
                 )
 
@@ -188,33 +200,32 @@ def _without(window: int, text_at: int):
 
 def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """The documents with ``_kept`` (kept words joined by one space), ``n_words`` and ``n_removed``."""
-    documents = documents.drop("n_words", "n_removed")
+    documents = documents.drop("n_words", "n_removed", "_kept")
     sketch = sketch_for(documents, text_col, 40, SKETCH_BITS, DEPTH)
     sketch.merged(documents.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(_counted(sketch, window), CELLS))
 
     id_at, text_at = documents.columns.index(id_col), documents.columns.index(text_col)
-    schema = T.StructType([*documents.schema.fields, *T._parse_datatype_string(f"_runs {_RUNS}").fields])
-    found = documents.mapInArrow(_found(sketch, window, id_at, text_at, True), schema)
-    found = written(found.withColumn("_row", F.monotonically_increasing_id()), "found")
+    listed, row, at, n = (free_name(documents, x) for x in ("_runs", "_row", "_at", "_n"))
+    schema = T.StructType([*documents.schema.fields, *T._parse_datatype_string(f"`{listed}` {_RUNS}").fields])
+    found = documents.mapInArrow(_found(sketch, window, id_at, text_at, True, listed), schema)
+    found = written(found.withColumn(row, F.monotonically_increasing_id()), "found")
 
-    runs = found.select("_row", F.col(id_col).alias("_id"), F.inline("_runs"))
-    runs = written(with_first(runs, ["h1", "h2"], "_id"), "runs")
+    slim = found.select(F.col(row).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(listed).alias("_runs"))
+    runs = written(with_first(slim.select("_row", "_id", F.inline("_runs")), ["h1", "h2"], "_id"), "runs")
     later = F.col("_id") > F.col("first")
     own = runs.where(F.coalesce(~later, F.lit(True))).groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
-    texts = found.select("_row", F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    windows = texts.join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
-    windows = windows.mapInArrow(_expanded(window), "h1 bigint, h2 int, _row bigint, _id bigint, at array<int>")
-    windows = written(windows, "windows")
-    first = windows.groupBy("h1", "h2").agg(F.min("_id").alias("first"), F.max("_id").alias("_high")).where("first < _high")
-    windows = windows.join(first, ["h1", "h2"]).where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
+    windows = slim.select("_row", "_id", "_text").join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
+    kind = documents.schema[id_col].dataType.simpleString()
+    windows = windows.mapInArrow(_expanded(window), f"h1 bigint, h2 int, _row bigint, _id {kind}, at array<int>")
+    windows = with_first(written(windows, "windows"), ["h1", "h2"], "_id")
+    windows = windows.where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
     gone = windows.unionAll(runs.where(later).select("_row", "at", "n"))
-    gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s")).select("_row", "s.at", "s.n")
+    gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
 
-    kept = [F.col(f"`{c}`") for c in documents.columns]
-    schema = T.StructType(
-        [*documents.schema.fields, *T._parse_datatype_string("_kept string, n_words bigint, n_removed bigint").fields]
-    )
-    changed = found.join(gone, "_row", "left").select(*kept, F.col("at").alias("_at"), F.col("n").alias("_n"))
+    rest = [found[f"`{c}`"] for c in documents.columns]
+    added = T._parse_datatype_string("_kept string, n_words bigint, n_removed bigint").fields
+    schema = T.StructType([*documents.schema.fields, *added])
+    changed = found.join(gone, found[row] == gone["_row"], "left").select(*rest, gone["s"]["at"].alias(at), gone["s"]["n"].alias(n))
     changed = changed.mapInArrow(_without(window, text_at), schema)
     # All other texts are looked through again, which takes less room than keeping them meanwhile.
     return documents.mapInArrow(_found(sketch, window, id_at, text_at, False), schema).unionAll(changed)

@@ -2,7 +2,8 @@
 
 A word is a run of bytes outside 0x20 and 0x09-0x0D. Words and word sequences are compared by 64-bit polynomial hashes
 (mod 2**64, odd base, random byte values, bits mixed afterwards); where equality decides a result, hashes of two bases are used
-together.
+together. Such hashes tell apart sequences of up to some hundred values; from 1,024 on there are pairs that no base tells apart,
+so longer words are hashed otherwise, and longer sequences must be.
 """
 
 from __future__ import annotations
@@ -11,9 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text that are hashed at a time; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Longer words have a hash of their own.
+LONG_WORD = 256
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -74,7 +78,10 @@ class Block:
 
     def hashes(self) -> np.ndarray:
         """64 bits of each word."""
-        return spans_hash(_BYTE_VALUE[self.data], self.start, self.end, BASES[0])
+        found = spans_hash(_BYTE_VALUE[self.data], self.start, self.end, BASES[0])
+        for k in np.flatnonzero(self.end - self.start > LONG_WORD).tolist():
+            found[k] = xxhash.xxh3_64_intdigest(np.ascontiguousarray(self.data[self.start[k] : self.end[k]]))
+        return found
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Text of the block and first word of every window of so many words."""

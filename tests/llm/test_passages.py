@@ -123,6 +123,51 @@ def test_lines_query_against_brute_force(spark):
     assert got == brute.repeated_lines(rows)
 
 
+def test_share_of_short_blocks_removed(spark):
+    """Chunks find fewer lines than a look-up of all pairs of lines would, the more the longer a block; never others."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    pairs = brute.repeated_pairs(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lost = sum(r.n_removed_lines for r in dedup_lines(df).collect())
+    assert lost >= 0.8 * sum(map(len, pairs.values()))
+    for size, share in ((3, 0.2), (6, 0.5), (10, 0.7)):
+        docs = []
+        for k in range(150):
+            block = lines(f"b{k}", size)
+            docs += [(2 * k + j, "\n".join([*lines(f"x{k}{j}", 2 + k % 3), *block, *lines(f"y{k}{j}", 2 + k % 4)])) for j in (0, 1)]
+        got = dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).agg(F.sum("n_removed_lines")).first()[0]
+        assert got >= share * 150 * size
+
+
+def test_columns_of_any_name_and_ids_of_text(spark):
+    shared = " ".join(f"w{k}" for k in range(60))
+    rows = [("a", shared + "\nlast line"), ("b", shared + "\nlast line"), (None, shared)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    names = ["id", "body", "row", "chunks", "hash", "gone", "start", "_id", "_text", "_row", "_runs", "_at", "_n", "first", "piece", "s"]
+    df = df.select("*", *[F.lit(n).alias(n) for n in names])
+    for got in (dedup_lines(df), dedup_substrings(df.withColumn("_kept", F.lit(1)))):
+        assert set(df.columns) < set(got.columns) and len(set(got.columns)) == len(got.columns)
+        assert all(r[n] == n for r in got.collect() for n in names)
+    assert {r.doc_id: r.text for r in dedup_lines(df).collect()} == {"a": rows[0][1], "b": "", None: shared}
+    assert {r.doc_id: r.n_removed for r in dedup_substrings(df).collect()} == {"a": 0, "b": 62, None: 0}
+
+
+def thue_morse(n: int, a: str, b: str) -> list[str]:
+    return [b if bin(k).count("1") % 2 else a for k in range(n)]
+
+
+def test_sequences_that_polynomials_modulo_a_power_of_two_confuse(spark):
+    """Two texts and their copies, alike in every polynomial hash modulo 2**64, without a window in common."""
+    one = [f"u{k} {x}" for k, x in enumerate(thue_morse(4096, "alpha", "beta"))]
+    other = [f"u{k} {x}" for k, x in enumerate(thue_morse(4096, "beta", "alpha"))]
+    rows = [(1, " ".join(one)), (2, " ".join(one)), (3, " ".join(other)), (4, " ".join(other))]
+    rows += [(5, " ".join(thue_morse(4096, "alpha", "beta"))), (6, " ".join(thue_morse(4096, "beta", "alpha")))]
+    long = ["".join(thue_morse(4096, "a", "b")), "".join(thue_morse(4096, "b", "a"))]  # unlike words of equal polynomials
+    rows += [(7 + k, " ".join([long[k // 2], *(f"v{j}" for j in range(49))])) for k in range(4)]
+    got = dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r._kept) for r in got) == brute.substrings(rows)
+
+
 def test_lines_of_one_hash_are_compared(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "_hash", lambda line: F.length(line).cast("long"))
     rows = [(1, "aa\nbbb"), (2, "aa\nccc"), (3, "dddd\neeeee"), (4, "dddd\neeeee")]

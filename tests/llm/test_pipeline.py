@@ -37,7 +37,7 @@ def test_stages(spark):
 
 def test_queries_over_whole_tables(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").count()
-    for name in ("op1_substring_dedup", "op4_quality_model", "op5_piece_codec", "op6_ngram_join", "op8_line_dedup", "op9_language_id", "op10_quality_rules"):
+    for name in ("op1_substring_dedup", "op4_quality_model", "op5_piece_codec", "op6_ngram_join", "op8_line_dedup", "op9_language_id", "op10_quality_rules", "op12_decontamination"):
         assert QUERIES[name](spark, SF).count() == docs, name
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op1_substring_dedup"](spark, SF).collect()}
@@ -47,7 +47,7 @@ def test_queries_over_whole_tables(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, want = QUERIES[name](spark, SF).toPandas(), con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns) and canonical(got) == canonical(want)
