@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annospark.operators import keys
+from annospark.operators import keys, ranks
+from annospark.sources.tables import materialised
 
 TEXT_MIN_LENGTH = 20
 TIME_MIN_RATE = 0.5
@@ -74,13 +75,17 @@ def describe_numeric(
     quantiles: Sequence[float] = (0.25, 0.5, 0.75),
     approx: bool = False,
 ) -> DataFrame:
-    """Count, mean, deviation, extremes and quantiles per column, in one pass.
+    """Count, mean, deviation, extremes and quantiles per column.
 
-    The exact quantile keeps one counter per distinct value, which suits
-    lengths and counts; use ``approx`` for columns of unbounded variety.
+    Exact quantiles count the values in one more pass; ``approx`` needs none.
     """
-    pick = F.percentile_approx if approx else F.percentile
     marks = F.array(*[F.lit(float(q)) for q in quantiles])
+    exact: Column | None = None
+    if not approx:
+        df = materialised(df.select(*[_c(c) for c in columns]), "numbers")
+        found = ranks.exact_quantiles(df, {str(i): _c(c) for i, c in enumerate(columns)}, quantiles)
+        exact = found.agg(F.map_from_entries(F.collect_list(F.struct("measure", "q")))).scalar()
+
     aggregates = [
         a
         for i, c in enumerate(columns)
@@ -89,12 +94,15 @@ def describe_numeric(
             F.avg(_c(c)).alias(f"mean{i}"),
             F.stddev_samp(_c(c)).alias(f"std{i}"),
             F.min(_c(c)).cast("double").alias(f"min{i}"),
-            pick(_c(c), marks).alias(f"q{i}"),
+            *([F.percentile_approx(_c(c), marks).alias(f"q{i}")] if approx else []),
             F.max(_c(c)).cast("double").alias(f"max{i}"),
         )
     ]
+    row = df.agg(*aggregates)
+    if exact is not None:
+        row = row.withColumn("_q", exact).withColumns({f"q{i}": F.try_element_at("_q", F.lit(str(i))) for i in range(len(columns))})
     return keys.unpivot_row(
-        df.agg(*aggregates),
+        row,
         [
             F.struct(
                 F.lit(c).alias("column"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from annospark.functions import lexicons as lex
 from annospark.functions import patterns as p
 from annospark.functions.cleaning import duplicate_key, literal_map
-from annospark.operators import keys
+from annospark.operators import keys, ranks
 
 
 def text_validity(df: DataFrame, text: str = "text") -> DataFrame:
@@ -188,9 +188,12 @@ def length_extremes(df: DataFrame, words: Column, short: int = 3, long: int = 20
 
 def iqr_outliers(df: DataFrame, value: str, approx: bool = False) -> DataFrame:
     """Rows whose value lies above Q3 + 1.5 * IQR, with that bound."""
-    pick = F.percentile_approx if approx else F.percentile
-    q = pick(F.col(value), F.array(F.lit(0.25), F.lit(0.75)))
-    bound = df.agg(q.alias("q")).select((F.get("q", 1) + 1.5 * (F.get("q", 1) - F.get("q", 0))).alias("b"))
+    shares = (0.25, 0.75)
+    if approx:
+        found = df.agg(F.percentile_approx(F.col(value), F.array(*map(F.lit, shares))).alias("q"))
+    else:
+        found = ranks.exact_quantiles(df, {"v": F.col(value)}, shares)
+    bound = found.select((F.get("q", 1) + 1.5 * (F.get("q", 1) - F.get("q", 0))).alias("b"))
     return df.withColumn("upper_bound", bound.scalar()).filter(F.col(value) > F.col("upper_bound"))
 
 

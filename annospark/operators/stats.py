@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.functions import patterns as p
-from annospark.operators import keys
+from annospark.operators import keys, ranks
+from annospark.sources.tables import materialised
 
 CLASS_ELEMENTS = ("url", "mention", "hashtag", "emoji", "allcaps", "repeated_punctuation")
 WORD_BINS = ((10, "<=10"), (50, "11-50"), (100, "51-100"), (None, ">100"))
@@ -82,9 +83,12 @@ def box_stats(df: DataFrame, value: str, approx: bool = False) -> DataFrame:
 
     The whiskers need the quartiles first, then one filtered pass.
     """
-    pick = F.percentile_approx if approx else F.percentile
-    x = F.col(value).cast("double")
-    q = df.agg(pick(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    x, shares = F.col(value).cast("double"), (0.25, 0.5, 0.75)
+    if approx:
+        q = df.agg(F.percentile_approx(x, F.array(*map(F.lit, shares))).alias("q"))
+    else:
+        df = materialised(df.select(x.alias(value)), "numbers")
+        q = ranks.exact_quantiles(df, {"x": F.col(value)}, shares).select("q")
     q1, q2, q3 = (F.get(F.col("q"), i) for i in range(3))
     low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     rows = df.select(x.alias("x")).withColumn("q", q.scalar())
@@ -184,14 +188,16 @@ def imbalance(df: DataFrame, label: str) -> DataFrame:
 
 def length_by_label(df: DataFrame, label: str, lengths: Sequence[str] = ("chars", "words")) -> DataFrame:
     """Count, mean and median of each length per label; null labels are left out."""
-    return (
-        df.filter(F.col(label).isNotNull())
-        .groupBy(label)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[a for c in lengths for a in (F.avg(c).alias(f"mean_{c}"), F.percentile(F.col(c), 0.5).alias(f"median_{c}"))],
-        )
-    )
+    rows = materialised(df.filter(F.col(label).isNotNull()).select(label, *lengths), "lengths")
+    means = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"mean_{c}") for c in lengths])
+    return _with_medians(rows, means, label, lengths).select(label, "n", *[f"{m}_{c}" for c in lengths for m in ("mean", "median")])
+
+
+def _with_medians(rows: DataFrame, groups: DataFrame, label: str, values: Sequence[str]) -> DataFrame:
+    """Groups with ``median_<value>`` of each value."""
+    found = ranks.exact_quantiles(rows, {c: F.col(c) for c in values}, (0.5,), [label])
+    medians = [F.max(F.when(F.col("measure") == c, F.get("q", 0))).alias(f"median_{c.lstrip('_')}") for c in values]
+    return groups.join(found.groupBy(label).agg(*medians), label, "left")
 
 
 def mean_length_by_class(df: DataFrame, label: str, words: str = "words") -> DataFrame:
@@ -203,7 +209,7 @@ def mean_length_by_class(df: DataFrame, label: str, words: str = "words") -> Dat
 
 
 def class_summary(df: DataFrame, label: str, text: str = "text") -> DataFrame:
-    """Documents, lengths and element shares per class in a single grouped pass."""
+    """Documents, lengths and element shares per class; the texts are read once, while the plan is built."""
     body = p.filled(F.col(text))
     flags = p.element_flags(body)
     rows = df.filter(F.col(label).isNotNull()).select(
@@ -212,14 +218,16 @@ def class_summary(df: DataFrame, label: str, text: str = "text") -> DataFrame:
         p.word_count(body).alias("_words"),
         *[flags[e].cast("int").alias(e) for e in CLASS_ELEMENTS],
     )
-    return rows.groupBy(label).agg(
+    rows = materialised(rows, "classes")
+    shares = [f"{e}_pct" for e in CLASS_ELEMENTS]
+    found = rows.groupBy(label).agg(
         F.count(F.lit(1)).alias("documents"),
         F.avg("_chars").alias("mean_chars"),
-        F.percentile(F.col("_chars"), 0.5).alias("median_chars"),
         F.avg("_words").alias("mean_words"),
-        F.percentile(F.col("_words"), 0.5).alias("median_words"),
-        *[(F.avg(e) * 100).alias(f"{e}_pct") for e in CLASS_ELEMENTS],
+        *[(F.avg(e) * 100).alias(s) for e, s in zip(CLASS_ELEMENTS, shares, strict=True)],
     )
+    found = _with_medians(rows, found, label, ["_chars", "_words"])
+    return found.select(label, "documents", "mean_chars", "median_chars", "mean_words", "median_words", *shares)
 
 
 def label_correlation(df: DataFrame, labels: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Schemas, readers and sinks.
 
-CSV texts hold line breaks, so one CSV file is read by one task. Read a large
-corpus once, write it with :func:`write_table`, and work on the Parquet copy.
+CSV texts hold line breaks; files of any size are read by many tasks all the same (:mod:`annospark.sources.csv_ranges`).
+Read a large corpus once, write it with :func:`write_table`, and work on the Parquet copy.
 """
 
 from __future__ import annotations
@@ -9,11 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annospark.functions import lexicons as lex
+from annospark.sources import csv_ranges
 
 ANNOTATED = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("text_id", "annotators_id", "text", "initial_paragraph", "topic", *lex.LABELS)]
@@ -55,7 +56,6 @@ INTERIM_COLUMNS = (
     "num_annotators",
 )
 
-_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 _CSV_OUT = {
     "header": "true",
     "quote": '"',
@@ -73,36 +73,22 @@ def nulls_from_words(df: DataFrame, words: Sequence[str] = lex.NULL_WORDS) -> Da
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, place: tuple[str, str] | None = None) -> DataFrame:
-    """CSV by header name, quotes doubled, line breaks inside quotes kept.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, row_pos: str | None = None) -> DataFrame:
+    """CSV files with a header line each, values by position, quotes doubled, line breaks inside quotes kept.
 
-    ``place`` names two more columns: the file, and an id that rises within the file.
+    ``row_pos`` names one more column: the row's number from 0, files by path, rows by place in their file.
     """
-    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    found = spark.read.schema(raw).options(**_CSV).csv(path)
-    if place:
-        found = found.select("*", F.col("_metadata.file_path").alias(place[0]), F.monotonically_increasing_id().alias(place[1]))
-    texts = nulls_from_words(found)
-    return texts.select(
-        *(place or ()),
-        *[F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name) for f in schema.fields]
-    )
+    names = [f.name for f in schema.fields]
+    records = csv_ranges.csv_records(spark, path, materialised)
+    found = records.select(*([F.col("row").alias("_row")] if row_pos else []), csv_ranges.parsed(F.col("text"), names).alias("_values"))
+    found = nulls_from_words(found.select(*(["_row"] if row_pos else []), "_values.*"))
+    typed = [F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name) for f in schema.fields]
+    return found.select(*typed, *([F.col("_row").alias(row_pos)] if row_pos else []))
 
 
 def read_annotated(spark: SparkSession, path: str, row_pos: str | None = "row_pos") -> DataFrame:
-    """Annotated texts from CSV, numbered from 0 when ``row_pos`` is given: files by path, rows by place in their file.
-
-    A CSV file is read by one task in its own order, so ids that rise within a task give the place; one small table, a
-    row per file, turns them into positions. Write the result once before using the numbers in more than one job.
-    """
-    if not row_pos:
-        return read_csv(spark, path, ANNOTATED)
-    df = read_csv(spark, path, ANNOTATED, ("_file", "_at"))
-    files = df.groupBy("_file").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("_file", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    place = (F.col("_before") + F.col("_at") - F.col("_first")).cast("long")
-    return df.join(files, "_file").withColumn(row_pos, place).drop("_file", "_at", "_first", "_before")
+    """Annotated texts from CSV, numbered from 0 when ``row_pos`` is given: files by path, rows by place in their file."""
+    return read_csv(spark, path, ANNOTATED, row_pos)
 
 
 def read_texts(spark: SparkSession, path: str, row_id: str, partitions: int | None = None) -> DataFrame:

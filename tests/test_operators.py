@@ -1,16 +1,18 @@
 """Operators on skewed, empty and edge-case tables."""
 
 import math
+import random
 import uuid
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annospark.functions import lexicons as lex
 from annospark.functions import votes as v
 from annospark.operators import annotators as ann
-from annospark.operators import keys, lexical, metrics, profile, quality, sampling, stats
+from annospark.operators import keys, lexical, metrics, profile, quality, ranks, sampling, stats
 from annospark.operators import labels as lab
 from annospark.plans import prepare
 from annospark.sources import tables
@@ -296,6 +298,70 @@ def test_csv_round_trip(spark, tmp_path):
     assert tables.read_annotators_json(spark, str(tmp_path / "j")).first()["age"] == 20
 
 
+def odd_csv(rows, end="\n"):
+    """Rows as CSV bytes, values quoted where they hold a quote, a comma or a line break."""
+
+    def value(x):
+        return "" if x is None else '"' + x.replace('"', '""') + '"' if any(c in x for c in '",\n') else x
+
+    return "".join(",".join(map(value, row)) + end for row in rows).encode()
+
+
+@pytest.mark.parametrize(("size", "end"), [(16, "\n"), (57, "\n"), (57, "\r\n"), (1 << 20, "\n")])
+def test_csv_in_ranges(spark, tmp_path, size, end):
+    """Files cut into ranges of a few bytes: breaks, doubled quotes and empty lines within quotes on their edges."""
+    r = random.Random(size)
+    parts = ["a", "bc", "\n", '"', ",", " ", "é漢", "\n\n", '""', "x" * 30]
+    files = [[("".join(r.choice(parts) for _ in range(r.randrange(9))).strip() or None, f"v{k}") for k in range(n)] for n in (60, 0, 1, 35)]
+    for k, rows in enumerate(files):
+        (tmp_path / f"f{k}.csv").write_bytes(odd_csv([("left", "right"), *rows], end) + (end.encode() if k == 0 else b""))
+    schema = T.StructType([T.StructField("left", T.StringType()), T.StructField("right", T.StringType())])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        found = tables.read_csv(spark, str(tmp_path), schema, "at")
+        if size < 100:
+            assert spark.read.text(str(tmp_path), lineSep="\n").rdd.getNumPartitions() > 10
+        got = sorted((x["at"], x["left"], x["right"]) for x in found.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == [(k, *row) for k, row in enumerate(x for rows in files for x in rows)]
+
+
+@pytest.mark.parametrize("at_once", [1 << 16, 100])
+def test_exact_quantiles(spark, monkeypatch, at_once):
+    """Skewed values of two classes, far more of them than one task may order."""
+    monkeypatch.setattr(ranks, "AT_ONCE", at_once)
+    n = 1_000_000 if at_once > 100 else 30_000
+    x = F.exp(F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e8) * F.when(F.col("id") % 2 == 0, 1).otherwise(-1)
+    df = spark.range(n).select((F.col("id") % 3 == 0).cast("int").alias("g"), x.alias("x"), F.when(F.col("id") < 5, 1.5).alias("few"))
+    shares = (0.0, 0.1, 0.25, 0.5, 0.95, 1.0)
+    got = {(r["g"], r["measure"]): r["q"] for r in ranks.exact_quantiles(df, {"x": F.col("x"), "few": F.col("few")}, shares, ["g"]).collect()}
+    want = df.groupBy("g").agg(*[F.percentile(c, F.array(*map(F.lit, shares))).alias(c) for c in ("x", "few")])
+    for r in want.collect():
+        assert got[r["g"], "x"] == pytest.approx(r["x"], rel=1e-12) and got[r["g"], "few"] == r["few"]
+
+
+def test_quantile_plans_have_no_percentile(spark):
+    df = spark.createDataFrame([(0, 1.5, 2), (1, 2.5, 7), (None, 1.0, 1), (0, None, 3)], "label int, chars double, words int")
+    plans = [profile.describe_numeric(df, ["chars"]), stats.length_by_label(df, "label"), stats.box_stats(df, "chars"), quality.iqr_outliers(df, "words")]
+    for found in plans:
+        assert "percentile" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+        found.collect()
+    assert stats.box_stats(df.limit(0), "chars").first()["q1"] is None
+
+
+def test_first_rows(spark):
+    df = spark.range(5000).select((F.col("id") % 50).alias("n"), F.col("id").cast("string").alias("term"))
+    order = [F.col("n").desc(), F.col("term")]
+    for k in (0, 1, 777, 6000):
+        got = ranks.first_rows(df, order, k)
+        assert "TakeOrdered" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(got.collect()) == sorted(df.orderBy(*order).limit(k).collect())
+
+
 def test_metric_and_split_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "train"), (2, "test")], "id int, split string")
     tables.write_split(df, str(tmp_path / "s"))
