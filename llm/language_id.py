@@ -13,6 +13,7 @@ learned from; with one language in the training rows, it is predicted for every
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ UNKNOWN = "und"
 DIMENSIONS = 4096
 PER_LANGUAGE = 800
 RESULT = "lang_pred string, score double"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and numerals that are no decimal digits.
+_LETTER_OR_NUMERAL = re.compile(r"[^\W\d_]")
 
 # Language codes of the larger families.
 FAMILIES = {
@@ -50,6 +52,11 @@ def family(language: str) -> str:
     return next((name for name, codes in FAMILIES.items() if language in codes.split()), language)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a code point of the text is a letter by its Unicode category."""
+    return any(unicodedata.category(m[0])[0] == "L" for m in _LETTER_OR_NUMERAL.finditer(text))
+
+
 def features(texts: list[str]) -> np.ndarray:
     """Square roots of n-gram shares, one row per text."""
     out = np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
@@ -164,7 +171,7 @@ def language(model: Discriminator | None, text: Column) -> Column:
     def predicted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in texts:
             names, scores = [UNKNOWN] * len(series), np.zeros(len(series))
-            real = [i for i, t in enumerate(series) if t is not None and _LETTER.search(t)] if model is not None else []
+            real = [i for i, t in enumerate(series) if t is not None and has_letter(t)] if model is not None else []
             for at in range(0, len(real), 256):
                 own = real[at : at + 256]
                 lang, score = model.predict(features([series.iat[i] for i in own]))
