@@ -10,6 +10,7 @@ with a smaller id; windows are judged on the input.
    runs of such windows, cut where an anchor of a certain kind begins, so that texts with a passage in common have equal runs
    inside it. Of equal runs (a cryptographic digest of all their words), all but those of the smallest id go without a look
    at their windows. Then come the windows of the remaining runs: each passage's once, and those at the ends of passages.
+   Many of these share an anchor only, so a sketch of the windows themselves leaves out those that one text has.
 
 Defined results: null text has no words; a null id takes no part, its text stays; rows that share an id don't remove each
 other's words; texts shorter than a window stay; ids are of any type that has an order; other columns stay as they are,
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.shared import CELLS, Sketch, cell_batches, free_name, sketch_for, with_first, written
+from llm.shared import CELLS, SEGMENT_BITS, Sketch, cell_batches, free_name, sketch_for, with_first, written
 from llm.words import BASES, Block, blocks, mixed, spans_hash
 
 ANCHOR = 36
@@ -171,6 +172,23 @@ def _expanded(window: int):
     return run
 
 
+def _window_cells(sketch: Sketch):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from cell_batches(sketch.cells(batch.column(0).to_numpy().view(np.uint64)) for batch in batches)
+
+    return run
+
+
+def _seen_again(sketch: Sketch):
+    """Windows that more than one text may have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(sketch.level(batch.column(0).to_numpy().view(np.uint64)) > 0))
+
+    return run
+
+
 def _without(window: int, text_at: int):
     """Takes the removed windows, in the last two columns (first windows, their number), out of the texts."""
 
@@ -216,8 +234,10 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     own = runs.where(F.coalesce(~later, F.lit(True))).groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
     windows = slim.select("_row", "_id", "_text").join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
     kind = documents.schema[id_col].dataType.simpleString()
-    windows = windows.mapInArrow(_expanded(window), f"h1 bigint, h2 int, _row bigint, _id {kind}, at array<int>")
-    windows = with_first(written(windows, "windows"), ["h1", "h2"], "_id")
+    windows = written(windows.mapInArrow(_expanded(window), f"h1 bigint, h2 int, _row bigint, _id {kind}, at array<int>"), "windows")
+    again = Sketch(max(SEGMENT_BITS, min(SKETCH_BITS, (2 * windows.count()).bit_length())), 2)
+    again.merged(windows.select("h1").mapInArrow(_window_cells(again), CELLS))
+    windows = with_first(windows.mapInArrow(_seen_again(again), windows.schema), ["h1", "h2"], "_id")
     windows = windows.where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
     gone = windows.unionAll(runs.where(later).select("_row", "at", "n"))
     gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
