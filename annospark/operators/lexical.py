@@ -222,6 +222,17 @@ def tfidf_vocabulary(
     return kept.select("term", "df", (F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
+def term_index(vocabulary: DataFrame) -> DataFrame:
+    """The vocabulary with ``id``, 0, 1, 2, … in the order of the terms: ranges of terms are written, counted and numbered."""
+    ranged = materialised(vocabulary.repartitionByRange("term").withColumn("_part", F.spark_partition_id()), "terms")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row a partition.
+    placed = ranged.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("term")) - 1
+    return placed.select(*vocabulary.columns, (F.col("_before") + place).cast("long").alias("id"))
+
+
 def tfidf_weights(
     df: DataFrame,
     doc_id: str,
