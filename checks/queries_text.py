@@ -8,6 +8,7 @@ from annospark.functions import cleaning
 from annospark.functions import lexicons as lex
 from annospark.functions import patterns as p
 from annospark.functions.lexicons import LABELS
+from annospark.operators import dictionaries, lexical
 from annospark.operators import labels as lab
 from annospark.operators import profile, quality, sampling, stats
 from annospark.plans import prepare
@@ -57,6 +58,58 @@ def clean_slang(spark, sf):
     return fx.annotated(spark, sf).select("doc_id", cleaning.normalise_slang(_text()).alias("cleaned"))
 
 
+# Dictionaries that grow with the texts: every token of six characters or more is cut to four, every emoji has a name.
+_SLANG_TABLE = (
+    "slang AS (SELECT t AS word, substr(t, 1, 4) AS replacement FROM "
+    "(SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS t FROM documents) WHERE length(t) >= 6)"
+)
+_ALIAS_TABLE = (
+    f"alias AS (SELECT e AS word, ':' || substr(md5(e), 1, 6) || ':' AS replacement FROM "
+    f"(SELECT DISTINCT unnest(regexp_extract_all(text, '{q.EMOJI}')) AS e FROM annotated))"
+)
+
+
+def _translated_sql(table: str, pieces: str, key: str, separator: str) -> str:
+    return (
+        f"x AS (SELECT doc_id, unnest({pieces}) AS w, generate_subscripts({pieces}, 1) AS i FROM annotated WHERE text IS NOT NULL), "
+        f"j AS (SELECT doc_id, string_agg(coalesce(replacement, w), '{separator}' ORDER BY i) AS t FROM x LEFT JOIN {table} ON {key} = word GROUP BY doc_id) "
+        "SELECT a.doc_id, coalesce(t, text) AS cleaned FROM annotated a LEFT JOIN j ON a.doc_id = j.doc_id"
+    )
+
+
+def _slang_table(spark, sf):
+    words = fx.documents(spark, sf).select(F.explode(F.split(F.lower("text"), " ", -1)).alias("word")).distinct()
+    return words.where(F.length("word") >= 6).withColumn("replacement", F.substring("word", 1, 4))
+
+
+@query("clean_slang_table", f"{q.ANNOTATED}, {_SLANG_TABLE}, " + _translated_sql("slang", "string_split(text, ' ')", "lower(w)", " "))
+def clean_slang_table(spark, sf):
+    df = fx.annotated(spark, sf).select("doc_id", "text")
+    return dictionaries.normalise_slang(df, "doc_id", "text", _slang_table(spark, sf)).select("doc_id", "cleaned")
+
+
+@query(
+    "clean_emoji_table",
+    f"{q.ANNOTATED}, {_ALIAS_TABLE}, "
+    + _translated_sql("alias", f"regexp_extract_all(text, '{q.EMOJI}|{q.EMOJI.replace('[', '[^')}+')", "w", ""),
+)
+def clean_emoji_table(spark, sf):
+    df = fx.annotated(spark, sf).select("doc_id", "text")
+    found = df.select(F.explode(F.regexp_extract_all("text", F.lit(p.EMOJI), F.lit(0))).alias("word")).distinct()
+    aliases = found.withColumn("replacement", F.concat(F.lit(":"), F.substring(F.md5("word"), 1, 6), F.lit(":")))
+    return dictionaries.describe_emoji(df, "doc_id", "text", aliases).select("doc_id", "cleaned")
+
+
+@query(
+    "slang_found_table",
+    f"{q.ANNOTATED}, {_SLANG_TABLE}, c AS {q.counts_of(q.apostrophe_words('lower(' + q.filled('text') + ')'), 'annotated')} "
+    "SELECT token, n, replacement AS normal_form FROM c JOIN slang ON token = word",
+)
+def slang_found_table(spark, sf):
+    counts = lexical.token_counts(fx.annotated(spark, sf), lexical.raw_words(_text()))
+    return dictionaries.slang_found(counts, _slang_table(spark, sf))
+
+
 @query(
     "clean_full",
     f"{q.ANNOTATED} SELECT doc_id, {q.clean_cased('text', lex.SLANG_NORMAL)} AS text_clean_cased, "
