@@ -15,7 +15,7 @@ from annospark.functions import cleaning as clean
 from annospark.functions import lexicons as lex
 from annospark.functions import patterns as p
 from annospark.functions import tokens as tok
-from annospark.operators import keys
+from annospark.operators import keys, ranks
 from annospark.sources.tables import materialised
 
 
@@ -210,6 +210,24 @@ def document_terms(
     )
 
 
+def most_frequent(counts: DataFrame, k: int) -> DataFrame:
+    """The ``k`` terms of a written table ``(term, cf, …)`` with the largest ``cf``, equal ones in term order.
+
+    A histogram of the frequencies gives the last one that is kept, and only terms of that frequency are put in order.
+    """
+    sizes = counts.groupBy("cf").agg(F.count(F.lit(1)).alias("n"))
+    # One row a frequency: their number grows with the square root of the tokens.
+    upto = F.sum("n").over(Window.orderBy(F.col("cf").desc()).rowsBetween(Window.unboundedPreceding, 0))
+    last = sizes.select("cf", "n", upto.alias("upto")).where((F.col("upto") >= k) & (F.col("upto") - F.col("n") < k)).first()
+    if last is None:
+        return counts if k > 0 else counts.limit(0)
+    edge = counts.where(F.col("cf") == last["cf"])
+    left = k - (last["upto"] - last["n"])
+    if left < last["n"]:
+        edge = ranks.first_rows(edge, [F.col("term")], left)
+    return counts.where(F.col("cf") > last["cf"]).unionByName(edge)
+
+
 def tfidf_vocabulary(
     terms: DataFrame, documents: DataFrame, min_df: int, max_df: float, max_features: int | None = None
 ) -> DataFrame:
@@ -218,7 +236,7 @@ def tfidf_vocabulary(
     stats = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     kept = stats.withColumn("_n", total).filter((F.col("df") >= min_df) & (F.col("df") <= F.col("_n") * max_df))
     if max_features is not None:
-        kept = kept.orderBy(F.col("cf").desc(), "term").limit(max_features)
+        kept = most_frequent(materialised(kept, "vocabulary"), max_features)
     return kept.select("term", "df", (F.log((F.col("_n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 

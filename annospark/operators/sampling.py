@@ -10,8 +10,10 @@ a bucket are ever ordered together.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
 from fractions import Fraction
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,12 +126,14 @@ def stratified_split(
     eligible: Column | None = None,
     prefer: Column | None = None,
     out: str = "split",
+    quotas_of: Callable | None = None,
 ) -> DataFrame:
     """Assign every row to a part with exact sizes and exact class shares.
 
     Each part takes ``ceil(fraction * rows)`` rows, spread over the classes by
     largest remainder. Rows that are not ``eligible`` stay in ``rest``;
     ``prefer``red rows are drawn first. A row with an undeclared class fails.
+    ``quotas_of(sizes, rows, parts)`` shares the parts out in another way, by the position of a class.
 
     The data is not shuffled: two narrow jobs over (class, id) find one
     cut-off digest per class and part, the only values the driver sees, and
@@ -149,7 +153,7 @@ def stratified_split(
     try:
         counted = {r["_c"]: r["n"] for r in histogram.groupBy("_c").agg(F.sum("_n").alias("n")).collect()}
         sizes = {c: n for c, n in counted.items() if c != NOT_ELIGIBLE}
-        quotas = _quotas(sizes, sum(counted.values()), parts) if sizes else []
+        quotas = (quotas_of or _quotas)(sizes, sum(counted.values()), parts) if sizes else []
         ends, upto = {}, dict.fromkeys(sizes, 0)
         for i, quota in enumerate(quotas):
             for c, n in quota.items():
@@ -285,3 +289,82 @@ def error_samples(
     wrong = df.withColumn("error", error).filter("error is not null")
     w = Window.partitionBy("error").orderBy(keys.seeded_digest(F.col(row_id), seed), row_id)
     return wrong.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+
+
+def _label_quotas(labels: int, sizes: Mapping[int, int], rows: int, parts: Sequence[tuple[str, float]]) -> list[dict[int, int]]:
+    """Rows of each part per label combination (bit i of the class is label i), label by label from the rarest.
+
+    Every combination gives its share rounded down. What a label, and the part as a whole, still lacks is taken from the
+    combinations with the largest remainders, and steps that bring the sums nearer to their quotas follow until none does.
+    """
+    left, out = dict(sizes), []
+    # The part as a whole counts as a label that every row has.
+    holders = [[c for c in sizes if c >> i & 1] for i in range(labels)] + [list(sizes)]
+    of = {c: [i for i in range(labels + 1) if c in holders[i]] for c in sizes}
+    totals = [sum(sizes[c] for c in held) for held in holders]
+    for _, fraction in parts:
+        share = Fraction(str(fraction))
+        want = [total * share for total in totals]
+        want[-1] = Fraction(min(math.ceil(rows * share), sum(left.values())))
+        given = {c: min(left[c], math.floor(n * share)) for c, n in sizes.items()}
+        sums = [Fraction(sum(given[c] for c in held)) for held in holders]
+
+        def change(moves: Sequence[tuple[int, int]], sums=sums, want=want) -> Fraction:
+            """How much farther from the quotas, squared, the sums would be."""
+            by = Counter()
+            for c, step in moves:
+                for i in of[c]:
+                    by[i] += step
+            return sum((2 * (sums[i] - want[i]) * d + d * d for i, d in by.items()), Fraction(0))
+
+        def apply(moves: Sequence[tuple[int, int]], sums=sums, given=given) -> None:
+            for c, step in moves:
+                given[c] += step
+                for i in of[c]:
+                    sums[i] += step
+
+        for i in sorted(range(labels + 1), key=lambda i: (totals[i], i)):
+            for c in sorted(holders[i], key=lambda c: (given[c] - sizes[c] * share, c)):
+                if sums[i] + 1 <= want[i] and given[c] < left[c]:
+                    apply([(c, 1)])
+        while True:
+            single = [(c, d) for c in sizes for d in (1, -1) if 0 <= given[c] + d <= left[c]]
+            pairs = [(a, b) for a in single for b in single if a[0] < b[0]]
+            best = min(([m] for m in single), key=change, default=None)
+            if best is None or change(best) >= 0:
+                best = min(pairs, key=change, default=None)
+            if best is None or change(best) >= 0:
+                break
+            apply(best)
+        for c, n in given.items():
+            left[c] -= n
+        out.append(given)
+    return out
+
+
+def label_split(
+    df: DataFrame,
+    labels: Sequence[str],
+    row_id: str,
+    parts: Sequence[tuple[str, float]] = (("test", 0.1), ("val", 0.1)),
+    rest: str = "train",
+    seed: int = 42,
+    eligible: Column | None = None,
+    prefer: Column | None = None,
+    out: str = "split",
+) -> DataFrame:
+    """Split so that every label has its share in every part, also where a text has several rare labels.
+
+    Rows are counted by their combination of labels (1 or not; up to 9 labels), quotas are set on these counts from the
+    rarest label on, and rows follow by digest cut-offs as in :func:`stratified_split`. Rows that are not ``eligible`` stay
+    in ``rest`` and count in no label's quota.
+    """
+    if len(labels) > 9:
+        raise ValueError("at most 9 labels")
+    bits = sum((F.coalesce((F.col(f"`{c}`") == 1).cast("int"), F.lit(0)) * (1 << i) for i, c in enumerate(labels)), F.lit(0))
+    combined = df.withColumn("_combination", bits)
+    classes = range(1 << len(labels))
+    found = stratified_split(
+        combined, "_combination", row_id, parts, rest, seed, classes, eligible, prefer, out, partial(_label_quotas, len(labels))
+    )
+    return found.drop("_combination")

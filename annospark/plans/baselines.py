@@ -61,12 +61,12 @@ def _joined(postings: DataFrame, weights: DataFrame, columns: Sequence[str]) ->
     return parts[0].unionByName(parts[1])
 
 
-def _postings(rows: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """Written tables ``(doc_id, label, split, id, hot, x)`` and ``(id, hot)``: unit TF-IDF vectors and an intercept of 1.
+def _postings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written tables ``(_doc, label, split, id, hot, x)`` and ``(id, hot)``: unit TF-IDF vectors and an intercept of 1.
 
     The vocabulary and its document frequencies are those of the ``train`` rows.
     """
-    terms = lexical.document_terms(rows, doc_id, lexical.vectorizer_words(F.col(text)), (), ["label", "split"])
+    terms = lexical.document_terms(rows, "_doc", lexical.vectorizer_words(F.col("_text")), (), ["label", "split"])
     terms = materialised(terms, "terms")
     train = rows.where("split = 'train'")
     vocabulary = lexical.tfidf_vocabulary(terms.where("split = 'train'"), train, 1, 1.0)
@@ -77,9 +77,9 @@ def _postings(rows: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
     hot = F.broadcast(index.where("hot").select("term"))
     known = [terms.join(F.broadcast(index.where("hot")), "term"), terms.join(hot, "term", "left_anti").join(index.where("NOT hot"), "term")]
     weighted = known[0].unionByName(known[1]).withColumn("w", (F.log("tf") + 1) * F.col("idf"))
-    norms = weighted.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    vectors = weighted.join(norms, doc_id).select(doc_id, "label", "split", "id", "hot", (F.col("w") / F.col("norm")).alias("x"))
-    ones = rows.select(doc_id, "label", "split", F.lit(INTERCEPT).cast("long").alias("id"), F.lit(True).alias("hot"), F.lit(1.0).alias("x"))
+    norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    vectors = weighted.join(norms, "_doc").select("_doc", "label", "split", "id", "hot", (F.col("w") / F.col("norm")).alias("x"))
+    ones = rows.select("_doc", "label", "split", F.lit(INTERCEPT).cast("long").alias("id"), F.lit(True).alias("hot"), F.lit(1.0).alias("x"))
     ids = index.select("id", "hot")
     every = rows.sparkSession.range(1).select(F.lit(INTERCEPT).cast("long").alias("id"), F.lit(True).alias("hot"))
     return materialised(vectors.unionByName(ones), "postings"), ids.unionByName(every)
@@ -102,26 +102,27 @@ def linear_svm(
     vocabulary of any size stays distributed. Vectors have unit length beside the intercept, so a step of 0.25 never
     overshoots. ``doc_id`` is unique; a text without known words scores by the intercept. Training runs while the plan is built.
     """
-    rows = df.select(doc_id, text, F.col(label).cast("int").alias("label"), F.col(split).alias("split"))
-    postings, ids = _postings(rows, doc_id, text)
+    named = [F.col(doc_id).alias("_doc"), F.col(text).alias("_text")]
+    rows = df.select(*named, F.col(label).cast("int").alias("label"), F.col(split).alias("split"))
+    postings, ids = _postings(rows)
     train = postings.where("split = 'train'")
     share = class_weights(rows.where("split = 'train'"))
     y = F.col("label") * 2 - 1
     importance = F.when(F.col("label") == 1, share[1]).otherwise(share[0]) / max(share["rows"], 1)
     weights = ids.withColumn("w", F.lit(0.0)).withColumn("v", F.lit(0.0))
     for k in range(1, rounds + 1):
-        margins = _joined(train, weights, ["v"]).groupBy(doc_id, "label").agg(F.sum(F.col("x") * F.col("v")).alias("f"))
+        margins = _joined(train, weights, ["v"]).groupBy("_doc", "label").agg(F.sum(F.col("x") * F.col("v")).alias("f"))
         slack = F.greatest(F.lit(0.0), 1 - y * F.col("f"))
-        pulls = margins.where(slack > 0).select(doc_id, (-2.0 * y * slack * importance).alias("c"))
-        gradient = train.join(pulls, doc_id).groupBy("id").agg(F.sum(F.col("x") * F.col("c")).alias("g"))
+        pulls = margins.where(slack > 0).select("_doc", (-2.0 * y * slack * importance).alias("c"))
+        gradient = train.join(pulls, "_doc").groupBy("id").agg(F.sum(F.col("x") * F.col("c")).alias("g"))
         moved = weights.join(gradient, "id", "left").withColumn(
             "u", F.col("v") - step * (F.coalesce("g", F.lit(0.0)) + ridge * F.col("v"))
         )
         ahead = F.col("u") + ((k - 1) / (k + 2)) * (F.col("u") - F.col("w"))
         weights = materialised(moved.select("id", "hot", F.col("u").alias("w"), ahead.alias("v")), "weights")
     test = _joined(postings.where("split = 'test'"), weights, ["w"])
-    scored = test.groupBy(doc_id, "label").agg(F.sum(F.col("x") * F.col("w")).alias("score"))
-    return scored.select(doc_id, "label", "score", F.when(F.col("score") > 0, 1).otherwise(0).alias("pred"))
+    scored = test.groupBy("_doc", "label").agg(F.sum(F.col("x") * F.col("w")).alias("score"))
+    return scored.select(F.col("_doc").alias(doc_id), "label", "score", F.when(F.col("score") > 0, 1).otherwise(0).alias("pred"))
 
 
 def class_weights(train: DataFrame) -> dict:
@@ -189,7 +190,7 @@ def random_forest(
     """
     width = 1 << (depth + 1)
     rows = df.select(
-        doc_id,
+        F.col(doc_id).alias("_doc"),
         F.array_distinct(lexical.vectorizer_words(F.col(text))).alias("words"),
         F.col(label).cast("int").alias("label"),
         F.col(split).alias("split"),
@@ -231,7 +232,7 @@ def random_forest(
         score = F.aggregate(votes, F.lit(0.0), lambda s, x: s + x) / float(trees)
     else:
         score = F.lit(0.0)
-    scored = test.select(doc_id, "label", score.alias("score"))
+    scored = test.select(F.col("_doc").alias(doc_id), "label", score.alias("score"))
     return scored.select("*", F.when(F.round("score", 9) >= 0.5, 1).otherwise(0).alias("pred"))
 
 

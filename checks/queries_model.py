@@ -109,6 +109,36 @@ def three_way_split(spark, sf):
     return sampling.three_way_split(df, "doc_id", "toxicity_label", _RARE).select("doc_id", "stratum", "split")
 
 
+_ALL = ["toxicity_label", *_RARE]
+
+
+@query(
+    "label_split_shares",
+    f"{q.LABELLED}, e AS (SELECT * FROM labelled WHERE {_CLEAN}), pt AS (SELECT unnest(['test', 'val']) AS split) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS label, split, (SELECT count(*) FROM e WHERE {c} = 1) AS positives, round((SELECT count(*) FROM e WHERE {c} = 1) * 0.1::DOUBLE, 6) AS quota, TRUE AS within_one FROM pt"
+        for c in _ALL
+    )
+    + " UNION ALL SELECT 'rows', split, (SELECT count(*) FROM e), ceil((SELECT count(*) FROM labelled) * 0.1::DOUBLE), TRUE FROM pt",
+)
+def label_split_shares(spark, sf):
+    """Every label's rows in test and val against its quota; SQL states the quotas and that none is missed by a row or more."""
+    df = labelled(spark, sf)
+    clean = F.lit(True)
+    for c in _ALL:
+        clean = clean & F.col(c).isin(0.0, 1.0)
+    found = sampling.label_split(df, _ALL, "doc_id", eligible=clean, prefer=F.col("num_annotators") >= 2)
+    found = found.where(clean).select("split", *[(F.col(c) == 1).alias(c) for c in _ALL], F.lit(True).alias("rows"))
+    rows = df.count()
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).alias("has")) for c in [*_ALL, "rows"]]))
+    counts = found.select("split", pairs.alias("x")).where("x.has").groupBy(F.col("x.label").alias("label"))
+    counts = counts.agg(F.count(F.lit(1)).alias("positives"), *[F.count(F.when(F.col("split") == s, 1)).alias(s) for s in ("test", "val")])
+    quota = F.when(F.col("label") == "rows", F.ceil(F.lit(rows * 0.1)).cast("double")).otherwise(F.col("positives") * F.lit(0.1))
+    parts = F.explode(F.array(*[F.struct(F.lit(s).alias("split"), F.col(s).alias("n")) for s in ("test", "val")]))
+    counts = counts.withColumn("quota", quota).select("label", "positives", "quota", parts.alias("p"))
+    return counts.select("label", "p.split", "positives", "quota", (F.abs(F.col("p.n") - F.col("quota")) < 1).alias("within_one"))
+
+
 _BALANCED = "SELECT doc_id, CASE WHEN {cond} THEN 1 ELSE 0 END AS label FROM documents"
 
 
