@@ -19,6 +19,8 @@ _GAP = f"[{WS}]*"
 _ITEM = rf"(?:'{_GAP}{_NUMBER}{_GAP}'|\"{_GAP}{_NUMBER}{_GAP}\"|{_NUMBER}(?:\.\d*)?)"
 _ITEMS = rf"(?:{_GAP}{_ITEM}{_GAP}(?:,{_GAP}{_ITEM}{_GAP})*,?)?{_GAP}"
 _VOTE_LIST = rf"^{_GAP}(?:\[{_ITEMS}\]|\({_ITEMS}\)){_GAP}\z"
+#: Votes beyond this size count as this size, so that sums of some thousand votes can't overflow.
+VOTE_LIMIT = 10**15
 _ID_LIST = rf"^{_GAP}\[[^\[\]]*\]{_GAP}\z"
 _ID_ITEM = rf"'[^']*'|\"[^\"]*\"|[^{WS},\[\]'\"]+"
 
@@ -26,13 +28,18 @@ _ID_ITEM = rf"'[^']*'|\"[^\"]*\"|[^{WS},\[\]'\"]+"
 def parse_votes(raw: Column) -> Column:
     """``array<bigint>`` of the votes; empty when the text is not a list of integers.
 
-    A number beyond 64 bits is a null vote: it counts as a vote and adds nothing.
+    A number of any length keeps its sign and counts as at most ``VOTE_LIMIT``.
     """
     numbers = F.regexp_extract_all(raw, F.lit(rf"({_NUMBER})(?:\.\d*)?"), F.lit(1))
-    return F.when(
-        F.coalesce(raw.rlike(_VOTE_LIST), F.lit(False)),
-        numbers.try_cast("array<bigint>"),
-    ).otherwise(F.array().cast("array<bigint>"))
+
+    def limited(x: Column) -> Column:
+        number = x.try_cast("bigint")  # null beyond 64 bits
+        beyond = F.when(x.startswith("-"), -VOTE_LIMIT).otherwise(VOTE_LIMIT)
+        return F.when(number.between(-VOTE_LIMIT, VOTE_LIMIT), number).otherwise(beyond)
+
+    # Only lists with a long number pay for the look at each of them.
+    parsed = F.when(raw.rlike(r"\d{16}"), F.transform(numbers, limited)).otherwise(numbers.try_cast("array<bigint>"))
+    return F.when(F.coalesce(raw.rlike(_VOTE_LIST), F.lit(False)), parsed).otherwise(F.array().cast("array<bigint>"))
 
 
 def parse_ids(raw: Column) -> Column:

@@ -196,6 +196,59 @@ def ngram_counts(
     return out.filter(F.col("df") >= min_df) if min_df > 1 else out
 
 
+def _bit(by: Sequence[str], term: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(*by, term), F.lit(2**bits))
+
+
+def _bitmap(terms: DataFrame, by: Sequence[str], bits: int) -> DataFrame:
+    """``(at, set)``: words of 64 bits in which the bit of every term is set; at most ``2 ** bits / 64`` rows."""
+    place = _bit(by, F.col("term"), bits)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    return terms.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(one).alias("set"))
+
+
+def _where_set(rows: DataFrame, bitmap: DataFrame, place: Column) -> DataFrame:
+    """``rows``, of columns that are not ``place``, ``at`` or ``set``, whose bit is set."""
+    met = rows.withColumn("place", place).withColumn("at", F.shiftright("place", 6)).join(F.broadcast(bitmap), "at")
+    return met.where(F.getbit("set", (F.col("place") % 64).cast("int")) == 1).select(*rows.columns)
+
+
+def level_ngram_counts(
+    df: DataFrame,
+    tokens: Column,
+    n: int,
+    min_df: int,
+    stop_words: Sequence[str] = lex.STOP_WORDS,
+    by: Sequence[str] = (),
+    bits: int = 25,
+) -> DataFrame:
+    """The rows of ``ngram_counts`` with ``df >= min_df``, counted level by level.
+
+    An n-gram is in no more documents than its two (n - 1)-grams. So n-grams are counted, and shuffled, only where both
+    reach ``min_df``, which drops the long tail of n-grams seen once. The frequent ones of a level are a bitmap of at most ``2 ** bits``
+    bits in words of 64 (524,288 rows for 25), which is all that is broadcast; where two share a bit, a few n-grams too many
+    are counted and go by their exact count. Tokens are written once, each level reads them once, and all but the
+    last level are counted while the plan is built. Tokens hold no spaces; null texts have none.
+    """
+    if n < 2:
+        return ngram_counts(df, tokens, n, stop_words, by, min_df)
+    groups = [f"by{i}" for i in range(len(by))]
+    kept = [F.col(c).alias(g) for c, g in zip(by, groups, strict=True)]
+    rows = materialised(df.select(*kept, tok.drop_stop_words(tokens, stop_words).alias("tokens")), "tokens")
+    known = None
+    for k in range(1, n + 1):
+        grams = rows.select(*groups, F.sort_array(tok.ngrams("tokens", k)).alias("grams"))
+        flat = grams.select(*groups, F.explode(tok.first_flags("grams")).alias("x")).select(*groups, "x.term", "x.is_first")
+        if known is not None:
+            flat = _where_set(flat, known, _bit(groups, F.substring_index("term", " ", k - 1), bits))
+            flat = _where_set(flat, known, _bit(groups, F.substring_index("term", " ", 1 - k), bits))
+        counts = flat.groupBy(*groups, "term").agg(F.count(F.lit(1)).alias("n"), F.sum("is_first").alias("df"))
+        counts = counts.where(F.col("df") >= min_df)
+        if k < n:
+            known = materialised(_bitmap(counts, groups, bits), "frequent")
+    return counts.select(*[F.col(g).alias(c) for c, g in zip(by, groups, strict=True)], "term", "n", "df")
+
+
 # --- TF-IDF -------------------------------------------------------------------
 def document_terms(
     df: DataFrame, doc_id: str, tokens: Column, stop_words: Sequence[str], carry: Sequence[str] = ()

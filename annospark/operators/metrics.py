@@ -7,6 +7,7 @@ aggregation whose rows are combined before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -265,6 +266,35 @@ def slice_metrics(df: DataFrame, slices: Sequence[str], label: str = "label", pr
     return with_scores(counts).select("dimension", "value", *CELLS, *SCORES)
 
 
+def slice_lattice(
+    df: DataFrame,
+    dimensions: Sequence[str],
+    label: str = "label",
+    pred: str = "pred",
+    min_support: int = 1,
+    at_most: int | None = None,
+) -> DataFrame:
+    """Scores of every combination of the dimensions' values that has ``min_support`` rows, all rows included.
+
+    ``level`` is the grouping id: the bit of a dimension, the last one's being 1, is set where the dimension is left out; its
+    column is null then, while a null value has the bit unset. ``at_most`` limits the dimensions of one slice. Values are strings; rows
+    whose label or prediction is null don't count; no rows give no slices. Rows are counted once at the finest level, and only
+    those counts are summed up the lattice.
+    """
+    names = [f"_d{i}" for i in range(len(dimensions))]
+    finest = df.groupBy(*[F.col(d).cast("string").alias(n) for d, n in zip(dimensions, names, strict=True)]).agg(
+        *cells(F.col(label), F.col(pred)).values()
+    )
+    sizes = range((len(names) if at_most is None else min(at_most, len(names))) + 1)
+    sets = [list(chosen) for k in sizes for chosen in combinations(names, k)]
+    counts = finest.groupingSets(sets, *names).agg(F.grouping_id().alias("level"), *[F.sum(c).alias(c) for c in CELLS])
+    support = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    kept = counts.withColumn("n", support).where(F.col("n") >= max(min_support, 1))
+    return with_scores(kept).select(
+        "level", *[F.col(n).alias(d) for d, n in zip(dimensions, names, strict=True)], "n", *CELLS, *SCORES
+    )
+
+
 def cascade_rate(df: DataFrame, label: str, pred: str, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Share of sub-label errors that sit on rows the binary task missed."""
     errors = F.lit(0).cast("long")

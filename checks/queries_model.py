@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from annospark.functions import lexicons as lex
 from annospark.functions import patterns as p
 from annospark.operators import labels as lab
-from annospark.operators import metrics, sampling, stats
+from annospark.operators import metrics, sampling, significance, stats
 from annospark.plans import baselines, prepare
 from annospark.sources import tables
 from checks import fixtures as fx
@@ -394,15 +394,30 @@ _SLICED = (
     f"{_SLICED}, c AS ({q.unpivot(SLICES, lambda d: f'SELECT {chr(39)}{d}{chr(39)} AS dimension, CAST({d} AS VARCHAR) AS value, {_C} FROM s GROUP BY 2')}) {_scored('c', 'dimension, value')}",
 )
 def slice_metrics(spark, sf):
+    return metrics.slice_metrics(_sliced(spark, sf), SLICES)
+
+
+LATTICE = ["topic", "word_bin", "annotators"]
+
+
+@query(
+    "slice_lattice",
+    f"{_SLICED}, c AS (SELECT grouping_id({', '.join(LATTICE)}) AS level, {', '.join(LATTICE)}, count(*) AS n, {_C} FROM s GROUP BY CUBE ({', '.join(LATTICE)}) HAVING count(*) >= 5) "
+    + _scored("c", f"level, {', '.join(LATTICE)}, n"),
+)
+def slice_lattice(spark, sf):
+    return metrics.slice_lattice(_sliced(spark, sf), LATTICE, min_support=5)
+
+
+def _sliced(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", p.word_count(F.col("text")).alias("words"))
-    df = fx.predictions(spark, sf).join(docs, "doc_id").withColumns(
+    return fx.predictions(spark, sf).join(docs, "doc_id").withColumns(
         {
             "word_bin": stats.word_bin(F.col("words")),
             "annotators": F.when(F.col("doc_id") % 20 < 11, "single").otherwise("multi"),
             "cell": F.col("label") * 10 + F.col("pred"),
         }
     )
-    return metrics.slice_metrics(df, SLICES)
 
 
 _CASCADE = (
@@ -445,6 +460,49 @@ def error_samples(spark, sf):
     return sampling.error_samples(df, "label", "pred", "doc_id", 20)
 
 
+#: Predictions of three runs beside those of the control.
+RUNS = {
+    "low_cut": "CASE WHEN score > 0.3 THEN 1 ELSE 0 END",
+    "high_cut": "CASE WHEN score > 0.7 THEN 1 ELSE 0 END",
+    "better": "CASE WHEN doc_id % 4 = 0 THEN label ELSE pred END",
+}
+
+
+def _difference_sql(replicates: int = 200, seed: int = 42) -> str:
+    draw = "CAST('0x' || substr(md5(concat_ws('#', CAST(doc_id AS VARCHAR), '{seed}', CAST((r - 1) // 8 AS VARCHAR))), 4 * ((r - 1) % 8) + 1, 4) AS INTEGER)"
+    weight = " + ".join(f"CAST(u >= {cut} AS INTEGER)" for cut in significance.POISSON_CUTS)
+
+    def sums(pred: str) -> str:
+        pairs = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
+        return ", ".join(f"coalesce(sum(w) FILTER (label = {a} AND {pred} = {b}), 0) AS {c}" for c, (a, b) in pairs.items())
+
+    f1, f0 = _div("2 * tp", "2 * tp + fp + fn"), _div("2 * tn", "2 * tn + fp + fn")
+    classes = "CAST(tp + fp + fn > 0 AS INTEGER) + CAST(tn + fp + fn > 0 AS INTEGER)"
+    macro = _div(f"(({f0}) + ({f1}))", classes)
+    runs = {"control": "pred", **RUNS}
+    lines = [
+        f"x AS (SELECT predictions.*, r, {draw.format(seed=seed)} AS u FROM predictions, range(1, {replicates + 1}) t(r))",
+        f"y AS (SELECT *, {weight} AS w FROM x UNION ALL SELECT *, 0 AS r, 0 AS u, 1 AS w FROM predictions)",
+        "k AS (" + " UNION ALL ".join(f"SELECT '{name}' AS variant, r, {sums(f'({pred})')} FROM y GROUP BY r" for name, pred in runs.items()) + ")",
+        f"m AS (SELECT variant, r, {macro} AS f FROM k)",
+        "d AS (SELECT a.variant, a.r, a.f AS f, b.f AS c, a.f - b.f AS delta FROM m a JOIN m b ON a.r = b.r AND b.variant = 'control' WHERE a.variant <> 'control')",
+        "g AS (SELECT variant, list_sort(list(delta)) AS l, count(*) FILTER (delta <= 0) AS lo, count(*) FILTER (delta >= 0) AS hi FROM d WHERE r > 0 GROUP BY 1)",
+    ]
+    edge = int(0.025 * replicates)
+    low, high = f"l[{edge}]", f"l[{replicates + 1 - edge}]"
+    return (
+        f"{q.PREDICTIONS}, {', '.join(lines)} SELECT variant, {q.r6('f')} AS score, {q.r6('c')} AS control_score, {q.r6('delta')} AS delta, "
+        f"{q.r6(low)} AS low, {q.r6(high)} AS high, {q.r6(f'least(1.0, 2.0 * (least(lo, hi) + 1) / {replicates + 1})')} AS p_value, "
+        f"{low} > 0 OR {high} < 0 AS significant FROM d JOIN g USING (variant) WHERE r = 0"
+    )
+
+
+@query("run_significance", _difference_sql())
+def run_significance(spark, sf):
+    runs = fx.predictions(spark, sf).withColumns({name: F.expr(pred) for name, pred in RUNS.items()})
+    return significance.difference_intervals(runs, "doc_id", "label", "pred", list(RUNS))
+
+
 @query(
     "run_comparison",
     f"{q.PREDICTIONS}, v AS (SELECT lang AS variant, fold AS run, {_C} FROM predictions GROUP BY 1, 2), "

@@ -438,6 +438,17 @@ def ngram_top_by_class(spark, sf):
     return lexical.top_by(counts, "toxicity_label", 10, "term")
 
 
+@query("ngram_levels", f"{q.LABELLED}, {_gram_counts(3, min_df=3)} SELECT term, n, df FROM c")
+def ngram_levels(spark, sf):
+    return lexical.level_ngram_counts(fx.annotated(spark, sf), lexical.vectorizer_words(text()), 3, 3)
+
+
+@query("ngram_levels_by_class", f"{q.LABELLED}, {_gram_counts(2, 'toxicity_label', 3)} SELECT toxicity_label, term, n, df FROM c")
+def ngram_levels_by_class(spark, sf):
+    df = with_label(spark, sf).filter("toxicity_label is not null")
+    return lexical.level_ngram_counts(df, lexical.vectorizer_words(text()), 2, 3, by=["toxicity_label"])
+
+
 _TFIDF = (
     f"t AS (SELECT doc_id, toxicity_label, unnest(list_filter({VECTOR}, lambda w: w NOT IN ({STOP}))) AS term FROM labelled), "
     "f AS (SELECT doc_id, toxicity_label, term, count(*) AS tf FROM t GROUP BY 1, 2, 3), n AS (SELECT count(*) AS n FROM labelled), "
