@@ -69,12 +69,15 @@ def lookup_by_key(
 ) -> DataFrame:
     """Attach ``values`` of each group to its rows, however large one group is.
 
-    Every group is sent ``salts`` times and its rows are dealt among the copies by their id, so one group's rows meet in
-    ``salts`` pieces whatever its size. Keep ``rows`` narrow and ``groups`` to those that matter.
+    A group's rows are dealt by their id into ``salts`` pieces, and the group is sent to those pieces that exist: groups
+    without rows aren't copied, and there are never more copies than rows. So one group's rows meet in ``salts`` pieces
+    whatever its size, and ``groups`` may be far larger than what the rows need. Keep ``rows`` narrow.
     ``how`` is ``left`` or ``inner``; ``groups`` has one row per key.
     """
-    copies = groups.select(key, *values).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     dealt = rows.drop(*values).withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
+    pieces = dealt.where(F.col(f"`{key}`").isNotNull()).select(key, "_salt").distinct()
+    # Groups have no known bound; a file's size, by which Spark would broadcast them, says little about their rows.
+    copies = pieces.join(groups.select(key, *values).hint("merge"), key)
     return dealt.join(copies, [key, "_salt"], how).select(
         *[F.col(f"`{c}`") for c in rows.columns if c not in values], *values
     )

@@ -463,6 +463,14 @@ def test_ranges_follow_the_data(spark):
     assert all(a == b for a, b in got.collect())
 
 
+def test_lookup_copies_only_groups_in_use(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") > 9, (F.col("id") % 3).cast("string")).alias("k"))
+    groups = spark.range(50_000).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    found = keys.lookup_by_key(df, groups, "k", "id", ["v"])
+    assert dict(found.select("id", "v").collect()) == {i: i % 3 if i > 9 else None for i in range(100)}
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lookup_deals_many_heavy_groups(spark):
     df = spark.range(22_000).select("id", (F.col("id") % 1100).cast("string").alias("k"))
     groups = df.groupBy("k").agg(F.max("id").alias("v"))
