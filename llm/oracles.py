@@ -38,19 +38,11 @@ m AS (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
-_CUTS = 4
-OP8 = f"""WITH s AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS x FROM documents),
-l AS (SELECT r, doc_id, x, len(x) AS size, unnest(x) AS line, generate_subscripts(x, 1) - 1 AS i FROM s),
-h AS (SELECT r, i, size, ('0x' || substr(md5(line), 1, 15))::BIGINT AS h FROM l),
-b AS (SELECT r, i, size, xor(lag(h) OVER w, lag(h, 2) OVER w >> 1) AS rolled FROM h WINDOW w AS (PARTITION BY r ORDER BY i)),
-f AS (SELECT r, k, i, i - row_number() OVER (PARTITION BY r, k ORDER BY i) AS run FROM b, range({_CUTS}) t(k)
- WHERE i >= 2 AND i <= size - 2 AND (rolled >> k) % 2 = 1),
-a AS (SELECT r, k, i FROM (SELECT *, row_number() OVER (PARTITION BY r, k, run ORDER BY i) AS p FROM f) WHERE p % 2 = 1
- UNION ALL SELECT r, k, 0 FROM s, range({_CUTS}) t(k) WHERE len(x) > 1),
-e AS (SELECT r, k, i, lead(i) OVER (PARTITION BY r, k ORDER BY i) AS e FROM a),
-c AS (SELECT DISTINCT r, doc_id, i, coalesce(e, len(x)) - i AS n, x[i + 1:coalesce(e, len(x))] AS g FROM e JOIN s USING (r) WHERE doc_id IS NOT NULL),
-o AS (SELECT r, doc_id, i, n, min(doc_id) OVER (PARTITION BY g) AS first, min(i) OVER (PARTITION BY r, g) AS own FROM c),
-gone AS (SELECT DISTINCT r, unnest(range(i, i + n)) AS i FROM o WHERE first < doc_id OR i >= own + n),
+OP8 = """WITH s AS (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS x FROM documents),
+l AS (SELECT r, doc_id, unnest(x) AS line, generate_subscripts(x, 1) - 1 AS i FROM s),
+p AS (SELECT a.r, a.doc_id, a.i, a.line AS a, b.line AS b FROM l a JOIN l b ON a.r = b.r AND a.i + 1 = b.i WHERE a.doc_id IS NOT NULL),
+f AS (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY a, b) AS first, min(i) OVER (PARTITION BY r, a, b) AS own FROM p),
+gone AS (SELECT DISTINCT r, unnest([i, i + 1]) AS i FROM f WHERE first < doc_id OR i >= own + 2),
 kept AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS kept FROM l ANTI JOIN gone USING (r, i) GROUP BY r),
 n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
 SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text, coalesce(len(x), 0)::BIGINT AS n_lines,

@@ -72,37 +72,19 @@ def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def cuts(x: list[str], bit: int) -> list[int]:
-    """First lines of one cutting's chunks."""
-    h = [int(hashlib.md5(line.encode()).hexdigest()[:15], 16) for line in x]
-    starts = [0]
-    for i in range(2, len(x) - 1):
-        if (h[i - 1] ^ h[i - 2] >> 1) >> bit & 1 and i - starts[-1] >= 2:
-            starts.append(i)
-    return starts
-
-
-def chunks(x: list[str], cuttings: int = 4) -> set[tuple[int, int]]:
-    """(first line, line behind) of the chunks of all cuttings."""
-    if len(x) < 2:
-        return set()
-    return {p for k in range(cuttings) for s in [cuts(x, k)] for p in zip(s, [*s[1:], len(x)])}
-
-
 def repeated_lines(docs: list[tuple]) -> Counter:
-    """(id, text left, n_lines, n_removed_lines) of each row: lines of chunks that an earlier document or the own text before has."""
+    """(id, text left, n_lines, n_removed_lines) of each row: lines of pairs that an earlier document or the own text before has."""
     split = [(key, None if text is None else text.split("\n")) for key, text in docs]
-    own = [sorted((a, tuple(x[a:b])) for a, b in chunks(x)) if key is not None and x else [] for key, x in split]
     first: dict[tuple, int] = {}
-    for (key, _), found in zip(split, own):
-        for _, body in found:
-            first[body] = min(key, first.get(body, key))
+    for key, x in split:
+        for pair in zip(x or (), (x or ())[1:]) if key is not None else ():
+            first[pair] = min(key, first.get(pair, key))
     out = Counter()
-    for (key, x), found in zip(split, own):
+    for key, x in split:
         gone, seen = set(), {}
-        for a, body in found:
-            if first[body] < key or a >= seen.setdefault(body, a) + len(body):
-                gone |= set(range(a, a + len(body)))
+        for i, pair in enumerate(zip(x or (), (x or ())[1:]) if key is not None else ()):
+            if first[pair] < key or i >= seen.setdefault(pair, i) + 2:
+                gone |= {i, i + 1}
         left = None if x is None else "\n".join(line for i, line in enumerate(x) if i not in gone)
         out[key, left, len(x or ()), len(gone)] += 1
     return out

@@ -124,7 +124,7 @@ def test_lines_query_against_brute_force(spark):
 
 
 def test_share_of_short_blocks_removed(spark):
-    """Chunks find fewer lines than a look-up of all pairs of lines would, the more the longer a block; never others."""
+    """Lines removed of blocks of several lengths, against a look-up of all pairs of lines."""
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     pairs = brute.repeated_pairs(rows)
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -139,6 +139,17 @@ def test_share_of_short_blocks_removed(spark):
         assert got >= share * 150 * size
 
 
+def test_every_repeated_pair_of_lines_goes(spark):
+    """Blocks of any length at any place: what chunks leave is found by pairs."""
+    for size in (2, 3, 6):
+        docs = []
+        for k in range(100):
+            block = lines(f"b{k}", size)
+            docs += [(2 * k + j, "\n".join([*lines(f"x{k}{j}", 1 + (k + j) % 5), *block, *lines(f"y{k}{j}", 1 + k % 4)])) for j in (0, 1)]
+        got = {r.doc_id: r.n_removed_lines for r in dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+        assert got == {k: size * (k % 2) for k in range(200)}
+
+
 def test_columns_of_any_name_and_ids_of_text(spark):
     shared = " ".join(f"w{k}" for k in range(60))
     rows = [("a", shared + "\nlast line"), ("b", shared + "\nlast line"), (None, shared)]
