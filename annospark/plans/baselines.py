@@ -8,7 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annospark.functions.cleaning import literal_map
 from annospark.operators import lexical, metrics
 from annospark.sources.tables import materialised
 
@@ -158,17 +157,23 @@ def _asking(level: int, trees: int, depth: int, one_in: int) -> Column:
     return F.filter(numbers, lambda t: (F.col("h1") + (t * depth + level) * F.col("h2")) % one_in == 0)
 
 
-def _descended(df: DataFrame, splits: Mapping[int, str], width: int) -> DataFrame:
+def _descended(df: DataFrame, splits: Mapping[int, str], width: int, trees: int) -> DataFrame:
     """Nodes of the next level: twice the node, plus one where the text has the node's word; leaves stay."""
     if not splits:
         return df
-    words = literal_map({str(k): w for k, w in splits.items()})
+    # An array by place is read in one step, a map by a search of all its entries.
+    words = F.array(*[F.lit(splits.get(k)).cast("string") for k in range(trees * width)])
+    asked = F.array(*[F.lit(w) for w in sorted(set(splits.values()))])
 
-    def child(node: Column, tree: Column) -> Column:
-        word = F.try_element_at(words, (tree * width + node).cast("string"))
-        return F.when(word.isNull(), node).otherwise(node * 2 + F.array_contains("words", word).cast("int"))
+    def children(has: Column) -> Column:
+        def child(node: Column, tree: Column) -> Column:
+            word = F.get(words, tree * width + node)
+            return F.when(word.isNull(), node).otherwise(node * 2 + F.array_contains(has, word).cast("int"))
 
-    return df.withColumn("nodes", F.transform("nodes", child))
+        return F.transform("nodes", child)
+
+    # The asked words that a text has are found once by hashing; as the element of an array they aren't computed for each tree.
+    return df.withColumn("nodes", F.get(F.transform(F.array(F.array_intersect("words", asked)), children), F.lit(0)))
 
 
 def random_forest(
@@ -184,8 +189,8 @@ def random_forest(
     """``(doc_id, label, score, pred)`` of the ``test`` rows by a forest of trees that ask whether a text has a word.
 
     A tree draws every training row as often as a digest of its id says (mean 1) and looks, on each level, at one word in the
-    square root of the vocabulary. All trees grow one level by one aggregate over the words that they look at; what the driver
-    sees is at most one word for each node, ``trees * 2**depth`` in all. Classes weigh the same, the score is the mean share of
+    square root of the vocabulary. Which words these are is told once for each word, not for each place, and sent to the tasks.
+    All trees grow one level by one aggregate over the words that they look at; what the driver sees is at most one word for each node, ``trees * 2**depth`` in all. Classes weigh the same, the score is the mean share of
     class 1 in the leaves, equal splits go to the smallest word. ``doc_id`` is unique; without training rows scores are 0.
     """
     width = 1 << (depth + 1)
@@ -200,8 +205,9 @@ def random_forest(
     rows = materialised(rows.withColumn("bag", _bag(F.col("r1"), F.col("r2"), trees)).drop("r1", "r2"), "bags")
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     share = class_weights(train)
-    vocabulary = train.select(F.explode("words").alias("term")).agg(F.count_distinct("term")).first()[0]
-    one_in = max(1, math.isqrt(vocabulary))
+    vocabulary = train.select(F.explode("words").alias("term")).distinct()
+    vocabulary = materialised(vocabulary.select("term", *_hash_pair(F.col("term"), "h")), "vocabulary")
+    one_in = max(1, math.isqrt(vocabulary.count()))
     of = [F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
 
     def sizes(docs: DataFrame) -> DataFrame:
@@ -210,8 +216,9 @@ def random_forest(
 
     for level in range(depth):
         words = train.select("label", "bag", "nodes", F.explode("words").alias("term"))
-        words = words.select("*", *_hash_pair(F.col("term"), "h"))
-        found = words.select("label", "bag", "nodes", "term", F.explode(_asking(level, trees, depth, one_in)).alias("tree"))
+        asked = vocabulary.select("term", _asking(level, trees, depth, one_in).alias("asking")).where(F.size("asking") > 0)
+        # At most about ``trees`` times the square root of the vocabulary.
+        found = words.join(F.broadcast(asked), "term").select("label", "bag", "nodes", "term", F.explode("asking").alias("tree"))
         found = found.select("label", "term", "tree", F.get("nodes", F.col("tree")).alias("node"), F.get("bag", F.col("tree")).alias("n"))
         found = found.where((F.col("n") > 0) & (F.col("node") >= 1 << level)).groupBy("tree", "node", "term").agg(*of)
         totals = sizes(train).select("tree", "node", F.col("n0").alias("t0"), F.col("n1").alias("t1"))
@@ -221,14 +228,14 @@ def random_forest(
         gain = F.round(gain - _impurity(F.col("t0") - F.col("n0"), F.col("t1") - F.col("n1"), share), 9)
         best = both.withColumn("gain", gain).where("gain > 0").groupBy("tree", "node").agg(F.min(F.struct(-F.col("gain"), "term")).alias("b"))
         splits = {t * width + node: word for t, node, word in best.select("tree", "node", "b.term").collect()}
-        train, test = _descended(train, splits, width), _descended(test, splits, width)
+        train, test = (_descended(part, splits, width, trees) for part in (train, test))
     leaves = {}
     for tree, node, n0, n1 in sizes(train).collect():
         a, b = n0 * share[0], n1 * share[1]
-        leaves[str(tree * width + node)] = b / (a + b) if a + b > 0 else 0.0
+        leaves[tree * width + node] = b / (a + b) if a + b > 0 else 0.0
     if leaves:
-        shares = literal_map(leaves)
-        votes = F.transform("nodes", lambda node, t: F.coalesce(F.try_element_at(shares, (t * width + node).cast("string")), F.lit(0.0)))
+        shares = F.array(*[F.lit(leaves.get(k, 0.0)) for k in range(trees * width)])
+        votes = F.transform("nodes", lambda node, t: F.get(shares, t * width + node))
         score = F.aggregate(votes, F.lit(0.0), lambda s, x: s + x) / float(trees)
     else:
         score = F.lit(0.0)
