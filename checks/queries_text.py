@@ -513,7 +513,9 @@ _PART = "CASE WHEN doc_id % 10 = 0 THEN 0 WHEN doc_id % 10 < 4 THEN 1 ELSE 2 END
 def csv_first_row(spark, sf):
     """Positions over files of unequal size, the smallest first."""
     path = tables.scratch_path(spark, "annotated-parts")
-    rows = fx.annotated(spark, sf).withColumn("part", F.expr(_PART)).repartition("part").sortWithinPartitions("part", "doc_id")
+    rows = fx.annotated(spark, sf).withColumn("part", F.expr(_PART))
+    # A part has as many files as its rows need; their names are in the order of the ranges.
+    rows = rows.repartitionByRange("part", "doc_id").sortWithinPartitions("part", "doc_id")
     tables.write_csv(rows.select("part", *[f.name for f in tables.ANNOTATED.fields]), path, ["part"])
     return tables.read_annotated(spark, path).select("text_id", "row_pos")
 

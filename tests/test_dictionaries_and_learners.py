@@ -106,3 +106,41 @@ def test_learners_without_training_rows(labelled_texts, model):
     found = baselines.LEARNERS[model](labelled_texts.where("split = 'test'"), "id").collect()
     assert len(found) == 83 and {(r["score"], r["pred"]) for r in found} == {(0.0, 0)}
     assert baselines.LEARNERS[model](labelled_texts.limit(0), "id").count() == 0
+
+
+def test_forest_tells_once_for_each_word_which_trees_ask_for_it(spark, monkeypatch):
+    told = []
+    pair = baselines._hash_pair
+    monkeypatch.setattr(baselines, "_hash_pair", lambda value, name: told.append(name) or pair(value, name))
+    rows = [(i, "baik sekali" if i % 2 else "buruk sekali", i % 2, "train" if i < 40 else "test") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string, label int, split string")
+    got = baselines.random_forest(df, "id", trees=20, depth=3).collect()
+    assert sorted(told) == ["h", "r"] and all(r["pred"] == r["label"] for r in got) and len(got) == 20
+
+
+def test_descent_follows_the_words_of_the_nodes(spark):
+    rows = [(["a", "b"], [1, 2]), (["c"], [1, 3]), ([], [1, 1]), (None, [1, 1])]
+    df = spark.createDataFrame(rows, "words array<string>, nodes array<int>")
+    got = baselines._descended(df, {1: "a", 8 + 3: "c", 8 + 2: "b"}, 8, 2).collect()
+    assert [r["nodes"] for r in got][:3] == [[3, 5], [2, 7], [2, 1]] and got[3]["words"] is None
+
+
+def test_csv_parts_have_as_many_files_as_their_rows_need(spark, tmp_path):
+    from checks import queries_text
+
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.md5(F.col("id").cast("string")), 20).alias("text"), F.lit("s").alias("source"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10KB"}
+    for name, size in sizes.items():
+        spark.conf.set(name, size)
+    try:
+        found = queries_text.csv_first_row(spark, str(tmp_path))
+        files = found.inputFiles()
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert len([f for f in files if "part=2" in f]) > 1
+    got = sorted((int(r["row_pos"]), int(r["text_id"])) for r in found.collect())
+    extra = [i + 1000000007 for i in range(4000) if 5 <= i % 97 <= 9]
+    want = sorted([*range(4000), *extra], key=lambda i: (min(i % 10, 1) + (i % 10 >= 4), i))
+    assert got == list(enumerate(want))
