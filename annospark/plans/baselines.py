@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.operators import lexical, metrics
@@ -15,6 +19,9 @@ from annospark.sources.tables import materialised
 HOT_SHARE = 1 / 4096
 #: Id of the intercept, a posting of every text; words are numbered from 0.
 INTERCEPT = -1
+#: What a block of texts sends for each of its words: its share of the gradient, and the weights that it has.
+SENT_DDL = "block long, id long, g double, w double, v double"
+SENT = pa.schema([("block", pa.int64()), ("id", pa.int64()), ("g", pa.float64()), ("w", pa.float64()), ("v", pa.float64())])
 #: Cumulative probabilities, times 10,000, of a row drawn 0 to 4 times by a Poisson law of mean 1.
 POISSON = (3679, 7358, 9197, 9810, 9963)
 
@@ -51,19 +58,18 @@ def naive_bayes(
     return scored.select(doc_id, "label", F.get(F.array(*map(F.lit, classes)), metrics.argmax(scores)).alias("pred"))
 
 
-def _joined(postings: DataFrame, weights: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Postings with their words' columns: frequent words, of bounded number, reach every task, the others are shuffled."""
-    parts = []
-    for hot in (True, False):
-        side = weights.where(F.col("hot") == hot).select("id", *columns)
-        parts.append(postings.where(F.col("hot") == hot).join(F.broadcast(side) if hot else side, "id"))
-    return parts[0].unionByName(parts[1])
+def _joined(postings: DataFrame, weights: DataFrame) -> DataFrame:
+    """Postings with their words' weights: frequent words, of bounded number, reach every task, the others are shuffled."""
+    hot = F.broadcast(weights.where("hot").select("id", "w"))
+    rare = postings.join(F.broadcast(weights.where("hot").select("id")), "id", "left_anti")
+    return postings.join(hot, "id").unionByName(rare.join(weights.where("NOT hot").select("id", "w"), "id"))
 
 
-def _postings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Written tables ``(_doc, label, split, id, hot, x)`` and ``(id, hot)``: unit TF-IDF vectors and an intercept of 1.
+def _vectors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Written tables ``(_doc, label, split, words, norm)`` and ``(id, df, hot)``: TF-IDF vectors and the words' ids.
 
-    The vocabulary and its document frequencies are those of the ``train`` rows.
+    A vector's ``words`` are ``(id, tfidf)``, with an intercept of null; ``norm`` is their length. The vocabulary and its
+    document frequencies are those of the ``train`` rows.
     """
     terms = lexical.document_terms(rows, "_doc", lexical.vectorizer_words(F.col("_text")), (), ["label", "split"])
     terms = materialised(terms, "terms")
@@ -75,13 +81,50 @@ def _postings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # At most 1 / HOT_SHARE words are hot.
     hot = F.broadcast(index.where("hot").select("term"))
     known = [terms.join(F.broadcast(index.where("hot")), "term"), terms.join(hot, "term", "left_anti").join(index.where("NOT hot"), "term")]
-    weighted = known[0].unionByName(known[1]).withColumn("w", (F.log("tf") + 1) * F.col("idf"))
-    norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    vectors = weighted.join(norms, "_doc").select("_doc", "label", "split", "id", "hot", (F.col("w") / F.col("norm")).alias("x"))
-    ones = rows.select("_doc", "label", "split", F.lit(INTERCEPT).cast("long").alias("id"), F.lit(True).alias("hot"), F.lit(1.0).alias("x"))
-    ids = index.select("id", "hot")
-    every = rows.sparkSession.range(1).select(F.lit(INTERCEPT).cast("long").alias("id"), F.lit(True).alias("hot"))
-    return materialised(vectors.unionByName(ones), "postings"), ids.unionByName(every)
+    key = ["_doc", "label", "split"]
+    weighted = known[0].unionByName(known[1]).where(F.col("_doc").isNotNull())
+    weighted = weighted.select(*key, "id", ((F.log("tf") + 1) * F.col("idf")).alias("tfidf"))
+    ones = rows.select(*key, F.lit(INTERCEPT).cast("long").alias("id"), F.lit(None).cast("double").alias("tfidf"))
+    # Dealt by text once, for the list, and for the length of a text that occurs with several labels.
+    gathered = weighted.unionByName(ones).repartition("_doc").groupBy(*key).agg(
+        F.collect_list(F.struct("id", "tfidf")).alias("words"), F.sum(F.col("tfidf") * F.col("tfidf")).alias("square")
+    )
+    norm = F.sqrt(F.sum("square").over(Window.partitionBy("_doc")))
+    vectors = materialised(gathered.select(*key, "words", norm.alias("norm")), "vectors")
+    every = rows.sparkSession.range(1).select(F.lit(INTERCEPT).cast("long").alias("id"), F.lit(0).cast("long").alias("df"), F.lit(True).alias("hot"))
+    return vectors, index.select("id", "df", "hot").unionByName(every)
+
+
+def _block_gradient(share: Mapping) -> Callable[[pa.Table, pa.Table | None], pa.Table]:
+    """The function that gives ``(block, id, g, w, v)`` of a block of vectors and of the ``(id, w, v)`` of its words, zero at first."""
+
+    def gradient(vectors: pa.Table, sent: pa.Table | None = None) -> pa.Table:
+        if not vectors.num_rows:
+            return SENT.empty_table()
+        words = vectors["words"].combine_chunks()
+        row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        ids = pc.struct_field(words.flatten(), "id").to_numpy(zero_copy_only=False)
+        tfidf = pc.struct_field(words.flatten(), "tfidf").to_numpy(zero_copy_only=False)
+        norm = vectors["norm"].combine_chunks().to_numpy(zero_copy_only=False).astype(float)
+        x = np.where(ids == INTERCEPT, 1.0, tfidf / norm[row])
+        known, at = np.unique(ids, return_inverse=True)
+        w, v = np.zeros(len(known)), np.zeros(len(known))
+        if sent is not None:
+            place = np.searchsorted(known, sent["id"].to_numpy())
+            w[place], v[place] = sent["w"].to_numpy(), sent["v"].to_numpy()
+        label = vectors["label"].combine_chunks().to_numpy(zero_copy_only=False).astype(float)
+        sign = label * 2 - 1
+        slack = np.maximum(0.0, 1 - sign * np.bincount(row, x * v[at], len(words)))
+        pull = -2.0 * sign * slack * np.where(label == 1, share[1], share[0]) / max(share["rows"], 1)
+        # A text that occurs with both labels is pulled by both; texts without id or label pull nothing.
+        text = pc.fill_null(vectors["_doc"].combine_chunks().dictionary_encode().indices, -1).to_numpy(zero_copy_only=False) + 1
+        pulls = np.bincount(text, np.nan_to_num(pull))
+        pulls[0] = 0.0
+        g = np.bincount(at, x * pulls[text][row], len(known))
+        block = np.full(len(known), vectors["block"][0].as_py(), "int64")
+        return pa.table([block, known, g, w, v], schema=SENT)
+
+    return gradient
 
 
 def linear_svm(
@@ -93,34 +136,45 @@ def linear_svm(
     rounds: int = 10,
     ridge: float = 1e-4,
     step: float = 0.25,
+    block: int = 2_000_000,
 ) -> DataFrame:
     """``(doc_id, label, score, pred)`` of the ``test`` rows by a linear support vector machine learned from the ``train`` rows.
 
-    Squared hinge loss with classes of equal weight, by ``rounds`` accelerated gradient steps over all rows. Weights are a
-    table of words: a round joins them to the postings, sums a margin for each text, and sums the gradient of each word, so a
-    vocabulary of any size stays distributed. Vectors have unit length beside the intercept, so a step of 0.25 never
+    Squared hinge loss with classes of equal weight, by ``rounds`` accelerated gradient steps over all rows. Texts are dealt once
+    into blocks of about ``block`` postings, which stay where they are: in a round, a block gets the weights of the words that
+    it has, and sends one sum for each of them. So a round shuffles words of blocks, not of texts, and a vocabulary of any size
+    stays distributed. Vectors have unit length beside the intercept, so a step of 0.25 never
     overshoots. ``doc_id`` is unique; a text without known words scores by the intercept. Training runs while the plan is built.
     """
     named = [F.col(doc_id).alias("_doc"), F.col(text).alias("_text")]
     rows = df.select(*named, F.col(label).cast("int").alias("label"), F.col(split).alias("split"))
-    postings, ids = _postings(rows)
-    train = postings.where("split = 'train'")
-    share = class_weights(rows.where("split = 'train'"))
-    y = F.col("label") * 2 - 1
-    importance = F.when(F.col("label") == 1, share[1]).otherwise(share[0]) / max(share["rows"], 1)
-    weights = ids.withColumn("w", F.lit(0.0)).withColumn("v", F.lit(0.0))
+    vectors, ids = _vectors(rows)
+    postings = ids.agg(F.sum("df")).first()[0]
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(postings / block))
+    train = vectors.where("split = 'train'").withColumn("block", F.pmod(F.xxhash64("_doc"), F.lit(parts)))
+    train = train.repartition(parts, "block").sortWithinPartitions("block").persist(StorageLevel.DISK_ONLY)
+    gradient = _block_gradient(class_weights(rows.where("split = 'train'")))
+    sent = None
     for k in range(1, rounds + 1):
-        margins = _joined(train, weights, ["v"]).groupBy("_doc", "label").agg(F.sum(F.col("x") * F.col("v")).alias("f"))
-        slack = F.greatest(F.lit(0.0), 1 - y * F.col("f"))
-        pulls = margins.where(slack > 0).select("_doc", (-2.0 * y * slack * importance).alias("c"))
-        gradient = train.join(pulls, "_doc").groupBy("id").agg(F.sum(F.col("x") * F.col("c")).alias("g"))
-        moved = weights.join(gradient, "id", "left").withColumn(
-            "u", F.col("v") - step * (F.coalesce("g", F.lit(0.0)) + ridge * F.col("v"))
-        )
-        ahead = F.col("u") + ((k - 1) / (k + 2)) * (F.col("u") - F.col("w"))
-        weights = materialised(moved.select("id", "hot", F.col("u").alias("w"), ahead.alias("v")), "weights")
-    test = _joined(postings.where("split = 'test'"), weights, ["w"])
-    scored = test.groupBy("_doc", "label").agg(F.sum(F.col("x") * F.col("w")).alias("score"))
+        blocks = train.groupBy("block")
+        if sent is None:
+            sums = blocks.applyInArrow(lambda vectors: gradient(vectors), SENT_DDL)
+        else:
+            sums = blocks.cogroup(sent.groupBy("block")).applyInArrow(lambda vectors, words: gradient(vectors, words), SENT_DDL)
+        # Every block that has a word makes the same step.
+        u = F.col("v") - step * (F.sum("g").over(Window.partitionBy("id")) + ridge * F.col("v"))
+        moved = sums.select("block", "id", "w", u.alias("u"))
+        sent = moved.select("block", "id", F.col("u").alias("w"), (F.col("u") + ((k - 1) / (k + 2)) * (F.col("u") - F.col("w"))).alias("v"))
+    learned = ids.select("id", "hot")
+    if sent is not None:
+        learned = learned.join(sent.groupBy("id").agg(F.first("w").alias("w")), "id", "left")
+    else:
+        learned = learned.withColumn("w", F.lit(0.0))
+    weights = materialised(learned.select("id", "hot", F.coalesce("w", F.lit(0.0)).alias("w")), "weights")
+    train.unpersist()
+    test = vectors.where("split = 'test'").select("_doc", "label", "norm", F.explode("words").alias("word"))
+    x = F.when(F.col("word.id") == INTERCEPT, 1.0).otherwise(F.col("word.tfidf") / F.col("norm"))
+    scored = _joined(test.select("_doc", "label", "word.id", x.alias("x")), weights).groupBy("_doc", "label").agg(F.sum(F.col("x") * F.col("w")).alias("score"))
     return scored.select(F.col("_doc").alias(doc_id), "label", "score", F.when(F.col("score") > 0, 1).otherwise(0).alias("pred"))
 
 

@@ -144,3 +144,19 @@ def test_csv_parts_have_as_many_files_as_their_rows_need(spark, tmp_path):
     extra = [i + 1000000007 for i in range(4000) if 5 <= i % 97 <= 9]
     want = sorted([*range(4000), *extra], key=lambda i: (min(i % 10, 1) + (i % 10 >= 4), i))
     assert got == list(enumerate(want))
+
+
+def test_svm_scores_do_not_depend_on_the_blocks(spark, labelled_texts):
+    whole = {r["id"]: r["score"] for r in baselines.linear_svm(labelled_texts, "id", block=10**9).collect()}
+    cut = {r["id"]: r["score"] for r in baselines.linear_svm(labelled_texts, "id", block=150).collect()}
+    assert cut.keys() == whole.keys() and all(cut[i] == pytest.approx(whole[i], abs=1e-9) for i in cut)
+    assert baselines.linear_svm(labelled_texts, "id", rounds=0).where("score <> 0").count() == 0
+
+
+def test_dictionary_never_takes_texts_apart_into_rows_of_places(spark):
+    df = spark.createDataFrame([(i, "gw suka kopi " * 3, i) for i in range(50)] + [(None, "gw", 7), (60, None, 8)], "id long, text string, more int")
+    slang = spark.createDataFrame([("gw", "saya"), ("kopi", "KOPI")], "word string, replacement string")
+    out = dictionaries.normalise_slang(df, "id", "text", slang)
+    assert "posexplode" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["id"]: (r["cleaned"], r["more"]) for r in out.collect()}
+    assert all(got[i] == ("saya suka KOPI " * 3, i) for i in range(50)) and got[None] == ("gw", 7) and got[60] == (None, 8)
