@@ -6,10 +6,17 @@ straight into a count, which every map task combines before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
+from collections.abc import Callable, Iterator, Mapping, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pandas import Series, factorize
+from pandas.util import hash_array
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annospark.functions import cleaning as clean
 from annospark.functions import lexicons as lex
@@ -18,6 +25,11 @@ from annospark.functions import tokens as tok
 from annospark.operators import keys, ranks
 from annospark.sources.tables import materialised
 
+#: Bytes of tokens whose n-grams a task holds at once.
+BYTES_AT_ONCE = 8_000_000
+#: Between the tokens of a text on their way to Arrow, which takes one string far faster than a list of them.
+SEPARATOR = "\x1f"
+
 
 # --- tokenizers: text column -> array<string> --------------------------------
 def space_tokens(text: Column) -> Column:
@@ -178,6 +190,90 @@ def documents_with_top_slang(
 
 
 # --- n-grams ------------------------------------------------------------------
+def _counted_in_batches(by: Sequence[str], n: int, frequent: Broadcast | None = None, bits: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function that counts the n-grams of batches ``(by…, _hash, _t)``, texts being runs of rows.
+
+    ``frequent`` is a bitmap of (n - 1)-grams: an n-gram counts only where both of its own are set. What runs in tasks is defined inside,
+    so that executors don't need this module.
+    """
+    most, separator = BYTES_AT_ONCE, SEPARATOR
+
+    def joined(tokens: pa.Array, k: int, starts: np.ndarray) -> pa.Array:
+        whole = max(len(tokens) - k + 1, 0)
+        if 2 * len(starts) > whole:
+            # Copying most of them one by one costs more than joining all in place.
+            parts = [tokens.slice(i, whole) for i in range(k)]
+            grams = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+            return grams if len(starts) == whole else grams.take(pa.array(starts))
+        parts = [tokens.take(pa.array(starts + i)) for i in range(k)]
+        return pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+
+    def counted(rows: pa.Table) -> pa.Table | None:
+        lists = pc.split_pattern(rows["_t"].combine_chunks(), separator)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        tokens, text = lists.flatten(), np.repeat(np.arange(len(sizes)), sizes)
+        left = np.cumsum(sizes)[text] - np.arange(len(text))
+        group = rows["_hash"].to_numpy()
+        starts = np.flatnonzero(left >= n)
+        if frequent is not None:
+            shorter = np.flatnonzero(left >= n - 1)
+            grams = joined(tokens, n - 1, shorter).dictionary_encode()
+            hashes = hash_array(grams.dictionary.to_numpy(zero_copy_only=False), categorize=False)[grams.indices.to_numpy()]
+            place = (hashes ^ group[text[shorter]].astype("uint64")) >> np.uint64(64 - bits)
+            known = np.zeros(len(text) + 1, bool)
+            known[shorter] = frequent.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype("uint8") & 1
+            starts = starts[known[starts] & known[starts + 1]]
+        if not len(starts):
+            return None
+        grams = joined(tokens, n, starts).dictionary_encode()
+        code, text = grams.indices.to_numpy().astype("int64"), text[starts]
+        of, groups = factorize(group)
+        key, found = code, np.arange(len(grams.dictionary))
+        if len(groups) > 1:
+            key, found = factorize(code * len(groups) + of[text])
+        # One for each text that has the n-gram.
+        first = ~Series(key * len(sizes) + text).duplicated().to_numpy()
+        times, df = np.bincount(key, minlength=len(found)), np.bincount(key[first], minlength=len(found))
+        any_row = np.zeros(len(found), "int64")
+        any_row[key] = text
+        columns = [rows[c].combine_chunks().take(pa.array(any_row)) for c in by]
+        terms = grams.dictionary if len(groups) == 1 else grams.dictionary.take(pa.array(found // len(groups)))
+        return pa.table([*columns, terms, pa.array(times, pa.int64()), pa.array(df, pa.int64())], names=[*by, "term", "n", "df"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("_t")), 0).to_numpy(zero_copy_only=False).astype("int64"))
+            start = 0
+            while start < len(upto):
+                end = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, "right")))
+                found = counted(rows.slice(start, end - start))
+                if found is not None:
+                    yield from found.to_batches()
+                start = end
+
+    return run
+
+
+def _ngram_rows(rows: DataFrame, by: Sequence[str], n: int, frequent: Broadcast | None = None, bits: int = 0) -> DataFrame:
+    """``(by…, term, n, df)`` of rows ``(by…, _hash, _t)``: counted in batches of texts, then over all."""
+    schema = T.StructType([rows.schema[c] for c in by]).add("term", "string").add("n", "long").add("df", "long")
+    parts = rows.mapInArrow(_counted_in_batches(by, n, frequent, bits), schema)
+    return parts.groupBy(*by, "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+
+
+def _gram_source(df: DataFrame, tokens: Column, stop_words: Sequence[str], by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Rows ``(by0, by1, …, _hash, _t)`` and the names of the first: groups, a hash of them, and tokens without stop words.
+
+    ``_t`` is null where no token is left, so that one empty token differs from none.
+    """
+    groups = [f"by{i}" for i in range(len(by))]
+    kept = [F.col(c).alias(g) for c, g in zip(by, groups, strict=True)]
+    hashed = F.xxhash64(*by) if by else F.lit(0).cast("long")
+    rows = df.select(*kept, hashed.alias("_hash"), tok.drop_stop_words(tokens, stop_words).alias("_t"))
+    return rows.withColumn("_t", F.when(F.size("_t") > 0, F.array_join("_t", SEPARATOR))), groups
+
+
 def ngram_counts(
     df: DataFrame,
     tokens: Column,
@@ -186,31 +282,33 @@ def ngram_counts(
     by: Sequence[str] = (),
     min_df: int = 1,
 ) -> DataFrame:
-    """``(by…, term, n, df)``; stop words are removed before n-grams form."""
-    rows = df.select(*[F.col(c) for c in by], tok.drop_stop_words(tokens, stop_words).alias("_t"))
-    grams = rows.select(*by, F.sort_array(tok.ngrams("_t", n)).alias("_g"))
-    flat = grams.select(*by, F.explode(tok.first_flags("_g")).alias("_x"))
-    out = flat.groupBy(*by, F.col("_x.term").alias("term")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_x.is_first").alias("df")
-    )
-    return out.filter(F.col("df") >= min_df) if min_df > 1 else out
-
+    """``(by…, term, n, df)``; stop words are removed before n-grams form.
 
-def _bit(by: Sequence[str], term: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(*by, term), F.lit(2**bits))
+    N-grams form and are counted in Arrow batches of texts, so that only counts of a batch reach Spark's aggregate. Tokens don't
+    hold U+001F, which counts as white space.
+    """
+    rows, groups = _gram_source(df, tokens, stop_words, by)
+    out = _ngram_rows(rows, groups, n)
+    out = out.filter(F.col("df") >= min_df) if min_df > 1 else out
+    return out.select(*[F.col(g).alias(c) for c, g in zip(by, groups, strict=True)], "term", "n", "df")
 
 
-def _bitmap(terms: DataFrame, by: Sequence[str], bits: int) -> DataFrame:
-    """``(at, set)``: words of 64 bits in which the bit of every term is set; at most ``2 ** bits / 64`` rows."""
-    place = _bit(by, F.col("term"), bits)
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-    return terms.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(one).alias("set"))
+def _bitmap(terms: DataFrame, by: Sequence[str], bits: int) -> np.ndarray:
+    """``2 ** bits`` bits, eight a byte, in which that of every term is set; words of 64 of them reach the driver."""
 
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = hash_array(batch.column("term").to_numpy(zero_copy_only=False), categorize=False)
+            place = (hashes ^ batch.column("_hash").to_numpy().astype("uint64")) >> np.uint64(64 - bits)
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype("int64"))], names=["place"])
 
-def _where_set(rows: DataFrame, bitmap: DataFrame, place: Column) -> DataFrame:
-    """``rows``, of columns that are not ``place``, ``at`` or ``set``, whose bit is set."""
-    met = rows.withColumn("place", place).withColumn("at", F.shiftright("place", 6)).join(F.broadcast(bitmap), "at")
-    return met.where(F.getbit("set", (F.col("place") % 64).cast("int")) == 1).select(*rows.columns)
+    hashed = F.xxhash64(*by) if by else F.lit(0).cast("long")
+    place = terms.select("term", hashed.alias("_hash")).mapInArrow(places, "place long")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    words = place.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(one).alias("set")).toArrow()
+    out = np.zeros(max(1, 2**bits // 64), "<i8")
+    out[words["at"].to_numpy()] = words["set"].to_numpy()
+    return out.view("uint8")
 
 
 def level_ngram_counts(
@@ -225,27 +323,20 @@ def level_ngram_counts(
     """The rows of ``ngram_counts`` with ``df >= min_df``, counted level by level.
 
     An n-gram is in no more documents than its two (n - 1)-grams. So n-grams are counted, and shuffled, only where both
-    reach ``min_df``, which drops the long tail of n-grams seen once. The frequent ones of a level are a bitmap of at most ``2 ** bits``
-    bits in words of 64 (524,288 rows for 25), which is all that is broadcast; where two share a bit, a few n-grams too many
+    reach ``min_df``, which drops the long tail of n-grams seen once. The frequent ones of a level are a bitmap of ``2 ** bits``
+    bits (4 MB for 25), which is all that reaches the driver and is broadcast; where two share a bit, a few n-grams too many
     are counted and go by their exact count. Tokens are written once, each level reads them once, and all but the
-    last level are counted while the plan is built. Tokens hold no spaces; null texts have none.
+    last level are counted while the plan is built. Tokens hold no U+001F; null texts have none.
     """
     if n < 2:
         return ngram_counts(df, tokens, n, stop_words, by, min_df)
-    groups = [f"by{i}" for i in range(len(by))]
-    kept = [F.col(c).alias(g) for c, g in zip(by, groups, strict=True)]
-    rows = materialised(df.select(*kept, tok.drop_stop_words(tokens, stop_words).alias("tokens")), "tokens")
+    rows, groups = _gram_source(df, tokens, stop_words, by)
+    rows = materialised(rows, "tokens")
     known = None
     for k in range(1, n + 1):
-        grams = rows.select(*groups, F.sort_array(tok.ngrams("tokens", k)).alias("grams"))
-        flat = grams.select(*groups, F.explode(tok.first_flags("grams")).alias("x")).select(*groups, "x.term", "x.is_first")
-        if known is not None:
-            flat = _where_set(flat, known, _bit(groups, F.substring_index("term", " ", k - 1), bits))
-            flat = _where_set(flat, known, _bit(groups, F.substring_index("term", " ", 1 - k), bits))
-        counts = flat.groupBy(*groups, "term").agg(F.count(F.lit(1)).alias("n"), F.sum("is_first").alias("df"))
-        counts = counts.where(F.col("df") >= min_df)
+        counts = _ngram_rows(rows, groups, k, known, bits).where(F.col("df") >= min_df)
         if k < n:
-            known = materialised(_bitmap(counts, groups, bits), "frequent")
+            known = df.sparkSession.sparkContext.broadcast(_bitmap(counts, groups, bits))
     return counts.select(*[F.col(g).alias(c) for c, g in zip(by, groups, strict=True)], "term", "n", "df")
 
 

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from annospark.functions.lexicons import LABELS
 from annospark.sources.tables import read_texts
 
+#: Texts in a part, so that a task's work doesn't grow with the table.
+TEXTS_AT_ONCE = 8192
+
 # (multiplier, positives out of ten) of the vote pattern per label
 _PATTERN = dict(
     zip(LABELS, ((31, 3), (13, 2), (43, 1), (17, 2), (29, 2), (47, 1), (7, 4), (11, 2), (19, 1)), strict=True)
@@ -114,7 +117,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
-    return read_texts(spark, f"{sf_dir.rstrip('/')}/documents.parquet", "doc_id", cores)
+    rows = table(spark, sf_dir, "documents").count()
+    return read_texts(spark, f"{sf_dir.rstrip('/')}/documents.parquet", "doc_id", max(cores, -(-rows // TEXTS_AT_ONCE)))
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:

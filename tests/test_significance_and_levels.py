@@ -125,3 +125,31 @@ def test_votes_of_any_length_keep_their_sign(spark):
     assert got[0] == ([top, 0, 0], 1.0) and got[1] == ([-top, 1, 1], 0.0) and got[2] == ([top] * 3, 1.0)
     assert got[3][0] == [1, 0] and got[4] == ([1, 1, 0], 1.0) and got[5] == ([top], 1.0)
     assert got[6] == ([], None) and got[7] == ([], None)
+
+
+def test_ngrams_are_counted_in_batches_before_the_aggregate(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [[rng.choice(["a", "b", "the", "", "c d"]) for _ in range(rng.randint(0, 12))] for _ in range(120)] + [None, [], [""], ["a"] * 300]
+    rows = [(i, t, rng.choice(["x", "y", None])) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, t array<string>, cls string")
+    for size in (5, 10**9):
+        monkeypatch.setattr(lexical, "BYTES_AT_ONCE", size)
+        for n, by in ((1, ["cls"]), (2, []), (2, ["cls"]), (3, [])):
+            times, docs = Counter(), Counter()
+            for _, t, c in rows:
+                kept = [w for w in t or () if w != "the"]
+                grams = [((c,) if by else ()) + (" ".join(kept[i : i + n]),) for i in range(len(kept) - n + 1)]
+                times.update(grams)
+                docs.update(set(grams))
+            found = lexical.ngram_counts(df, F.col("t"), n, ["the"], by)
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert "MapInArrow" in plan and "explode" not in plan
+            assert {tuple(r)[:-2]: tuple(r)[-2:] for r in found.collect()} == {k: (times[k], docs[k]) for k in times}
+
+
+def test_parts_of_documents_grow_in_number_not_in_size(spark, tmp_path):
+    from checks import fixtures
+
+    spark.range(70_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text")).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = fixtures.documents(spark, str(tmp_path))
+    assert docs.rdd.getNumPartitions() >= 9 and docs.count() == 70_000
