@@ -258,7 +258,8 @@ def _counted_in_batches(by: Sequence[str], n: int, frequent: Broadcast | None =
 def _ngram_rows(rows: DataFrame, by: Sequence[str], n: int, frequent: Broadcast | None = None, bits: int = 0) -> DataFrame:
     """``(by…, term, n, df)`` of rows ``(by…, _hash, _t)``: counted in batches of texts, then over all."""
     schema = T.StructType([rows.schema[c] for c in by]).add("term", "string").add("n", "long").add("df", "long")
-    parts = rows.mapInArrow(_counted_in_batches(by, n, frequent, bits), schema)
+    # Batches count as much as map tasks could: dealt out first, no task holds all n-grams of its texts.
+    parts = rows.mapInArrow(_counted_in_batches(by, n, frequent, bits), schema).repartition(*by, "term")
     return parts.groupBy(*by, "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
