@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.shared import CELLS, SEGMENT_BITS, Sketch, cell_batches, free_name, sketch_for, with_first, written
+from llm.shared import CELLS, Sketch, free_name, sketch_for, with_first, written
 from llm.words import BASES, Block, blocks, mixed, spans_hash
 
 ANCHOR = 36
 #: One of 2**CUT_BITS anchors cuts a run where it begins.
 CUT_BITS = 3
-#: Rows of the sketch, and counters of a row at most: tasks receive 4 * 2**26 / 4 bytes.
-DEPTH, SKETCH_BITS = 4, 26
+#: Rows of the sketch, and cells of a row of its filter at most: tasks receive 4 * 2**27 / 8 bytes.
+DEPTH, SKETCH_BITS = 4, 27
 #: Rows of an output batch, at most.
 ROWS = 1000
 _RUN = pa.struct([("h1", pa.int64()), ("h2", pa.int32()), ("at", pa.int32()), ("n", pa.int32())])
@@ -65,15 +65,15 @@ def _anchors(block: Block, hashes: np.ndarray, window: int) -> tuple[np.ndarray,
 
 def _counted(sketch: Sketch, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def cells():
+        def keys():
             for batch in batches:
                 for block in blocks(batch.column(0)):
                     text, _, anchor = _anchors(block, block.hashes(), window)
                     fresh = np.r_[True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])][: len(anchor)]
                     pairs = np.unique(np.stack([text[fresh].astype(np.uint64), anchor[fresh]]), axis=1)
-                    yield sketch.cells(pairs[1])
+                    yield pairs[1]
 
-        yield from cell_batches(cells())
+        yield from sketch.batches(keys())
 
     return run
 
@@ -96,7 +96,7 @@ def _runs(sketch: Sketch, window: int, column: pa.Array) -> tuple[np.ndarray, li
     def of_block(block: Block) -> tuple[np.ndarray, ...]:
         hashes = block.hashes()
         text, at, anchor = _anchors(block, hashes, window)
-        hit = sketch.level(anchor) > 0
+        hit = sketch.repeated(anchor)
         text, at, anchor = text[hit], at[hit], anchor[hit]
         cut = (anchor[1:] != anchor[:-1]) & (mixed(anchor[1:]) >> np.uint64(64 - CUT_BITS) == 0)
         start = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (text[1:] != text[:-1]) | cut][: len(at)])
@@ -174,7 +174,7 @@ def _expanded(window: int):
 
 def _window_cells(sketch: Sketch):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from cell_batches(sketch.cells(batch.column(0).to_numpy().view(np.uint64)) for batch in batches)
+        yield from sketch.batches(batch.column(0).to_numpy().view(np.uint64) for batch in batches)
 
     return run
 
@@ -184,7 +184,7 @@ def _seen_again(sketch: Sketch):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(sketch.level(batch.column(0).to_numpy().view(np.uint64)) > 0))
+            yield batch.filter(pa.array(sketch.repeated(batch.column(0).to_numpy().view(np.uint64))))
 
     return run
 
@@ -235,11 +235,11 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     windows = slim.select("_row", "_id", "_text").join(own, "_row").select("_row", "_id", "_text", "s.at", "s.n")
     kind = documents.schema[id_col].dataType.simpleString()
     windows = written(windows.mapInArrow(_expanded(window), f"h1 bigint, h2 int, _row bigint, _id {kind}, at array<int>"), "windows")
-    again = Sketch(max(SEGMENT_BITS, min(SKETCH_BITS, (2 * windows.count()).bit_length())), 2)
+    again = Sketch(windows.count(), SKETCH_BITS, 2)
     again.merged(windows.select("h1").mapInArrow(_window_cells(again), CELLS))
-    windows = with_first(windows.mapInArrow(_seen_again(again), windows.schema), ["h1", "h2"], "_id")
-    windows = windows.where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
-    gone = windows.unionAll(runs.where(later).select("_row", "at", "n"))
+    repeated = with_first(windows.mapInArrow(_seen_again(again), windows.schema), ["h1", "h2"], "_id")
+    repeated = repeated.where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
+    gone = repeated.unionAll(runs.where(later).select("_row", "at", "n"))
     gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
 
     rest = [found[f"`{c}`"] for c in documents.columns]
