@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.shared import CELLS, Sketch, free_name, sketch_for, with_first, written
+from llm.shared import CELLS, Sketch, forget, free_name, sketch_for, with_first, written
 from llm.words import BASES, Block, blocks, mixed, spans_hash
 
 ANCHOR = 36
@@ -240,7 +240,8 @@ def dedup_substrings(documents: DataFrame, id_col: str = "doc_id", text_col: str
     repeated = with_first(windows.mapInArrow(_seen_again(again), windows.schema), ["h1", "h2"], "_id")
     repeated = repeated.where(later).select("_row", F.explode("at").alias("at"), F.lit(1).alias("n"))
     gone = repeated.unionAll(runs.where(later).select("_row", "at", "n"))
-    gone = gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s"))
+    gone = written(gone.groupBy("_row").agg(F.collect_list(F.struct("at", "n")).alias("s")), "gone")
+    forget(runs, windows)
 
     rest = [found[f"`{c}`"] for c in documents.columns]
     added = T._parse_datatype_string("_kept string, n_words bigint, n_removed bigint").fields
