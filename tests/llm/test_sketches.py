@@ -104,3 +104,17 @@ def test_forget_deletes_written_tables_only(spark, tmp_path):
     spark.range(9).write.parquet(f"{tmp_path}/t")
     shared.forget(one, spark.read.parquet(f"{tmp_path}/t"))
     assert not os.path.exists(one.inputFiles()[0].removeprefix("file:")) and other.count() == 9 and os.path.exists(f"{tmp_path}/t")
+
+
+def test_stages_leave_no_tables_that_are_used_up(many, spark, monkeypatch):
+    import corpus_pipeline
+
+    _, df = many
+    for module in (ngram_join, substring_dedup):
+        monkeypatch.setattr(module, "SKETCH_BITS", 16)
+    folder = shared.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    stayed = shared.written(corpus_pipeline.near_copy_stage(spark, df, ""), "stayed")
+    assert corpus_pipeline.passage_stage(spark, stayed, "").count() == stayed.count() == 500
+    left = [name for run in set(os.listdir(folder)) - before for name in os.listdir(f"{folder}/{run}")]
+    assert not {"prefixes", "joins", "sets", "postings", "pairs", "grouped", "runs", "windows"} & set(left)
